@@ -407,7 +407,7 @@ def dq_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTI
         f"SELECT {q(execution_id)} AS execution_id, rule_id, dimension_name, rule_name, "
         "CAST(total_rows AS INTEGER) AS total_rows, CAST(passing_rows AS INTEGER) AS passing_rows, "
         "CAST(total_rows - passing_rows AS INTEGER) AS failing_rows, "
-        "CASE WHEN total_rows > 0 THEN round((total_rows - passing_rows) / total_rows * 100.0, 2) ELSE 0.0 END AS failure_rate "
+        "CASE WHEN total_rows > 0 THEN CAST(round(CAST((total_rows - passing_rows) / total_rows * 100.0 AS DECIMAL(38,18)), 2) AS DOUBLE) ELSE 0.0 END AS failure_rate "
         f"FROM ({rule_rows}) ORDER BY o", ctes)
 
     dims = []
@@ -420,7 +420,7 @@ def dq_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTI
         for i, (d, m) in enumerate(dims))
     dim_scores = (
         f"SELECT {q(execution_id)} AS execution_id, dimension_name, "
-        "CASE WHEN total_rows > 0 THEN round(passing_rows / total_rows * 100.0, 2) ELSE 0.0 END AS score, "
+        "CASE WHEN total_rows > 0 THEN CAST(round(CAST(passing_rows / total_rows * 100.0 AS DECIMAL(38,18)), 2) AS DOUBLE) ELSE 0.0 END AS score, "
         "CAST(total_rows AS INTEGER) AS total_rows, CAST(passing_rows AS INTEGER) AS passing_rows, "
         "CAST(total_rows - passing_rows AS INTEGER) AS failing_rows, CAST(rule_count AS INTEGER) AS rule_count, o "
         f"FROM ({dim_rows})")

@@ -87,10 +87,21 @@ def evaluate_weighted(df: DataFrame, rules: list[Rule] | None = None, params: DQ
     else:
         work = work.withColumn("_id_rows", F.lit(None).cast("long"))
     work = _with_dates(work, params)
-    rule_cols = {r.column: safe_rule_column(work, r, params) for r in rules}
+    rule_cols = _rule_columns(work, rules, params)
     return work.withColumns(rule_cols).select(*base_cols, COPIES, *CONTEXT, *rule_cols.keys())
 
 
+def _rule_columns(work: DataFrame, rules: list[Rule], params: DQParams) -> dict[str, Column]:
+    """All rule columns, analysed together once; only when that fails is each
+    rule analysed alone, so one broken rule becomes all-FALSE."""
+    try:
+        cols = {r.column: r.evaluate(work, params) for r in rules}
+        work.select(*[c.alias(n) for n, c in cols.items()]).schema
+        return cols
+    except (AnalysisException, KeyError, ValueError):
+        return {r.column: safe_rule_column(work, r, params) for r in rules}
+
+
 def pass_copies(rule: Rule, present: bool = True) -> Column:
     """Number of the row's copies that pass ``rule``."""
     if not present:

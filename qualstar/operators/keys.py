@@ -8,9 +8,10 @@ not the data) turns local positions into global ones.  The same order as the
 global window results, because range partitions are ordered and each sorts
 its rows with the same key.
 
-The range-partitioned rows are pinned in the reliable checkpoint folder
-before they are counted and numbered, so a recomputation after a lost
-executor cannot re-sample different range bounds and hand out other keys.
+The range-partitioned rows (with their partition index and position) are
+pinned in the shared checkpoint folder before they are counted and numbered,
+so a recomputation after a lost executor cannot re-sample different range
+bounds and hand out other keys.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def assign_dense_keys(df: DataFrame, order_by, key: str, num_partitions: int | N
               .sortWithinPartitions(*ordered)
               .withColumn("_qs_mid", F.monotonically_increasing_id()))
     if pin_result:
-        ranged = pin(ranged)
+        ranged = pin(ranged, f"keys-{key}")
     located = ranged.withColumns({
         "_qs_part": F.shiftright(F.col("_qs_mid"), _POS_BITS),
         "_qs_pos": F.col("_qs_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),

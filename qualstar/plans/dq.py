@@ -60,9 +60,15 @@ def analyse(df: DataFrame, params: DQParams = DQParams(), rules: list[Rule] | No
     ts = execution_timestamp or datetime.now(timezone.utc).replace(tzinfo=None)
     if params.as_of is None:
         params = DQParams(**{**params.__dict__, "as_of": ts.isoformat(sep=" ")})
-    aggregates = score_aggregates(evaluate_weighted(df, rules, params), rules)
+    return analyse_weighted(evaluate_weighted(df, rules, params), params, rules, execution_id, ts, pin_aggregate)
+
+
+def analyse_weighted(weighted: DataFrame, params: DQParams, rules: list[Rule], execution_id: str,
+                     ts: datetime, pin_aggregate: bool = True) -> DQRun:
+    """Result tables from an already evaluated (collapsed) rule table."""
+    aggregates = score_aggregates(weighted, rules)
     if pin_aggregate:
-        aggregates = pin(aggregates)
+        aggregates = pin(aggregates, "dq-aggregates")
     dims = dimension_scores(aggregates, rules, execution_id)
     results = rule_results(aggregates, rules, execution_id)
     execution = aggregates.select(

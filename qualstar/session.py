@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,12 +57,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and cut its lineage.
+def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from the stored table (lineage cut).
 
-    Used where a later step must see exactly the same rows and partitions as an
-    earlier one (range-partitioned key assignment), also after an executor is
-    lost and tasks are recomputed.
+    Used where later steps must all see exactly the same rows (key
+    assignment after a range partitioning, a scored layer that several
+    jobs read), also when an executor is lost and tasks are recomputed.
+    One write job; the read-back is columnar, so later steps scan only the
+    columns they use, and the planner sees the table's real size.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -1,0 +1,97 @@
+import csv
+import glob
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from qualstar.params import DQParams, TAX_COLUMNS, GRANT_COLUMNS
+from qualstar.plans.dq import run_analysis
+from qualstar.plans.tax import Paths, run_full_pipeline
+from qualstar.sinks.writers import WriteGuardError, write_partitioned
+
+TAX_ROWS = [
+    ["TP1", "S1234567A", "Tan Wei", "Single", "2023", "2024-03-15", "85000", "72050", "8205", "8500", "12950", "0",
+     "Software Engineer", "Resident", "119077", "HDB 4-room", "17000", "0"],
+    ["TP2", "", "Lim", "Married", "2023", "2024-13-45", "75000", "65000", "5000", "5000", "10000", "1",
+     "Nurse", "Non-Resident", "INVALID", "HDB 3-room", "5000", "0"],
+    ["TP3", "T7654321B", "Ng", "Single", "2023", "15/04/2024", "60000", "50000", "4000", "3500", "10000", "2",
+     "Sales Manager", "Resident", "520123", "Private Condo", "12000", "0"],
+    ["TP4", "BAD", "Ong", "Married", "2023", "invalid-date", "1000", "5", "0", "0", "1", "0",
+     "Teacher", "Resident", "", "HDB 2-room", "abc", "0"],
+]
+
+
+def write_csv(path, header, rows):
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(header)
+        w.writerows(rows)
+
+
+def test_full_tax_pipeline(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "returns.csv")
+    write_csv(src, [c for c, _ in TAX_COLUMNS], TAX_ROWS)
+    paths = Paths(*(os.path.join(tmp_dir, p) for p in ("bronze", "silver", "rejected", "gold")))
+    out = run_full_pipeline(spark, src, paths, ingestion_timestamp="2024-01-01T00:00:00")
+    assert out["class_counts"] == {"Accept": 2, "Quarantine": 0, "Reject": 2}
+    bronze = out["bronze"]
+    assert bronze.count() == 4 and {"ingestion_timestamp", "source_file", "raw_record_hash"} <= set(bronze.columns)
+    assert bronze.filter(F.col("cpf_contributions_sgd").isNull()).count() == 1  # 'abc' -> NULL
+    assert os.path.isdir(os.path.join(paths.silver, "assessment_year=2023"))
+    assert out["silver"].count() == 2 and out["rejected"].count() == 2
+    gold = out["gold"]
+    assert set(gold) == {"dim_taxpayer", "dim_time", "dim_location", "dim_occupation", "fact_tax_returns"}
+    assert gold["fact_tax_returns"].count() == 2
+    assert os.path.isdir(os.path.join(paths.gold, "fact_tax_returns", "assessment_year=2023"))
+    # CPF violation is flagged on the raw value, then corrected
+    rej = {r.taxpayer_id: r for r in out["rejected"].collect()}
+    assert rej["TP2"].has_business_rule_violation is True and rej["TP2"].cpf_contributions_sgd == 0.0
+
+
+def test_write_guards(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None), (2, 2023)], "x int, assessment_year int")
+    with pytest.raises(WriteGuardError):
+        write_partitioned(df, os.path.join(tmp_dir, "a"), on_null="raise")
+    assert write_partitioned(df, os.path.join(tmp_dir, "b"), on_null="drop") == 1
+    assert write_partitioned(df.limit(0), os.path.join(tmp_dir, "c")) == 0
+    assert not os.path.exists(os.path.join(tmp_dir, "c"))
+    with pytest.raises(WriteGuardError):
+        write_partitioned(df, "  ")
+    with pytest.raises(WriteGuardError):
+        write_partitioned(df.drop("assessment_year"), os.path.join(tmp_dir, "d"))
+
+
+GRANT_ROWS = [
+    ["APP-1", "S1234567A", "Education Bursary", "50000", "4", "2024-01-01", "Approved", "5000", "4000", "2024-01-20"],
+    ["APP-2", "INVALID_NRIC", "healthcare subsidy", "-1", "25", "01/02/2024", "Pending", "3000", "", "2024-02-10"],
+    ["APP-2", "G7654321X", "Unknown", "", "2", "NOT_A_DATE", "Rejected", "", "", ""],
+]
+
+
+def test_dq_run_writes_five_tables_and_history(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "grants.csv")
+    write_csv(src, [c for c, _ in GRANT_COLUMNS], GRANT_ROWS)
+    out_dir, hist = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "hist")
+    run = run_analysis(spark, src, out_dir, DQParams(as_of="2024-06-01 00:00:00"), execution_id="e1",
+                       execution_timestamp=datetime(2024, 6, 1), history_dir=hist)
+    for t in ["dq_execution", "dq_dimension_scores", "dq_dimension_scores_minimal", "dq_rule_results",
+              "dq_dimension_scores_full"]:
+        assert len(glob.glob(os.path.join(out_dir, t, "part-*.csv"))) == 1, t
+    ex = run.execution.first()
+    assert (ex.execution_id, ex.total_rows, ex.status) == ("e1", 3, "SUCCESS")
+    res = {r.rule_id: r for r in run.rule_results.collect()}
+    assert len(res) == 25 and res["U001"].failing_rows == 2 and res["V001"].passing_rows == 2
+    assert res["C006"].failing_rows == 1 and res["CS004"].failing_rows == 1
+    dims = [r.dimension_name for r in run.dimension_scores.collect()]
+    assert dims == ["Completeness", "Uniqueness", "Validity", "Conformity", "Consistency", "Timeliness"]
+    assert spark.read.parquet(os.path.join(hist, "dq_dimension_scores")).count() == 6
+
+
+def test_dq_run_failure_still_records_execution(spark, tmp_dir):
+    out_dir = os.path.join(tmp_dir, "out")
+    with pytest.raises(Exception):
+        run_analysis(spark, os.path.join(tmp_dir, "does-not-exist.csv"), out_dir, execution_id="bad")
+    rows = spark.read.option("header", True).csv(os.path.join(out_dir, "dq_execution")).collect()
+    assert [(r.execution_id, r.status) for r in rows] == [("bad", "FAILED")]

@@ -1 +1,5 @@
-"""streaming."""
+"""Structured Streaming forms of the batch jobs (file-drop folders)."""
+
+from .incremental import start_class_counts, start_dq_monitor, start_tax_streams
+
+__all__ = ["start_class_counts", "start_dq_monitor", "start_tax_streams"]

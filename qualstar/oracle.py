@@ -270,8 +270,8 @@ def bo_queries() -> dict[str, str]:
             "ORDER BY total_revenue DESC, l.postal_code NULLS FIRST, l.region NULLS FIRST, l.housing_type NULLS FIRST LIMIT 20", g),
         "bo_4a_compliance_by_category": _with(
             f"SELECT o.occupation_category, count(*) AS total_returns, {r6('avg(f.tax_compliance_rate)')} AS avg_compliance_rate, "
-            "sum(CASE WHEN f.tax_compliance_rate >= 0.95 THEN 1 ELSE 0 END) AS fully_compliant_count, "
-            "sum(CASE WHEN f.tax_compliance_rate < 0.95 THEN 1 ELSE 0 END) AS non_compliant_count, "
+            "CAST(sum(CASE WHEN f.tax_compliance_rate >= 0.95 THEN 1 ELSE 0 END) AS BIGINT) AS fully_compliant_count, "
+            "CAST(sum(CASE WHEN f.tax_compliance_rate < 0.95 THEN 1 ELSE 0 END) AS BIGINT) AS non_compliant_count, "
             "sum(f.tax_liability) AS total_outstanding, avg(f.annual_income_sgd) AS avg_income "
             "FROM fact_tax_returns f JOIN dim_occupation o ON f.occupation_key = o.occupation_key "
             "GROUP BY o.occupation_category ORDER BY avg_compliance_rate DESC", g),

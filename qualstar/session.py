@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     Uses the context's directory if one is set, else ``spark.checkpoint.dir``
-    from the session.  Only when neither is configured (tests, local checks)
-    a folder next to the SQL warehouse is used, which on a cluster is shared
-    storage as well.
+    from the session.  Only when neither is configured: in local mode (one
+    machine, no executors elsewhere) a fresh temporary folder; on a cluster a
+    folder next to the SQL warehouse, which is shared storage there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,10 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        configured = warehouse.rstrip("/") + "/_qualstar_checkpoints"
-        if configured.startswith("file:"):
-            os.makedirs(configured[len("file:"):], exist_ok=True)
+        if sc.master.startswith("local"):
+            configured = tempfile.mkdtemp(prefix="qualstar-ckpt-")
+        else:
+            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_qualstar_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -12,9 +12,10 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import apply_cpf_correction, clean_all
-from ..operators.score import class_counts, route, score_and_classify
+from ..operators.score import CLASSES, route, score_and_classify
 from ..operators.star import build_star_schema
 from ..operators.validate import apply_all_validations
 from ..params import TaxParams
@@ -53,10 +54,22 @@ def run_silver(bronze: DataFrame, silver_path: str, rejected_path: str, p: TaxPa
     and both layers read back from storage."""
     scored = silver_transform(bronze, p).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = {r["dq_classification"]: int(r["record_count"]) for r in class_counts(scored).collect()}
+        # One aggregation: rows per class, and rows / NULL years per route
+        # (the write guards), instead of a count job per number.
+        floor = F.lit(min(p.accept_threshold, p.quarantine_threshold))
+        keep = F.col("data_quality_score") >= floor
+        null_year = F.col("assessment_year").isNull()
+        prof = scored.agg(
+            *[F.count_if(F.col("dq_classification") == c).alias(c) for c in CLASSES],
+            F.count_if(keep).alias("silver_n"), F.count_if(keep & null_year).alias("silver_null"),
+            F.count_if(~keep).alias("rejected_n"), F.count_if(~keep & null_year).alias("rejected_null"),
+        ).first()
+        counts = {c: int(prof[c]) for c in CLASSES}
         silver, rejected = route(scored, p, drop_null_year=False)
-        n_silver = write_partitioned(silver, silver_path, on_null="drop")
-        n_rejected = write_partitioned(rejected, rejected_path, on_null="drop")
+        n_silver = write_partitioned(silver, silver_path, on_null="drop",
+                                     profile=(prof["silver_n"], prof["silver_null"]))
+        n_rejected = write_partitioned(rejected, rejected_path, on_null="drop",
+                                       profile=(prof["rejected_n"], prof["rejected_null"]))
     finally:
         scored.unpersist()
     spark = bronze.sparkSession

@@ -28,13 +28,19 @@ def partition_profile(df: DataFrame, column: str) -> tuple[int, int]:
 
 
 def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year", on_null: str = "raise",
-                      mode: str = "overwrite") -> int:
+                      mode: str = "overwrite", profile: tuple[int, int] | None = None) -> int:
     """Parquet (snappy) partitioned by ``column``.
 
     Guards: empty path or missing column raise; an empty frame is skipped
     with a warning; NULL partition values raise (``on_null='raise'``) or are
     left out (``'drop'``).  Returns the number of rows written.  Overwrite
     replaces only the partitions present in ``df`` (dynamic mode).
+    ``profile`` = (rows, NULL rows) when the caller has counted already.
+
+    The rows are rebalanced on the partition column before the write: AQE
+    merges small partitions and splits a dominant year into several tasks,
+    so each year gets a few evenly sized files instead of one file per task
+    and year, and a year holding most rows is not written by one task.
     """
     path = _check_path(path)
     if df is None:
@@ -43,7 +49,7 @@ def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year",
         raise WriteGuardError(f"{column} column is missing from DataFrame")
     if not df.schema[column].dataType.typeName() in ("integer", "long", "short", "byte"):
         raise WriteGuardError(f"{column} must be an integer column, got {df.schema[column].dataType}")
-    n, nulls = partition_profile(df, column)
+    n, nulls = profile if profile is not None else partition_profile(df, column)
     if n == 0:
         log.warning("no records to write to %s, skipping", path)
         return 0
@@ -53,7 +59,7 @@ def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year",
         log.warning("leaving out %d of %d rows with NULL %s", nulls, n, column)
         df = df.filter(F.col(column).isNotNull())
         n -= nulls
-    (df.write.mode(mode).option("compression", "snappy")
+    (df.hint("rebalance", column).write.mode(mode).option("compression", "snappy")
      .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
     return n
 

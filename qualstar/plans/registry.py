@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import postal_prefix

@@ -32,7 +32,6 @@ from ..params import DQParams, TaxParams
 from ..plans.dq import analyse, record_history
 from ..plans.tax import silver_transform
 from ..sources.files import GRANT_SCHEMA, TAX_SCHEMA
-from ..sources.lineage import add_lineage
 
 
 def _trigger(writer, trigger: str, interval: str):

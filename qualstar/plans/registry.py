@@ -151,6 +151,12 @@ def _dq_weighted(spark, sf):
         "dq-weighted"), files=("lineitem", "orders"))
 
 
+def q_bo_sql(name):
+    def q(spark, sf):
+        return analytics.run_sql(spark, name, _star(spark, sf), prefix="qs_")
+    return q
+
+
 def q_dq_rule(rule_id):
     def q(spark, sf):
         rule = rules_by_id(ORACLE_DQ_PARAMS)[rule_id]
@@ -201,6 +207,7 @@ def queries() -> dict:
         "fact_tax_returns_reference_grain": q_fact("reference"),
     }
     out.update({name: q_bo(name) for name in analytics.BO_QUERIES})
+    out.update({f"{name}_sql": q_bo_sql(name) for name in analytics.BO_SQL})
     out.update({f"dq_rule_{r.rule_id}": q_dq_rule(r.rule_id) for r in default_rules(ORACLE_DQ_PARAMS)})
     out.update({
         "dq_rule_results": lambda spark, sf: _dq_run(spark, sf).rule_results,

@@ -90,6 +90,13 @@ def days_between_within(later: Column, earlier: Column, lo_days: int, hi_days: i
     return (d >= F.lit(lo_days * MICROS_PER_DAY)) & (d < F.lit((hi_days + 1) * MICROS_PER_DAY))
 
 
+def days_since(c, as_of) -> Column:
+    """Whole days from the parsed date ``c`` to ``as_of`` (a timestamp Column
+    or ISO text), rounded down; NULL when ``c`` does not parse."""
+    ref = as_of if isinstance(as_of, Column) else F.to_timestamp(F.lit(as_of))
+    return days_between(ref, parse_flexible(c))
+
+
 def compare_dates_ge(a, b) -> Column:
     """``parse(a) >= parse(b)``; NULL when either side does not parse."""
     return parse_flexible(a) >= parse_flexible(b)

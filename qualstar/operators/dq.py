@@ -202,3 +202,17 @@ def evaluate_all(df: DataFrame, rules: list[Rule] | None = None, params: DQParam
     """Input rows with one ``rule_<id>_pass`` column per rule (row level)."""
     rules = rules if rules is not None else default_rules(params)
     return expand_copies(evaluate_weighted(df, rules, params), rules)
+
+
+def rule_pass_rates(aggregates: DataFrame, rules: list[Rule]) -> dict[str, dict]:
+    """Per-rule summary as a dict keyed by rule id (unrounded pass rate in
+    percent).  Reads the one-row aggregate only: 25 numbers, not data."""
+    row = aggregates.first()
+    total = int(row["total_rows"]) if row else 0
+    out = {}
+    for r in rules:
+        passing = int(row[f"pass_{r.rule_id}"]) if row else 0
+        out[r.rule_id] = {"rule_id": r.rule_id, "rule_name": r.rule_name, "dimension": r.dimension,
+                          "total_rows": total, "passing_rows": passing, "failing_rows": total - passing,
+                          "pass_rate": (passing / total * 100) if total > 0 else 0.0}
+    return out

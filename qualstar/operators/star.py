@@ -10,6 +10,7 @@ partitions of the fact side.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import occupation_category, postal_prefix
 from ..params import TaxParams
 from ..sources.files import read_postal_lookup
+from ..session import checkpoint_dir
 from .keys import assign_dense_keys
 
 TAXPAYER_ATTRS = ["taxpayer_id", "nric", "full_name", "filing_status", "residential_status",
@@ -164,13 +166,23 @@ def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: Dat
 
 
 def build_star_schema(df: DataFrame, p: TaxParams = TaxParams(), lookup: DataFrame | None = None,
-                      with_fact_key: bool = True) -> dict[str, DataFrame]:
-    dims = {
-        "dim_taxpayer": build_dim_taxpayer(df),
-        "dim_time": build_dim_time(df),
-        "dim_location": build_dim_location(df, p, lookup),
-        "dim_occupation": build_dim_occupation(df, p),
+                      with_fact_key: bool = True, parallel: bool = True) -> dict[str, DataFrame]:
+    """Four dimensions and the fact.  The dimension builds are independent
+    jobs (key assignment runs a sampling job and a pinned write each), so
+    they are submitted from four driver threads and run concurrently."""
+    checkpoint_dir(df.sparkSession)
+    builders = {
+        "dim_taxpayer": lambda: build_dim_taxpayer(df),
+        "dim_time": lambda: build_dim_time(df),
+        "dim_location": lambda: build_dim_location(df, p, lookup),
+        "dim_occupation": lambda: build_dim_occupation(df, p),
     }
+    if parallel:
+        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+            futures = {name: pool.submit(fn) for name, fn in builders.items()}
+            dims = {name: f.result() for name, f in futures.items()}
+    else:
+        dims = {name: fn() for name, fn in builders.items()}
     dims["fact_tax_returns"] = build_fact_tax_returns(df, dims["dim_taxpayer"], dims["dim_time"],
                                                       dims["dim_location"], dims["dim_occupation"], p,
                                                       with_fact_key=with_fact_key)

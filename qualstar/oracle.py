@@ -10,7 +10,7 @@ from __future__ import annotations
 from .params import (DATE_PLACEHOLDERS, GRANT_SCHEMES, NRIC_PATTERN, OCCUPATION_CATEGORIES,
                      PLACEHOLDER_SUBSTRINGS, RULE_CATALOGUE, SCORE_WEIGHTS, TAX_COLUMNS, DQParams,
                      OTHER_CATEGORY)
-from .sources.adapters import grant_applications_sql, tax_returns_sql
+from .sources.adapters import grant_applications_sql, resubmitted_sql, tax_returns_sql
 from .sources.files import postal_lookup_rows
 
 ORACLE_AS_OF = "2001-12-01 00:00:00"
@@ -434,3 +434,16 @@ def dq_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTI
         f"{q(params.dataset_name)} AS dataset_name, CAST(NULL AS VARCHAR) AS dataset_version, "
         "CAST(count(*) AS INTEGER) AS total_rows, 'SUCCESS' AS status FROM grant_applications", ctes)
     return out
+
+
+def resubmitted_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTION_ID) -> dict[str, str]:
+    """U002 per id and all rule results over the view with Rejected rows resubmitted."""
+    src = resubmitted_sql()
+    rs = rule_sql(params)
+    out = {"dq_resubmitted_rule_U002": _with(
+        f"SELECT application_id, coalesce({rs['U002']}, FALSE) AS passed, count(*) AS n_rows FROM ga_ctx GROUP BY ALL",
+        grant_ctes(src))}
+    full = dq_queries(params, execution_id)["dq_rule_results"]
+    out["dq_resubmitted_rule_results"] = full.replace(f"grant_applications AS ({grant_applications_sql()})",
+                                                      f"grant_applications AS ({src})", 1)
+    return out

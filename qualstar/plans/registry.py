@@ -14,7 +14,7 @@ from ..operators.rules import default_rules, rules_by_id
 from ..oracle import ORACLE_AS_OF, ORACLE_EXECUTION_ID, ORACLE_EXECUTION_TS
 from ..params import DQParams, TaxParams
 from ..session import checkpoint_dir, pin
-from ..sources.adapters import grant_applications, tax_returns
+from ..sources.adapters import grant_applications, grant_applications_resubmitted, tax_returns
 from ..sources.files import read_postal_lookup
 from ..sources.lineage import add_lineage
 from . import analytics
@@ -142,13 +142,17 @@ def q_bo(name):
     return q
 
 
-def _dq_weighted(spark, sf):
+def _dq_weighted(spark, sf, source=grant_applications, kind="dq-weighted"):
     """The collapsed rule-evaluation table (all 25 rules), materialised once
     per session and input folder; every DQ report reads it."""
     checkpoint_dir(spark)
-    return _memo("dq-weighted", spark, sf, lambda: pin(
-        dq.evaluate_weighted(grant_applications(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
-        "dq-weighted"), files=("lineitem", "orders"))
+    return _memo(kind, spark, sf, lambda: pin(
+        dq.evaluate_weighted(source(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
+        kind), files=("lineitem", "orders"))
+
+
+def _resubmitted_weighted(spark, sf):
+    return _dq_weighted(spark, sf, grant_applications_resubmitted, "dq-weighted-resubmitted")
 
 
 def q_bo_sql(name):
@@ -157,10 +161,10 @@ def q_bo_sql(name):
     return q
 
 
-def q_dq_rule(rule_id):
+def q_dq_rule(rule_id, weighted=None):
     def q(spark, sf):
         rule = rules_by_id(ORACLE_DQ_PARAMS)[rule_id]
-        w = _dq_weighted(spark, sf)
+        w = (weighted or _dq_weighted)(spark, sf)
         passed = F.coalesce(F.col(rule.column), F.lit(False))
         if rule.kind == "first_copy":
             # One copy of each group of identical rows passes, the rest fail.
@@ -215,5 +219,9 @@ def queries() -> dict:
         "dq_scores_minimal": lambda spark, sf: _dq_run(spark, sf).scores_minimal,
         "dq_scores_full": lambda spark, sf: _dq_run(spark, sf).scores_full,
         "dq_execution": lambda spark, sf: _dq_run(spark, sf).execution,
+        "dq_resubmitted_rule_U002": q_dq_rule("U002", _resubmitted_weighted),
+        "dq_resubmitted_rule_results": lambda spark, sf: analyse_weighted(
+            _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
+            ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)).rule_results,
     })
     return out

@@ -49,3 +49,10 @@ def test_day_difference_floors(spark):
                     compare_dates_ge("a", "b").alias("ge")).collect()
     assert [r.d for r in out] == [14, -14, 3, -1, None]
     assert [r.ge for r in out] == [True, False, True, False, None]
+
+
+def test_days_since(spark):
+    from qualstar.functions.dates import days_since
+    df = spark.createDataFrame([("2024-01-01",), ("2023-12-31T12:00:00",), ("bad",)], "s string")
+    got = [r[0] for r in df.select(days_since("s", "2024-01-31 00:00:00")).collect()]
+    assert got == [30, 30, None]

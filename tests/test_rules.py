@@ -158,3 +158,10 @@ def test_one_pass_counts_equal_row_level_brute_force(spark):
         assert agg[f"pass_{r.rule_id}"] == b[r.rule_id], r.rule_id
     for d in dims:
         assert agg[f"dim_{d}"] == b["dim_" + d], d
+
+
+def test_rule_pass_rates_dict(spark):
+    rules = default_rules(P)
+    df = spark.createDataFrame([row(), row(application_id="A2", citizen_nric=None)], SCHEMA)
+    rates = dq.rule_pass_rates(dq.score_aggregates(dq.evaluate_weighted(df, rules, P), rules), rules)
+    assert len(rates) == 25 and rates["V001"]["pass_rate"] == 50.0 and rates["C001"]["failing_rows"] == 0

@@ -7,8 +7,11 @@ format is gated by a shape regex first, so the Spark parser cannot read more
 than the format allows (three-digit months, signed years).  Leading and
 trailing whitespace is ignored, whole placeholder values give NULL.
 
-Day counts are floors of the exact difference, like a ``timedelta.days``;
-they assume a UTC session (see ``session.SESSION_DEFAULTS``).
+Parsed values are wall-clock timestamps (``TIMESTAMP_NTZ``) and day counts
+are floors of the exact wall-clock difference, like ``timedelta.days`` on
+naive datetimes, so a daylight-saving switch in the session time zone cannot
+shift a count by an hour.  (Only a clock time that falls inside a DST gap of
+a non-UTC session is moved by the parser; sessions here run in UTC.)
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ def parse_flexible(c) -> Column:
     ])
     usable = (s != "") & ~F.upper(s).isin(DATE_PLACEHOLDERS)
     # Year 0 parses in Spark but is not a calendar year.
-    return F.when(usable & (F.year(parsed) >= 1), parsed)
+    return F.when(usable & (F.year(parsed) >= 1), parsed.cast("timestamp_ntz"))
 
 
 def is_strict_iso_date(c) -> Column:
@@ -71,12 +74,13 @@ def date_typed(df, name: str) -> bool:
 def as_timestamp(df, name: str) -> Column:
     """Column ``name`` as timestamp: typed dates pass through, text is parsed."""
     if date_typed(df, name):
-        return F.col(name).cast("timestamp")
+        return F.col(name).cast("timestamp_ntz")
     return parse_flexible(F.col(name))
 
 
 def micros_between(later: Column, earlier: Column) -> Column:
-    return F.unix_micros(later) - F.unix_micros(earlier)
+    """Exact wall-clock difference in microseconds (NTZ values)."""
+    return F.timestamp_diff("MICROSECOND", earlier, later)
 
 
 def days_between(later: Column, earlier: Column) -> Column:
@@ -93,8 +97,8 @@ def days_between_within(later: Column, earlier: Column, lo_days: int, hi_days: i
 def days_since(c, as_of) -> Column:
     """Whole days from the parsed date ``c`` to ``as_of`` (a timestamp Column
     or ISO text), rounded down; NULL when ``c`` does not parse."""
-    ref = as_of if isinstance(as_of, Column) else F.to_timestamp(F.lit(as_of))
-    return days_between(ref, parse_flexible(c))
+    ref = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    return days_between(ref.cast("timestamp_ntz"), parse_flexible(c))
 
 
 def compare_dates_ge(a, b) -> Column:

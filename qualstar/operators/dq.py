@@ -35,8 +35,8 @@ CONTEXT = ["_app_ts", "_dec_ts", "_id_rows", "_as_of"]
 def _as_of_literal(params: DQParams) -> Column:
     if params.as_of is None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        return F.lit(now).cast("timestamp")
-    return F.to_timestamp(F.lit(params.as_of))
+        return F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(params.as_of).cast("timestamp_ntz")
 
 
 def collapse_copies(df: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def _with_id_rows(collapsed: DataFrame, id_col: str) -> DataFrame:
 def _with_dates(df: DataFrame, params: DQParams) -> DataFrame:
     cols = {"_as_of": _as_of_literal(params)}
     for src, dst in (("application_date", "_app_ts"), ("decision_date", "_dec_ts")):
-        cols[dst] = as_timestamp(df, src) if src in df.columns else F.lit(None).cast("timestamp")
+        cols[dst] = as_timestamp(df, src) if src in df.columns else F.lit(None).cast("timestamp_ntz")
     return df.withColumns(cols)
 
 

@@ -20,8 +20,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import (MICROS_PER_DAY, date_typed, days_between_within, is_strict_iso_date,
-                               can_canonicalise)
+from ..functions.dates import (MICROS_PER_DAY, can_canonicalise, date_typed, days_between_within,
+                               is_strict_iso_date, micros_between)
 from ..functions.text import contains_any
 from ..params import (GRANT_SCHEMES, GRANT_STATUSES, NRIC_PATTERN, PLACEHOLDER_SUBSTRINGS, RULE_CATALOGUE,
                       DQParams)
@@ -105,7 +105,7 @@ def _t001(df, p):
 
 def _t002(df, p):
     max_days = p.max_age_years * 365
-    age = F.unix_micros(F.col("_as_of")) - F.unix_micros(F.col("_app_ts"))
+    age = micros_between(F.col("_as_of"), F.col("_app_ts"))
     fresh = age < F.lit((max_days + 1) * MICROS_PER_DAY)
     return F.when(F.col("application_date").isNotNull(), F.coalesce(fresh, F.lit(False))).otherwise(True)
 

@@ -165,3 +165,15 @@ def test_rule_pass_rates_dict(spark):
     df = spark.createDataFrame([row(), row(application_id="A2", citizen_nric=None)], SCHEMA)
     rates = dq.rule_pass_rates(dq.score_aggregates(dq.evaluate_weighted(df, rules, P), rules), rules)
     assert len(rates) == 25 and rates["V001"]["pass_rate"] == 50.0 and rates["C001"]["failing_rows"] == 0
+
+
+@pytest.mark.parametrize("dec,expected", [("2024-03-31", True), ("2024-04-01", False)])
+def test_t001_is_wall_clock_across_dst(spark, dec, expected):
+    """30 days after 2024-03-01 crosses the US DST switch; the lag must still
+    be 30 whole days (31 fails), whatever the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert passes(spark, "T001", application_date="2024-03-01", decision_date=dec) is expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -127,6 +127,57 @@ def score_aggregates(weighted: DataFrame, rules: list[Rule]) -> DataFrame:
     return weighted.agg(*aggs)
 
 
+def _direct_applies(rules: list[Rule]) -> bool:
+    """U001 depends on the whole id group; the join-free path handles it when
+    its dimension holds no row rule besides U001/U002 (the default catalogue)."""
+    u001 = [r for r in rules if r.rule_id == "U001"]
+    if not u001:
+        return True
+    dim = u001[0].dimension
+    return all(r.rule_id in ("U001", "U002") for r in rules if r.dimension == dim)
+
+
+def score_aggregates_direct(df: DataFrame, rules: list[Rule] | None = None, params: DQParams = DQParams(),
+                            id_col: str = "application_id") -> DataFrame:
+    """The same one-row result as ``score_aggregates(evaluate_weighted(df))``
+    without joining per-id counts back to the rows.
+
+    A row passes U001 when its id occurs once; such an id has one row, which
+    is also its first copy.  So U001 (and a dimension of U001 with U002)
+    passes for exactly the ids counted once — a count over the per-id table.
+    Plan: one full shuffle (collapse, combined map-side), then two
+    aggregations over it (the exchange is reused) — rule counts over the
+    collapsed rows, and a narrow (id, copies) shuffle for the id counts —
+    merged by a union of the two one-row results.
+    """
+    rules = rules if rules is not None else default_rules(params)
+    if not _direct_applies(rules) or id_col not in df.columns:
+        return score_aggregates(evaluate_weighted(df, rules, params, id_col), rules)
+    collapsed = collapse_copies(df).withColumn("_id_rows", F.lit(None).cast("long"))
+    work = _with_dates(collapsed, params)
+    row_rules = [r for r in rules if r.rule_id != "U001"]
+    work = work.withColumns(_rule_columns(work, row_rules, params))
+    u_dim = next((r.dimension for r in rules if r.rule_id == "U001"), None)
+
+    names = ["total_rows"] + [f"pass_{r.rule_id}" for r in rules] + \
+        [f"dim_{d}" for d in DQ_DIMENSIONS if any(r.dimension == d for r in rules)]
+    row_part = score_aggregates(work, row_rules)
+    row_cols = {n: (F.col(n) if n in row_part.columns else F.lit(0).cast("long")) for n in names}
+    if u_dim is not None:
+        row_cols[f"dim_{u_dim}"] = F.lit(0).cast("long")
+    row_part = row_part.select(*[row_cols[n].cast("long").alias(n) for n in names])
+
+    per_id = collapsed.groupBy(id_col).agg(F.sum(COPIES).alias("_n"))
+    singles = F.count_if(F.col("_n") == 1).cast("long")
+    id_cols = {n: F.lit(0).cast("long") for n in names}
+    if u_dim is not None:
+        id_cols["pass_U001"] = singles
+        id_cols[f"dim_{u_dim}"] = singles
+    id_part = per_id.agg(*[id_cols[n].alias(n) for n in names])
+    both = row_part.unionByName(id_part)
+    return both.agg(*[F.sum(n).cast("long").alias(n) for n in names])
+
+
 def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dq import dimension_scores, evaluate_weighted, rule_results, score_aggregates
+from ..operators.dq import dimension_scores, rule_results, score_aggregates, score_aggregates_direct
 from ..operators.rules import Rule, default_rules
 from ..params import DQParams
 from ..session import pin
@@ -60,13 +60,17 @@ def analyse(df: DataFrame, params: DQParams = DQParams(), rules: list[Rule] | No
     ts = execution_timestamp or datetime.now(timezone.utc).replace(tzinfo=None)
     if params.as_of is None:
         params = DQParams(**{**params.__dict__, "as_of": ts.isoformat(sep=" ")})
-    return analyse_weighted(evaluate_weighted(df, rules, params), params, rules, execution_id, ts, pin_aggregate)
+    return _results(score_aggregates_direct(df, rules, params), params, rules, execution_id, ts, pin_aggregate)
 
 
 def analyse_weighted(weighted: DataFrame, params: DQParams, rules: list[Rule], execution_id: str,
                      ts: datetime, pin_aggregate: bool = True) -> DQRun:
     """Result tables from an already evaluated (collapsed) rule table."""
-    aggregates = score_aggregates(weighted, rules)
+    return _results(score_aggregates(weighted, rules), params, rules, execution_id, ts, pin_aggregate)
+
+
+def _results(aggregates: DataFrame, params: DQParams, rules: list[Rule], execution_id: str,
+             ts: datetime, pin_aggregate: bool) -> DQRun:
     if pin_aggregate:
         aggregates = pin(aggregates, "dq-aggregates")
     dims = dimension_scores(aggregates, rules, execution_id)

@@ -177,3 +177,18 @@ def test_t001_is_wall_clock_across_dst(spark, dec, expected):
         assert passes(spark, "T001", application_date="2024-03-01", decision_date=dec) is expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_direct_aggregates_equal_joined_path(spark):
+    rows = ([row(application_id="HOT")] * 7 + [row(application_id="HOT", household_size=9)] * 2 +
+            [row(application_id=f"A{i % 5}", household_income=float(i)) for i in range(12)] +
+            [row(application_id=None)] * 2 + [row(application_id="U1")])
+    df = spark.createDataFrame(rows, SCHEMA)
+    rules = default_rules(P)
+    a = dq.score_aggregates(dq.evaluate_weighted(df, rules, P), rules).first().asDict()
+    b = dq.score_aggregates_direct(df, rules, P).first().asDict()
+    assert a == b
+    # a rule set where U001 shares a dimension with a row rule takes the join path
+    mixed = [r if r.rule_id != "V001" else type(r)(r.rule_id, r.rule_name, "Uniqueness", r.build) for r in rules]
+    assert dq.score_aggregates_direct(df, mixed, P).first().asDict() == \
+        dq.score_aggregates(dq.evaluate_weighted(df, mixed, P), mixed).first().asDict()

@@ -40,11 +40,19 @@ class Paths:
     gold: str
 
 
-def run_bronze(spark: SparkSession, csv_path: str, bronze_path: str, source_file: str | None = None,
-               ingestion_timestamp: str | None = None) -> DataFrame:
-    df = add_lineage(read_tax_csv(spark, csv_path), source_file=source_file or csv_path,
-                     ingestion_timestamp=ingestion_timestamp)
-    write_partitioned(df, bronze_path, on_null="raise")
+def run_bronze(spark: SparkSession, source, bronze_path: str, source_file: str | None = None,
+               ingestion_timestamp: str | None = None, null_years: str = "raise") -> DataFrame:
+    """CSV path (typed read) or a DataFrame with the 18 columns -> bronze.
+
+    A NULL assessment year cannot be placed in the year-partitioned layer:
+    ``null_years='raise'`` stops the run (default), ``'drop'`` leaves such
+    rows out with a warning."""
+    if isinstance(source, str):
+        raw, name = read_tax_csv(spark, source), source_file or source
+    else:
+        raw, name = source, source_file
+    df = add_lineage(raw, source_file=name, ingestion_timestamp=ingestion_timestamp)
+    write_partitioned(df, bronze_path, on_null=null_years)
     return spark.read.parquet(bronze_path)
 
 
@@ -91,10 +99,11 @@ def run_gold(silver: DataFrame, gold_path: str, p: TaxParams = TaxParams(), look
     return {name: spark.read.parquet(f"{base}/{name}") for name in star}
 
 
-def run_full_pipeline(spark: SparkSession, csv_path: str, paths: Paths, p: TaxParams = TaxParams(),
+def run_full_pipeline(spark: SparkSession, source, paths: Paths, p: TaxParams = TaxParams(),
                       lookup_path: str | None = None, source_file: str | None = None,
-                      ingestion_timestamp: str | None = None) -> dict:
-    bronze = run_bronze(spark, csv_path, paths.bronze, source_file, ingestion_timestamp)
+                      ingestion_timestamp: str | None = None, bronze_null_years: str = "raise") -> dict:
+    """Bronze -> silver/rejected -> gold.  ``source`` is a CSV path or a DataFrame."""
+    bronze = run_bronze(spark, source, paths.bronze, source_file, ingestion_timestamp, bronze_null_years)
     silver, rejected, counts = run_silver(bronze, paths.silver, paths.rejected, p)
     if silver is None:
         log.warning("no accepted or quarantined returns; gold layer not built")

@@ -95,3 +95,17 @@ def test_dq_run_failure_still_records_execution(spark, tmp_dir):
         run_analysis(spark, os.path.join(tmp_dir, "does-not-exist.csv"), out_dir, execution_id="bad")
     rows = spark.read.option("header", True).csv(os.path.join(out_dir, "dq_execution")).collect()
     assert [(r.execution_id, r.status) for r in rows] == [("bad", "FAILED")]
+
+
+def test_pipeline_from_frame_and_null_years(spark, tmp_dir):
+    from qualstar.sources.files import TAX_SCHEMA
+    rows = [[None if v == "" else v for v in r] for r in TAX_ROWS]
+    typed = spark.createDataFrame([tuple(
+        (int(v) if t == "int" else float(v) if t == "double" else v) if v not in (None, "abc") else None
+        for v, (_, t) in zip(r, TAX_COLUMNS)) for r in rows], TAX_SCHEMA)
+    with_null = typed.unionByName(typed.limit(1).withColumn("assessment_year", F.lit(None).cast("int")))
+    paths = Paths(*(os.path.join(tmp_dir, p) for p in ("bronze", "silver", "rejected", "gold")))
+    with pytest.raises(WriteGuardError):
+        run_full_pipeline(spark, with_null, paths)
+    out = run_full_pipeline(spark, with_null, paths, bronze_null_years="drop")
+    assert out["bronze"].count() == 4 and out["gold"]["fact_tax_returns"].count() == 2

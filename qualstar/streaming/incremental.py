@@ -21,6 +21,7 @@ daily run); ``"continuous"`` keeps polling every ``interval``.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,14 +88,16 @@ def start_dq_monitor(spark: SparkSession, input_dir: str, history_dir: str, chec
                      params: DQParams = DQParams(), trigger: str = "available_now",
                      interval: str = "1 minute") -> StreamingQuery:
     stream = spark.readStream.schema(GRANT_SCHEMA).option("header", True).csv(input_dir)
+    checkpoint = f"{checkpoint_root.rstrip('/')}/dq_monitor"
+    # Stable across restarts of this monitor (same checkpoint), distinct
+    # between monitors: a replayed batch writes the same execution_id again.
+    prefix = "dq-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        qid = spark.conf.get("qualstar.dq.queryId", "dq")
-        run = analyse(batch, params, execution_id=f"{qid}-{batch_id}")
+        run = analyse(batch, params, execution_id=f"{prefix}-{batch_id}")
         record_history(run, history_dir)
 
-    w = (stream.writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/dq_monitor"))
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger, interval).queryName("dq_monitor").start()

@@ -98,16 +98,17 @@ def _bytes(conf: str) -> int:
 
 def broadcast_if_small(dim: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast ``dim`` when a bounded count shows it under ``max_bytes``
-    (default: the session's auto-broadcast threshold); else leave it to a
-    shuffle join.  The count stops after ``max_rows + 1`` rows, so checking a
-    large dimension costs no more than reading that many rows."""
+    (default: the session's auto-broadcast threshold); otherwise ask for a
+    sort-merge join, so the planner does not broadcast it on the strength of
+    its compressed file size.  The count stops after ``max_rows + 1`` rows,
+    so checking a large dimension costs no more than reading that many rows."""
     if max_bytes is None:
         max_bytes = _bytes(dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
     if max_bytes <= 0:
         return dim
     max_rows = max(1, max_bytes // estimated_row_bytes(dim))
     n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if n <= max_rows else dim.hint("shuffle_merge")
 
 
 def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: DataFrame,

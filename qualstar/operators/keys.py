@@ -39,11 +39,13 @@ def assign_dense_keys(df: DataFrame, order_by, key: str, num_partitions: int | N
     dimensions call it after ``distinct`` with their full natural key).
     Ascending order, NULLs first, as Spark sorts by default.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = _order_cols(order_by)
-    ranged = (df.repartitionByRange(n, *ordered)
-              .sortWithinPartitions(*ordered)
+    # Without an explicit count AQE may merge adjacent range partitions to
+    # its advisory size; merged partitions keep the global order, so a small
+    # dimension uses few tasks and a large one as many as its size needs.
+    ranged = (df.repartitionByRange(num_partitions, *ordered) if num_partitions
+              else df.repartitionByRange(*ordered))
+    ranged = (ranged.sortWithinPartitions(*ordered)
               .withColumn("_qs_mid", F.monotonically_increasing_id()))
     if pin_result:
         ranged = pin(ranged, f"keys-{key}")

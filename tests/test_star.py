@@ -1,4 +1,6 @@
 import json
+
+import pytest
 import os
 import random
 
@@ -14,12 +16,13 @@ from qualstar.sources.files import read_postal_lookup, schema_of
 from qualstar.params import TAX_COLUMNS
 
 
-def test_dense_keys_match_global_row_number(spark):
+@pytest.mark.parametrize("parts", [None, 5])
+def test_dense_keys_match_global_row_number(spark, parts):
     random.seed(7)
     rows = {(random.choice(["a", "b", None, "c"]), random.randint(0, 500), random.choice([None, 1.5, 2.5]))
             for _ in range(3000)}
     df = spark.createDataFrame(sorted(rows, key=str), "k1 string, k2 int, k3 double").repartition(7)
-    got = assign_dense_keys(df, ["k1", "k2", "k3"], "key", num_partitions=5)
+    got = assign_dense_keys(df, ["k1", "k2", "k3"], "key", num_partitions=parts)
     w = Window.orderBy(F.asc_nulls_first("k1"), F.asc_nulls_first("k2"), F.asc_nulls_first("k3"))
     want = df.withColumn("want", F.row_number().over(w) - 1)
     joined = got.join(want, [got.k1.eqNullSafe(want.k1), got.k2.eqNullSafe(want.k2), got.k3.eqNullSafe(want.k3)])

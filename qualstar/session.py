@@ -16,6 +16,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # The 25 rules + 31 sums fuse into one stage whose generated method is
+    # larger than the JVM JIT compiles (8 000 bytes of bytecode); such a
+    # stage then runs interpreted.  At this limit Spark compiles those
+    # operators separately instead (measured: DQ run 14 s -> 9 s at sf0.1).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -146,9 +146,13 @@ def _dq_weighted(spark, sf, source=grant_applications, kind="dq-weighted"):
     """The collapsed rule-evaluation table (all 25 rules), materialised once
     per session and input folder; every DQ report reads it."""
     checkpoint_dir(spark)
-    return _memo(kind, spark, sf, lambda: pin(
-        dq.evaluate_weighted(source(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
-        kind), files=("lineitem", "orders"))
+    rules = default_rules(ORACLE_DQ_PARAMS)
+
+    def build():
+        w = dq.evaluate_weighted(source(spark, sf), rules, ORACLE_DQ_PARAMS)
+        # The reports read the id, the copy count and the rule flags only.
+        return pin(w.select("application_id", dq.COPIES, *[r.column for r in rules]), kind)
+    return _memo(kind, spark, sf, build, files=("lineitem", "orders"))
 
 
 def _resubmitted_weighted(spark, sf):

@@ -28,7 +28,8 @@ def partition_profile(df: DataFrame, column: str) -> tuple[int, int]:
 
 
 def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year", on_null: str = "raise",
-                      mode: str = "overwrite", profile: tuple[int, int] | None = None) -> int:
+                      mode: str = "overwrite", profile: tuple[int, int] | None = None,
+                      rebalance: bool = False) -> int:
     """Parquet (snappy) partitioned by ``column``.
 
     Guards: empty path or missing column raise; an empty frame is skipped
@@ -37,10 +38,12 @@ def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year",
     replaces only the partitions present in ``df`` (dynamic mode).
     ``profile`` = (rows, NULL rows) when the caller has counted already.
 
-    The rows are rebalanced on the partition column before the write: AQE
-    merges small partitions and splits a dominant year into several tasks,
-    so each year gets a few evenly sized files instead of one file per task
-    and year, and a year holding most rows is not written by one task.
+    No shuffle by default: each task writes one file per year it holds, and
+    with ~128 MB input splits and a handful of years those files are already
+    of a useful size, so the whole layer is not moved over the network for
+    its write.  ``rebalance=True`` (for inputs made of many tiny partitions)
+    adds AQE's rebalance on the partition column, which merges small
+    partitions and splits a dominant year over several tasks.
     """
     path = _check_path(path)
     if df is None:
@@ -59,7 +62,9 @@ def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year",
         log.warning("leaving out %d of %d rows with NULL %s", nulls, n, column)
         df = df.filter(F.col(column).isNotNull())
         n -= nulls
-    (df.hint("rebalance", column).write.mode(mode).option("compression", "snappy")
+    if rebalance:
+        df = df.hint("rebalance", column)
+    (df.write.mode(mode).option("compression", "snappy")
      .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
     return n
 

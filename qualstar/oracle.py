@@ -447,3 +447,11 @@ def resubmitted_queries(params: DQParams = DQParams(), execution_id: str = ORACL
     out["dq_resubmitted_rule_results"] = full.replace(f"grant_applications AS ({grant_applications_sql()})",
                                                       f"grant_applications AS ({src})", 1)
     return out
+
+
+def rule_table_query(params: DQParams = DQParams()) -> dict[str, str]:
+    """Row-level rule table: every input row with its 25 rule results (NULL kept)."""
+    rs = rule_sql(params)
+    cols = ", ".join(GRANT_COLS)
+    flags = ", ".join(f"{rs[rid]} AS rule_{rid}_pass" for rid, _, _ in RULE_CATALOGUE)
+    return {"dq_rule_table": _with(f"SELECT {cols}, {flags} FROM ga_ctx", grant_ctes())}

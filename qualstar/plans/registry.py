@@ -223,6 +223,8 @@ def queries() -> dict:
         "dq_scores_minimal": lambda spark, sf: _dq_run(spark, sf).scores_minimal,
         "dq_scores_full": lambda spark, sf: _dq_run(spark, sf).scores_full,
         "dq_execution": lambda spark, sf: _dq_run(spark, sf).execution,
+        "dq_rule_table": lambda spark, sf: dq.evaluate_all(
+            grant_applications(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
         "dq_resubmitted_rule_U002": q_dq_rule("U002", _resubmitted_weighted),
         "dq_resubmitted_rule_results": lambda spark, sf: analyse_weighted(
             _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),

@@ -230,18 +230,23 @@ def expand_copies(weighted: DataFrame, rules: list[Rule] | None = None, chunk: i
     output row per input row (the collapsed rows fanned out again).  The first
     copy of each group of identical rows passes U002, the others fail it.
 
-    Large copy groups are first cut into chunks of ``chunk`` copies and
-    spread over the cluster, so no single task generates a hot group."""
+    Groups of at most ``chunk`` copies (nearly all rows) are fanned out where
+    they are, without a shuffle.  Larger groups are first cut into chunks of
+    ``chunk`` copies and only those chunk rows are spread over the cluster, so
+    no single task generates a hot group."""
     rules = rules if rules is not None else []
     keep = [c for c in weighted.columns if c not in CONTEXT]
     n = F.col(COPIES)
-    chunks = weighted.select(*keep, F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         F.floor((n - 1) / chunk).cast("long"))).alias("_qs_chunk"))
-    chunks = chunks.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_qs_chunk")))
+    zero = F.lit(0).cast("long")
+
+    small = weighted.filter(n <= chunk).select(*keep, zero.alias("_qs_chunk"))
+    big = weighted.filter(n > chunk).select(
+        *keep, F.explode(F.sequence(zero, F.floor((n - 1) / chunk).cast("long"))).alias("_qs_chunk"))
+    big = big.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_qs_chunk")))
+    chunks = small.unionByName(big)
     start = F.col("_qs_chunk") * chunk
     size = F.least(F.lit(chunk).cast("long"), n - start)
-    rows = chunks.select(*keep, "_qs_chunk",
-                         F.explode(F.sequence(F.lit(0).cast("long"), size - 1)).alias("_qs_i"))
+    rows = chunks.select(*keep, "_qs_chunk", F.explode(F.sequence(zero, size - 1)).alias("_qs_i"))
     first = (F.col("_qs_chunk") == 0) & (F.col("_qs_i") == 0)
     for r in rules:
         if r.kind == "first_copy" and r.column in rows.columns:

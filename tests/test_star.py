@@ -111,3 +111,13 @@ def test_broadcast_only_when_small(spark):
         or "broadcast" in str(small.join(broadcast_if_small(small, 10_000), "id")._jdf.queryExecution().optimizedPlan()).lower()
     joined = big.join(broadcast_if_small(big, 10_000), "id")
     assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_share_of_total_with_nothing_paid(spark):
+    from qualstar.plans import analytics
+    df = _returns(spark).withColumn("tax_paid_sgd", F.lit(0.0))
+    star = build_star_schema(silver_transform(df))
+    rows = analytics.bo_3a_revenue_by_region(star).collect()
+    assert rows and all(r.revenue_percentage is None for r in rows)
+    sql_rows = analytics.run_sql(spark, "bo_3a_revenue_by_region", star, prefix="t0_").collect()
+    assert all(r.revenue_percentage is None for r in sql_rows)

@@ -195,9 +195,9 @@ def rule_results(aggregates: DataFrame, rules: list[Rule], execution_id: str) ->
     failing = F.col("total_rows") - F.col("passing_rows")
     return long.select(
         F.lit(execution_id).alias("execution_id"), "rule_id", "dimension_name", "rule_name",
-        F.col("total_rows").cast("int").alias("total_rows"),
-        F.col("passing_rows").cast("int").alias("passing_rows"),
-        failing.cast("int").alias("failing_rows"),
+        F.col("total_rows").cast("long").alias("total_rows"),
+        F.col("passing_rows").cast("long").alias("passing_rows"),
+        failing.cast("long").alias("failing_rows"),
         _rate(failing, F.col("total_rows")).alias("failure_rate"),
         F.col("rule_order"),
     ).orderBy("rule_order").drop("rule_order")
@@ -217,9 +217,9 @@ def dimension_scores(aggregates: DataFrame, rules: list[Rule], execution_id: str
     return long.select(
         F.lit(execution_id).alias("execution_id"), "dimension_name",
         _rate(F.col("passing_rows"), F.col("total_rows")).alias("score"),
-        F.col("total_rows").cast("int").alias("total_rows"),
-        F.col("passing_rows").cast("int").alias("passing_rows"),
-        failing.cast("int").alias("failing_rows"),
+        F.col("total_rows").cast("long").alias("total_rows"),
+        F.col("passing_rows").cast("long").alias("passing_rows"),
+        failing.cast("long").alias("failing_rows"),
         F.col("rule_count").cast("int").alias("rule_count"),
         F.col("dim_order"),
     ).orderBy("dim_order").drop("dim_order")

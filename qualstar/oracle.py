@@ -405,8 +405,8 @@ def dq_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTI
         for i, (rid, _, dim) in enumerate(RULE_CATALOGUE))
     out["dq_rule_results"] = _with(
         f"SELECT {q(execution_id)} AS execution_id, rule_id, dimension_name, rule_name, "
-        "CAST(total_rows AS INTEGER) AS total_rows, CAST(passing_rows AS INTEGER) AS passing_rows, "
-        "CAST(total_rows - passing_rows AS INTEGER) AS failing_rows, "
+        "CAST(total_rows AS BIGINT) AS total_rows, CAST(passing_rows AS BIGINT) AS passing_rows, "
+        "CAST(total_rows - passing_rows AS BIGINT) AS failing_rows, "
         "CASE WHEN total_rows > 0 THEN CAST(round(CAST((total_rows - passing_rows) / total_rows * 100.0 AS DECIMAL(38,18)), 2) AS DOUBLE) ELSE 0.0 END AS failure_rate "
         f"FROM ({rule_rows}) ORDER BY o", ctes)
 
@@ -421,8 +421,8 @@ def dq_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTI
     dim_scores = (
         f"SELECT {q(execution_id)} AS execution_id, dimension_name, "
         "CASE WHEN total_rows > 0 THEN CAST(round(CAST(passing_rows / total_rows * 100.0 AS DECIMAL(38,18)), 2) AS DOUBLE) ELSE 0.0 END AS score, "
-        "CAST(total_rows AS INTEGER) AS total_rows, CAST(passing_rows AS INTEGER) AS passing_rows, "
-        "CAST(total_rows - passing_rows AS INTEGER) AS failing_rows, CAST(rule_count AS INTEGER) AS rule_count, o "
+        "CAST(total_rows AS BIGINT) AS total_rows, CAST(passing_rows AS BIGINT) AS passing_rows, "
+        "CAST(total_rows - passing_rows AS BIGINT) AS failing_rows, CAST(rule_count AS INTEGER) AS rule_count, o "
         f"FROM ({dim_rows})")
     out["dq_dimension_scores"] = _with(f"SELECT * EXCLUDE (o) FROM ({dim_scores}) ORDER BY o", ctes)
     out["dq_scores_minimal"] = _with(f"SELECT dimension_name, score FROM ({dim_scores}) ORDER BY o", ctes)
@@ -432,7 +432,7 @@ def dq_queries(params: DQParams = DQParams(), execution_id: str = ORACLE_EXECUTI
     out["dq_execution"] = _with(
         f"SELECT {q(execution_id)} AS execution_id, TIMESTAMP '{execution_ts}' AS execution_timestamp, "
         f"{q(params.dataset_name)} AS dataset_name, CAST(NULL AS VARCHAR) AS dataset_version, "
-        "CAST(count(*) AS INTEGER) AS total_rows, 'SUCCESS' AS status FROM grant_applications", ctes)
+        "CAST(count(*) AS BIGINT) AS total_rows, 'SUCCESS' AS status FROM grant_applications", ctes)
     return out
 
 

@@ -45,7 +45,7 @@ def execution_record(spark: SparkSession, execution_id: str, ts: datetime, param
         F.lit(ts).cast("timestamp").alias("execution_timestamp"),
         F.lit(params.dataset_name).alias("dataset_name"),
         F.lit(params.dataset_version).cast("string").alias("dataset_version"),
-        total.cast("int").alias("total_rows"),
+        total.cast("long").alias("total_rows"),
         F.lit(status).alias("status"))
 
 
@@ -79,7 +79,7 @@ def _results(aggregates: DataFrame, params: DQParams, rules: list[Rule], executi
         F.lit(execution_id).alias("execution_id"), F.lit(ts).cast("timestamp").alias("execution_timestamp"),
         F.lit(params.dataset_name).alias("dataset_name"),
         F.lit(params.dataset_version).cast("string").alias("dataset_version"),
-        F.col("total_rows").cast("int").alias("total_rows"), F.lit("SUCCESS").alias("status"))
+        F.col("total_rows").cast("long").alias("total_rows"), F.lit("SUCCESS").alias("status"))
     minimal = dims.select("dimension_name", "score")
     full = dims.withColumns({"execution_timestamp": F.lit(ts.isoformat()),
                              "dataset_name": F.lit(params.dataset_name)})

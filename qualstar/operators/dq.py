@@ -4,8 +4,10 @@ Identical input rows get identical results for every rule except U002, so
 the evaluator first collapses identical rows into one row with a copy count
 (``_copies``).  That aggregation combines map-side, so a value copied into a
 third of the input shrinks before the shuffle instead of landing in one task.
-Per-id row counts for U001 come from a second pre-aggregated ``groupBy`` that
-is joined back (AQE splits a hot id on the big side of that join).
+Per-id row counts for U001 come from a second pre-aggregated ``groupBy``.
+The row-level table joins them back (AQE splits a hot id on the big side of
+that join); the aggregate-only path (``score_aggregates_direct``) counts the
+ids seen once without any join.
 
 Every result is then a weighted count over the collapsed rows: a row rule
 passes for all ``_copies`` copies or for none, U002 passes for exactly one

@@ -192,3 +192,24 @@ def test_direct_aggregates_equal_joined_path(spark):
     mixed = [r if r.rule_id != "V001" else type(r)(r.rule_id, r.rule_name, "Uniqueness", r.build) for r in rules]
     assert dq.score_aggregates_direct(df, mixed, P).first().asDict() == \
         dq.score_aggregates(dq.evaluate_weighted(df, mixed, P), mixed).first().asDict()
+
+
+def test_v005_double_sizes_and_typed_dates(spark):
+    import datetime as dt
+    schema = SCHEMA.replace("household_size int", "household_size double") \
+        .replace("application_date string", "application_date date").replace("decision_date string", "decision_date date")
+    base = dict(zip([c.split()[0] for c in SCHEMA.split(", ")], row()))
+    rows = []
+    for i, (size, app, dec) in enumerate([(3.0, dt.date(2024, 1, 1), dt.date(2024, 1, 10)),
+                                          (2.5, dt.date(2024, 1, 1), None),
+                                          (25.0, None, dt.date(2023, 1, 1))]):
+        r = dict(base, application_id=f"A{i}", household_size=size, application_date=app, decision_date=dec)
+        rows.append(tuple(r[c.split()[0]] for c in SCHEMA.split(", ")))
+    df = spark.createDataFrame(rows, schema)
+    rules = [rules_by_id(P)[x] for x in ("V005", "CF001", "CF002", "CS001", "T001")]
+    got = {r.application_id: r for r in dq.evaluate_all(df, rules, P).collect()}
+    assert [got[f"A{i}"].rule_V005_pass for i in range(3)] == [True, False, False]
+    assert all(got[f"A{i}"].rule_CF001_pass for i in range(3))          # typed dates conform
+    assert [got[f"A{i}"].rule_CF002_pass for i in range(3)] == [True, True, False]  # NULL fails
+    assert [got[f"A{i}"].rule_CS001_pass for i in range(3)] == [True, True, True]
+    assert [got[f"A{i}"].rule_T001_pass for i in range(3)] == [True, True, True]

@@ -7,7 +7,7 @@ from qualstar.operators.rules import default_rules
 from qualstar.params import DQParams, GRANT_COLUMNS, TAX_COLUMNS
 from qualstar.sources.files import missing_columns, read_grant_csv, read_tax_csv
 from qualstar.sources.lineage import add_lineage, record_fingerprint
-from tests.test_pipeline import GRANT_ROWS, TAX_ROWS, write_csv
+from tests.test_pipeline import TAX_ROWS, write_csv
 
 
 def test_header_check_reports_missing_columns(spark, tmp_dir):

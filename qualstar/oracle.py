@@ -455,3 +455,27 @@ def rule_table_query(params: DQParams = DQParams()) -> dict[str, str]:
     cols = ", ".join(GRANT_COLS)
     flags = ", ".join(f"{rs[rid]} AS rule_{rid}_pass" for rid, _, _ in RULE_CATALOGUE)
     return {"dq_rule_table": _with(f"SELECT {cols}, {flags} FROM ga_ctx", grant_ctes())}
+
+
+ORACLE_EXECUTION_ID_2 = "00000000-0000-0000-0000-000000000002"
+ORACLE_EXECUTION_TS_2 = "2001-12-02 00:00:00"
+
+
+def history_queries(params: DQParams = DQParams()) -> dict[str, str]:
+    """Trend over two monitor runs: the grant view, then the view with its
+    Rejected applications resubmitted (a day later)."""
+    def dim_scores(src, execution_id):
+        q_ = dq_queries(params, execution_id)["dq_dimension_scores"]
+        return q_.replace(f"grant_applications AS ({grant_applications_sql()})", f"grant_applications AS ({src})", 1)
+    first = dim_scores(grant_applications_sql(), ORACLE_EXECUTION_ID)
+    second = dim_scores(resubmitted_sql(), ORACLE_EXECUTION_ID_2)
+    w = "PARTITION BY dimension_name ORDER BY execution_timestamp, execution_id"
+    return {"dq_history_trend": f"""
+SELECT dimension_name, execution_id, execution_timestamp, score,
+       lag(score) OVER ({w}) AS previous_score,
+       score - lag(score) OVER ({w}) AS score_change
+FROM (
+  SELECT *, TIMESTAMP '{ORACLE_EXECUTION_TS}' AS execution_timestamp FROM ({first})
+  UNION ALL
+  SELECT *, TIMESTAMP '{ORACLE_EXECUTION_TS_2}' AS execution_timestamp FROM ({second})
+)"""}

@@ -17,7 +17,7 @@ from ..session import checkpoint_dir, pin
 from ..sources.adapters import grant_applications, grant_applications_resubmitted, tax_returns
 from ..sources.files import read_postal_lookup
 from ..sources.lineage import add_lineage
-from . import analytics
+from . import analytics, history
 from .dq import analyse_weighted
 from .tax import silver_transform
 
@@ -190,6 +190,21 @@ def _dq_run(spark, sf):
         ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)), files=("lineitem", "orders"))
 
 
+def q_dq_history_trend(spark, sf):
+    """Two monitor runs appended as history (the grant view, then the view with
+    its Rejected applications resubmitted a day later) -> trend per dimension."""
+    from ..oracle import ORACLE_EXECUTION_ID_2, ORACLE_EXECUTION_TS_2
+    first = _dq_run(spark, sf)
+    second = analyse_weighted(_resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
+                              ORACLE_EXECUTION_ID_2, datetime.fromisoformat(ORACLE_EXECUTION_TS_2))
+    scores = None
+    for run in (first, second):
+        part = run.dimension_scores.withColumn("execution_timestamp",
+                                               F.lit(run.execution_timestamp).cast("timestamp"))
+        scores = part if scores is None else scores.unionByName(part)
+    return history.dimension_trend(scores)
+
+
 def queries() -> dict:
     out = {
         "src_postal_lookup": q_src_postal_lookup,
@@ -226,6 +241,7 @@ def queries() -> dict:
         "dq_rule_table": lambda spark, sf: dq.evaluate_all(
             grant_applications(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
         "dq_resubmitted_rule_U002": q_dq_rule("U002", _resubmitted_weighted),
+        "dq_history_trend": q_dq_history_trend,
         "dq_resubmitted_rule_results": lambda spark, sf: analyse_weighted(
             _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
             ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)).rule_results,

@@ -470,7 +470,20 @@ def history_queries(params: DQParams = DQParams()) -> dict[str, str]:
     first = dim_scores(grant_applications_sql(), ORACLE_EXECUTION_ID)
     second = dim_scores(resubmitted_sql(), ORACLE_EXECUTION_ID_2)
     w = "PARTITION BY dimension_name ORDER BY execution_timestamp, execution_id"
-    return {"dq_history_trend": f"""
+    both = (f"SELECT *, TIMESTAMP '{ORACLE_EXECUTION_TS}' AS execution_timestamp FROM ({first}) UNION ALL "
+            f"SELECT *, TIMESTAMP '{ORACLE_EXECUTION_TS_2}' AS execution_timestamp FROM ({second})")
+    rules2 = resubmitted_queries(params, ORACLE_EXECUTION_ID_2)["dq_resubmitted_rule_results"]
+    pivot = ", ".join(f"max(CASE WHEN dimension_name = {q(d)} THEN score END) AS {d}"
+                      for d in ["Completeness", "Uniqueness", "Validity", "Conformity", "Consistency", "Timeliness"])
+    out = {
+        "dq_history_failing_rules": (f"SELECT rule_id, dimension_name, rule_name, failing_rows, failure_rate "
+                                     f"FROM ({rules2}) WHERE execution_id = '{ORACLE_EXECUTION_ID_2}' AND failure_rate > 10.0"),
+        "dq_history_report": f"SELECT execution_id, execution_timestamp, {pivot} FROM ({both}) GROUP BY ALL",
+        "dq_history_alerts": (f"SELECT dimension_name, execution_id, score FROM (SELECT *, row_number() OVER "
+                              f"(PARTITION BY dimension_name ORDER BY execution_timestamp DESC, execution_id DESC) AS rn "
+                              f"FROM ({both})) WHERE rn = 1 AND score < 60.0"),
+    }
+    out["dq_history_trend"] = f"""
 SELECT dimension_name, execution_id, execution_timestamp, score,
        lag(score) OVER ({w}) AS previous_score,
        score - lag(score) OVER ({w}) AS score_change
@@ -478,4 +491,5 @@ FROM (
   SELECT *, TIMESTAMP '{ORACLE_EXECUTION_TS}' AS execution_timestamp FROM ({first})
   UNION ALL
   SELECT *, TIMESTAMP '{ORACLE_EXECUTION_TS_2}' AS execution_timestamp FROM ({second})
-)"""}
+)"""
+    return out

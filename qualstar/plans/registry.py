@@ -190,19 +190,40 @@ def _dq_run(spark, sf):
         ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)), files=("lineitem", "orders"))
 
 
-def q_dq_history_trend(spark, sf):
-    """Two monitor runs appended as history (the grant view, then the view with
-    its Rejected applications resubmitted a day later) -> trend per dimension."""
+def _history_runs(spark, sf):
+    """Two monitor runs kept as history: the grant view, then the view with its
+    Rejected applications resubmitted a day later."""
     from ..oracle import ORACLE_EXECUTION_ID_2, ORACLE_EXECUTION_TS_2
     first = _dq_run(spark, sf)
-    second = analyse_weighted(_resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
-                              ORACLE_EXECUTION_ID_2, datetime.fromisoformat(ORACLE_EXECUTION_TS_2))
-    scores = None
-    for run in (first, second):
-        part = run.dimension_scores.withColumn("execution_timestamp",
-                                               F.lit(run.execution_timestamp).cast("timestamp"))
-        scores = part if scores is None else scores.unionByName(part)
-    return history.dimension_trend(scores)
+    second = _memo("dq-run-2", spark, sf, lambda: analyse_weighted(
+        _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
+        ORACLE_EXECUTION_ID_2, datetime.fromisoformat(ORACLE_EXECUTION_TS_2)), files=("lineitem", "orders"))
+    return first, second
+
+
+def _history_table(runs, attr):
+    out = None
+    for run in runs:
+        part = getattr(run, attr).withColumn("execution_timestamp", F.lit(run.execution_timestamp).cast("timestamp"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_dq_history_trend(spark, sf):
+    return history.dimension_trend(_history_table(_history_runs(spark, sf), "dimension_scores"))
+
+
+def q_dq_history_failing_rules(spark, sf):
+    runs = _history_runs(spark, sf)
+    return history.failing_rules(_history_table(runs, "rule_results"), runs[1].execution_id, 10.0)
+
+
+def q_dq_history_report(spark, sf):
+    return history.score_report(_history_table(_history_runs(spark, sf), "dimension_scores"))
+
+
+def q_dq_history_alerts(spark, sf):
+    return history.alerts(_history_table(_history_runs(spark, sf), "dimension_scores"), 60.0)
 
 
 def queries() -> dict:
@@ -242,6 +263,9 @@ def queries() -> dict:
             grant_applications(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
         "dq_resubmitted_rule_U002": q_dq_rule("U002", _resubmitted_weighted),
         "dq_history_trend": q_dq_history_trend,
+        "dq_history_failing_rules": q_dq_history_failing_rules,
+        "dq_history_report": q_dq_history_report,
+        "dq_history_alerts": q_dq_history_alerts,
         "dq_resubmitted_rule_results": lambda spark, sf: analyse_weighted(
             _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
             ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)).rule_results,

@@ -226,6 +226,23 @@ def q_dq_history_alerts(spark, sf):
     return history.alerts(_history_table(_history_runs(spark, sf), "dimension_scores"), 60.0)
 
 
+def q_stream_class_counts(spark, sf):
+    """The tax view dropped as parquet files into the checkpoint folder, read
+    back as a file stream (available-now trigger), scored and counted per
+    class in complete mode; returns the stream's result table."""
+    import uuid
+
+    from ..sources.files import TAX_SCHEMA
+    from ..streaming import start_class_counts
+    base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    rows = tax_returns(spark, sf).select([F.col(f.name).cast(f.dataType) for f in TAX_SCHEMA.fields])
+    rows.repartition(4).write.parquet(f"{base}/inbox")
+    name = f"qs_classes_{uuid.uuid4().hex[:8]}"
+    start_class_counts(spark, f"{base}/inbox", f"{base}/ck", query_name=name,
+                       source_format="parquet").awaitTermination()
+    return spark.table(name).select("dq_classification", "record_count")
+
+
 def queries() -> dict:
     out = {
         "src_postal_lookup": q_src_postal_lookup,
@@ -243,6 +260,7 @@ def queries() -> dict:
         "tax_classification": q_tax_classification,
         "tax_route_silver": q_route_silver,
         "tax_route_rejected": q_route_rejected,
+        "tax_stream_class_counts": q_stream_class_counts,
         "dim_taxpayer": q_dim("dim_taxpayer"),
         "dim_time": q_dim("dim_time"),
         "dim_location": q_dim("dim_location"),

@@ -41,15 +41,19 @@ def _trigger(writer, trigger: str, interval: str):
     return writer.trigger(processingTime=interval)
 
 
-def read_tax_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(TAX_SCHEMA).option("header", True)
+def read_tax_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
+                    source_format: str = "csv") -> DataFrame:
+    reader = spark.readStream.schema(TAX_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(input_dir)
+    if source_format == "csv":
+        return reader.option("header", True).csv(input_dir)
+    return reader.format(source_format).load(input_dir)
 
 
-def scored_stream(spark: SparkSession, input_dir: str, p: TaxParams = TaxParams()) -> DataFrame:
-    stream = read_tax_stream(spark, input_dir)
+def scored_stream(spark: SparkSession, input_dir: str, p: TaxParams = TaxParams(),
+                  source_format: str = "csv") -> DataFrame:
+    stream = read_tax_stream(spark, input_dir, source_format=source_format)
     ts = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
     with_lineage = stream.withColumns({
         "ingestion_timestamp": F.lit(ts),
@@ -75,9 +79,9 @@ def start_tax_streams(spark: SparkSession, input_dir: str, silver_dir: str, reje
 
 def start_class_counts(spark: SparkSession, input_dir: str, checkpoint_root: str, query_name: str = "tax_classes",
                        p: TaxParams = TaxParams(), trigger: str = "available_now",
-                       interval: str = "1 minute") -> StreamingQuery:
+                       interval: str = "1 minute", source_format: str = "csv") -> StreamingQuery:
     """Running rows per class into an in-memory table ``query_name``."""
-    counts = scored_stream(spark, input_dir, p).groupBy("dq_classification").agg(
+    counts = scored_stream(spark, input_dir, p, source_format).groupBy("dq_classification").agg(
         F.count(F.lit(1)).alias("record_count"))
     w = (counts.writeStream.format("memory").queryName(query_name).outputMode("complete")
          .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{query_name}"))

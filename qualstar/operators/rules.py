@@ -14,6 +14,7 @@ rows, not of one row; the evaluator handles it from the copy count.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import (MICROS_PER_DAY, can_canonicalise, date_typed, days_between_within,
                                is_strict_iso_date, micros_between)
-from ..functions.text import contains_any
 from ..params import (GRANT_SCHEMES, GRANT_STATUSES, NRIC_PATTERN, PLACEHOLDER_SUBSTRINGS, RULE_CATALOGUE,
                       DQParams)
 
@@ -66,9 +66,14 @@ def _v005(df, p):
     return (s >= 1) & (s <= 20) & (s == s.try_cast("int"))
 
 
+_PLACEHOLDER_RX = "|".join(re.escape(x) for x in PLACEHOLDER_SUBSTRINGS)
+
+
 def _v007(df, p):
+    # One regex alternation per column: the same test as "contains any of the
+    # placeholders", with a fraction of the generated code of six contains.
     def clean(name):
-        return ~contains_any(F.upper(F.col(name)), PLACEHOLDER_SUBSTRINGS)
+        return ~F.upper(F.col(name)).rlike(_PLACEHOLDER_RX)
 
     def clean_or_null(name):
         return F.when(F.col(name).isNotNull(), clean(name)).otherwise(True)

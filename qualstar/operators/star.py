@@ -123,10 +123,14 @@ def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: Dat
     """
     grain_return = p.fact_grain == "return"
     f = df.alias("f")
-    tp = broadcast_if_small(dim_taxpayer.select("taxpayer_key", *TAXPAYER_ATTRS)).alias("tp")
-    tm = broadcast_if_small(dim_time.select("time_key", "assessment_year", "filing_date")).alias("tm")
-    lc = broadcast_if_small(dim_location.select("location_key", *LOCATION_ATTRS)).alias("lc")
-    oc = broadcast_if_small(dim_occupation.select("occupation_key", "occupation_raw")).alias("oc")
+    narrow = [dim_taxpayer.select("taxpayer_key", *TAXPAYER_ATTRS),
+              dim_time.select("time_key", "assessment_year", "filing_date"),
+              dim_location.select("location_key", *LOCATION_ATTRS),
+              dim_occupation.select("occupation_key", "occupation_raw")]
+    # The four bounded size checks are independent small jobs: run them together.
+    with ThreadPoolExecutor(max_workers=len(narrow)) as pool:
+        checked = list(pool.map(broadcast_if_small, narrow))
+    tp, tm, lc, oc = (d.alias(a) for d, a in zip(checked, ("tp", "tm", "lc", "oc")))
 
     if grain_return:
         tp_pairs = [("f.taxpayer_id", "tp.taxpayer_id"), ("f.nric_cleansed", "tp.nric"),

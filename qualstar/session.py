@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     Uses the context's directory if one is set, else ``spark.checkpoint.dir``
-    from the session.  Only when neither is configured: in local mode (one
-    machine, no executors elsewhere) a fresh temporary folder; on a cluster a
-    folder next to the SQL warehouse, which is shared storage there.
+    from the session.  With neither, a local master (one machine, no executors
+    elsewhere) gets a folder in its SQL warehouse; a cluster is refused, since
+    a folder of the library's choosing need not be shared by its machines.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,14 +55,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if sc.master.startswith("local"):
-            configured = tempfile.mkdtemp(prefix="qualstar-ckpt-")
-        else:
-            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_qualstar_checkpoints"
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_qualstar_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_PINNED: dict[str, SparkSession] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the checkpoint folder; :func:`release_pins`
+    deletes what was written there."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _PINNED[path] = spark
+    return path
+
+
 def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and continue from the stored table (lineage cut).
@@ -70,9 +81,43 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     assignment after a range partitioning, a scored layer that several
     jobs read), also when an executor is lost and tasks are recomputed.
     One write job; the read-back is columnar, so later steps scan only the
-    columns they use, and the planner sees the table's real size.
+    columns they use, and the planner sees the table's real size.  The table
+    stays until :func:`unpin`, :func:`release_pins` or the end of the program.
     """
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._pinned_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that :func:`pin` returned."""
+    for df in frames:
+        path = getattr(df, "_pinned_path", None)
+        if path and _PINNED.pop(path, None):
+            _delete(df.sparkSession, path)
+
+
+def release_pins(spark: SparkSession) -> None:
+    """Delete every pinned table of this session.  Frames that still read one
+    can't be used afterwards: write results out first."""
+    for path, owner in list(_PINNED.items()):
+        if owner is spark:
+            del _PINNED[path]
+            _delete(spark, path)
+
+
+@atexit.register
+def _release_all() -> None:
+    for path, spark in list(_PINNED.items()):
+        if spark.sparkContext._jsc is not None:
+            try:
+                _delete(spark, path)
+            except Exception:  # the JVM may already be down
+                return

@@ -63,13 +63,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _PINNED: dict[str, SparkSession] = {}
+_KEPT: dict[str, SparkSession] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the checkpoint folder; :func:`release_pins`
-    deletes what was written there."""
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new folder name below the checkpoint folder.  What is written there
+    goes with :func:`release_pins`, or, with ``keep``, at the end of the program."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    _PINNED[path] = spark
+    (_KEPT if keep else _PINNED)[path] = spark
     return path
 
 
@@ -104,6 +105,12 @@ def unpin(*frames: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_path` named."""
+    if _PINNED.pop(path, None) or _KEPT.pop(path, None):
+        _delete(spark, path)
+
+
 def release_pins(spark: SparkSession) -> None:
     """Delete every pinned table of this session.  Frames that still read one
     can't be used afterwards: write results out first."""
@@ -115,7 +122,7 @@ def release_pins(spark: SparkSession) -> None:
 
 @atexit.register
 def _release_all() -> None:
-    for path, spark in list(_PINNED.items()):
+    for path, spark in [*_PINNED.items(), *_KEPT.items()]:
         if spark.sparkContext._jsc is not None:
             try:
                 _delete(spark, path)

@@ -45,7 +45,8 @@ class WarcParams:
     date: str = "2000-01-01T00:00:00Z"   # of every record: the tables have none
     max_gap: int = 64 << 10
     max_read: int = 8 << 20
-    slice_bytes: int = 32 << 20  # index rows of one file and slice are read by one task
+    slice_bytes: int = 4 << 20   # records of one file and slice are read by one task
+    task_bytes: int = 128 << 20  # that a task reads on average, at most
 
 
 _EMPTY = bytes.fromhex("1f8b08000000000000ff03000000000000000000")   # an empty gzip member
@@ -151,7 +152,7 @@ def _scan_members(f):
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Index of an archive folder, written beside it and sorted by place."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-             .filter("length > 0").select("path").repartition("path"))
+             .filter("length > 0").select("path"))   # Spark packs the files into tasks by size
 
     def index(batches):
         for pdf in batches:
@@ -212,6 +213,9 @@ def read_records(spark: SparkSession, path: str, selected: DataFrame, params: Wa
                         out = pd.DataFrame(rows, columns=[*names, "payload"]).astype({"page_id": "Int64", "refers_to": "Int64"})
                         yield out if with_payload else out[names]
 
-    dealt = (selected.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / p.slice_bytes))
+    # Slices are dealt by what they hold, not by the size of their index rows.
+    size = selected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first().n
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // p.task_bytes))
+    dealt = (selected.select("file", "offset", "length").repartition(tasks, "file", F.floor(F.col("offset") / p.slice_bytes))
              .sortWithinPartitions("file", "offset"))
     return dealt.mapInPandas(fetch, kinds + (", payload binary" if with_payload else ""))

@@ -32,8 +32,8 @@ _CHUNK = 1 << 22
 @dataclass(frozen=True)
 class ToxicityParams:
     orders: tuple[int, ...] = (4, 5, 6)
-    per_class: int = 4000       # bound of the training sample, rows of each label
-    max_features: int = 20000   # bound of the model
+    per_class: int = 2000       # bound of the training sample, rows of each label
+    max_features: int = 10000   # bound of the model
     min_docs: int = 3
     min_z: float = 4.0
     l2: float = 1e-3
@@ -97,8 +97,8 @@ def _fit_weights(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: f
     """Logistic regression over ratio-scaled binary features, by accelerated
     full gradient steps with a fixed step size."""
     w, b = np.zeros(len(ratio)), 0.0
-    at = np.concatenate([np.full(len(r), i) for i, r in enumerate(rows)]).astype(np.int64)
-    col = np.concatenate(rows).astype(np.int64)
+    at = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    col = np.concatenate(rows)
     val, n = ratio[col], len(rows)
     share = np.where(y == 1, n / (2 * max(1, y.sum())), n / (2 * max(1, n - y.sum()))) / n
     lip = 0.25 * max(1.0, float((np.bincount(at, val * val, n) + 1).max())) + l2

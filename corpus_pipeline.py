@@ -13,38 +13,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from qualstar.llm import decontaminate, linededup, mixing, neardup, toxicity
-from qualstar.llm.common import table
+from qualstar.llm.common import small_batches, table
 from qualstar.session import delete_path, release_pins, scratch_path
 
 
-def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _begin(spark: SparkSession) -> None:
+    """A stage's scratch tables are deleted when the next one starts: by then
+    its output has been written and read again."""
     release_pins(spark)
+    small_batches(spark)
+
+
+def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     # Learns from this stage's input and the labels beside it.
     return toxicity.reject(docs, table(spark, sf_dir, "labels"))
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release_pins(spark)
+    _begin(spark)
     return linededup.replace_text(docs)
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release_pins(spark)
+    _begin(spark)
     return neardup.one_of_each(docs)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release_pins(spark)
+    _begin(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release_pins(spark)
+    _begin(spark)
     return mixing.mixture(docs)
 
 
-#: A stage's scratch tables are deleted when the next one starts: by then its
-#: output has been written and read again.
 STAGES = [
     ("toxicity", _toxicity),
     ("line dedup", _line_dedup),

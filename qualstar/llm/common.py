@@ -12,7 +12,18 @@ from pyspark.sql import Window as W
 NO_ID = (1 << 63) - 1
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows are whole texts: send Python workers fewer at a time than Spark's
+    default of 10000, unless the session has a setting of its own."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -69,7 +69,9 @@ _POW, _POW_INV = _powers(_BASE), _powers(_BASE_INV)
 
 
 def _at(powers: np.ndarray, exponent: np.ndarray) -> np.ndarray:
-    """powers[1] ** exponent for exponents of any size."""
+    """powers[1] ** exponent for exponents of any size (ascending)."""
+    if not len(exponent) or exponent[-1] < _BLOCK:
+        return powers[exponent]
     out = powers[exponent % _BLOCK]
     high = exponent // _BLOCK
     step = int(powers[_BLOCK])
@@ -95,7 +97,7 @@ def word_hashes(data: bytes, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     with np.errstate(over="ignore"):
         run = np.empty(len(b) + 1, np.uint64)
         run[0] = 0
-        np.cumsum(_BYTE[b] * _at(_POW, np.arange(len(b))), out=run[1:])
+        np.cumsum(_BYTE[b] * (_POW[:len(b)] if len(b) <= _BLOCK else _at(_POW, np.arange(len(b)))), out=run[1:])
         h = (run[end] - run[start]) * _at(_POW_INV, start)
         h += (end - start).astype(np.uint64) * _LAG[63]
     return _splitmix(h), start, end

@@ -61,9 +61,8 @@ class WindowIndex:
             for i, x in enumerate(window_hashes(h, k).tolist()):
                 found.setdefault(x, {}).setdefault(self.normal(data, start[i:i + k], end[i:i + k]), set()).add(item)
         self.found = found
-        self.hashes = np.array(sorted(found), np.uint64)
         self.near = np.zeros(1 << 20, bool)
-        self.near[self.hashes >> np.uint64(44)] = True
+        self.near[np.array(list(found), np.uint64) >> np.uint64(44)] = True
 
     @staticmethod
     def normal(data: bytes, start, end) -> bytes:
@@ -75,9 +74,9 @@ class WindowIndex:
         ranges, items = [], set()
         for k in self.sizes:
             w = window_hashes(h, k)
-            maybe = np.flatnonzero(self.near[w >> np.uint64(44)])
-            for i in maybe[np.isin(w[maybe], self.hashes)].tolist():
-                got = self.found[int(w[i])].get(self.normal(data, start[i:i + k], end[i:i + k]))
+            for i in np.flatnonzero(self.near[w >> np.uint64(44)]).tolist():
+                same = self.found.get(int(w[i]))
+                got = same and same.get(self.normal(data, start[i:i + k], end[i:i + k]))
                 if got:
                     ranges.append((i, i + k))
                     items |= got

@@ -61,3 +61,8 @@ def route(df: DataFrame, p: TaxParams = TaxParams(), drop_null_year: bool = True
     silver = df.filter((F.col("data_quality_score") >= floor) & keep)
     rejected = df.filter((F.col("data_quality_score") < floor) & keep)
     return silver, rejected
+
+
+def unplaced(df: DataFrame) -> DataFrame:
+    """The rows that year-partitioned layers have no place for."""
+    return df.filter(F.col("assessment_year").isNull())

@@ -214,6 +214,11 @@ def tax_queries() -> dict[str, str]:
             "LEFT JOIN scored s ON s.dq_classification = c.dq_classification GROUP BY c.dq_classification", v),
         "tax_route_silver": _with("SELECT * FROM silver", v),
         "tax_route_rejected": _with("SELECT * FROM rejected", v),
+        "tax_route_unplaced": _with(
+            "SELECT taxpayer_id, data_quality_score, dq_classification FROM scored WHERE assessment_year IS NULL", v),
+        "tax_route_counts": _with(
+            "SELECT 'silver' AS output, count(*) AS n_rows FROM silver UNION ALL SELECT 'rejected', count(*) FROM rejected "
+            "UNION ALL SELECT 'unplaced', count(*) FROM scored WHERE assessment_year IS NULL", v),
         "src_postal_lookup": _with(
             "SELECT taxpayer_id, postal_code_cleansed, lk.postal_prefix, lk.region, lk.planning_area "
             "FROM (SELECT taxpayer_id, postal_code_cleansed, CASE WHEN postal_code_cleansed IS NOT NULL AND "

@@ -184,9 +184,6 @@ class TaxParams:
     # natural key); "reference": resolve on the single documented key, which
     # fans out when that key is not unique in the dimension.
     fact_grain: str = "return"
-    # Dimensions with at most this many rows are broadcast into the fact join;
-    # larger ones take a shuffle join (AQE splits skewed partitions).
-    broadcast_max_rows: int = 2_000_000
 
     def __post_init__(self):
         total = sum(self.weights.values())

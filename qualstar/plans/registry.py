@@ -3,7 +3,6 @@ operator, all reading the driver tables through the adapter views."""
 
 from __future__ import annotations
 
-import os
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -41,12 +40,19 @@ def _scored(spark, sf):
 _MEMO: dict = {}
 
 
+def _stamp(spark, path):
+    """(path, size, time) of the files of a table, from the store itself."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found))
+
+
 def _memo(kind, spark, sf, build, files=("orders", "customer")):
     """Layers built once per session and input folder, then reused — as the
     pipeline writes a layer once and later jobs read it from storage.  The
-    key includes the input files' sizes and times, so changed input rebuilds."""
-    stamp = tuple((f, os.path.getsize(p), os.path.getmtime(p))
-                  for f in files for p in [f"{sf.rstrip('/')}/{f}.parquet"] if os.path.exists(p))
+    key includes the input files' sizes and times on whatever store they are,
+    so changed input rebuilds."""
+    stamp = tuple(_stamp(spark, f"{sf.rstrip('/')}/{f}.parquet") for f in files)
     key = (kind, id(spark._jsparkSession), sf, stamp)
     if key not in _MEMO:
         _MEMO[key] = build()
@@ -108,6 +114,19 @@ def q_route_silver(spark, sf):
     return _silver(spark, sf)
 
 
+def q_route_unplaced(spark, sf):
+    return score.unplaced(_scored(spark, sf)).select("taxpayer_id", "data_quality_score", "dq_classification")
+
+
+def q_route_counts(spark, sf):
+    """Rows per output of the split; together they are the whole input."""
+    scored = _scored(spark, sf)
+    silver, rejected = score.route(scored)
+    parts = [("silver", silver), ("rejected", rejected), ("unplaced", score.unplaced(scored))]
+    counted = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("output"), "n_rows") for n, df in parts]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def q_route_rejected(spark, sf):
     return score.route(_scored_layer(spark, sf))[1]
 
@@ -236,7 +255,7 @@ def q_stream_class_counts(spark, sf):
     from ..streaming import start_class_counts
     base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
     rows = tax_returns(spark, sf).select([F.col(f.name).cast(f.dataType) for f in TAX_SCHEMA.fields])
-    rows.repartition(4).write.parquet(f"{base}/inbox")
+    rows.write.parquet(f"{base}/inbox")
     name = f"qs_classes_{uuid.uuid4().hex[:8]}"
     start_class_counts(spark, f"{base}/inbox", f"{base}/ck", query_name=name,
                        source_format="parquet").awaitTermination()
@@ -260,6 +279,8 @@ def queries() -> dict:
         "tax_classification": q_tax_classification,
         "tax_route_silver": q_route_silver,
         "tax_route_rejected": q_route_rejected,
+        "tax_route_unplaced": q_route_unplaced,
+        "tax_route_counts": q_route_counts,
         "tax_stream_class_counts": q_stream_class_counts,
         "dim_taxpayer": q_dim("dim_taxpayer"),
         "dim_time": q_dim("dim_time"),

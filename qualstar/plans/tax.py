@@ -10,7 +10,6 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from ..operators.star import build_star_schema
 from ..operators.validate import apply_all_validations
 from ..params import TaxParams
 from ..sinks.writers import write_partitioned, write_table
+from ..session import pin, unpin
 from ..sources.files import read_postal_lookup, read_tax_csv
 from ..sources.lineage import add_lineage
 
@@ -38,29 +38,37 @@ class Paths:
     silver: str
     rejected: str
     gold: str
+    unplaced: str | None = None     # scored returns without an assessment year; default: beside rejected
+
+    @property
+    def unplaced_path(self) -> str:
+        return self.unplaced or self.rejected.rstrip("/") + "_unplaced"
 
 
 def run_bronze(spark: SparkSession, source, bronze_path: str, source_file: str | None = None,
                ingestion_timestamp: str | None = None, null_years: str = "raise") -> DataFrame:
     """CSV path (typed read) or a DataFrame with the 18 columns -> bronze.
 
-    A NULL assessment year cannot be placed in the year-partitioned layer:
-    ``null_years='raise'`` stops the run (default), ``'drop'`` leaves such
-    rows out with a warning."""
+    A NULL assessment year stops the run by default (``null_years='raise'``);
+    ``'keep'`` holds such rows in the layer's partition for NULL, and the
+    silver step writes them to their own output; ``'drop'`` leaves them out."""
     if isinstance(source, str):
         raw, name = read_tax_csv(spark, source), source_file or source
     else:
         raw, name = source, source_file
     df = add_lineage(raw, source_file=name, ingestion_timestamp=ingestion_timestamp)
     write_partitioned(df, bronze_path, on_null=null_years)
-    return spark.read.parquet(bronze_path)
+    # With its schema: a layer that has the partition for NULL only would lose the column's type.
+    return spark.read.schema(df.schema).parquet(bronze_path)
 
 
-def run_silver(bronze: DataFrame, silver_path: str, rejected_path: str, p: TaxParams = TaxParams()):
-    """Scores every return once (kept across the two writes), writes Accept +
-    Quarantine to silver and Reject to rejected, and returns the class counts
-    and both layers read back from storage."""
-    scored = silver_transform(bronze, p).persist(StorageLevel.MEMORY_AND_DISK)
+def run_silver(bronze: DataFrame, silver_path: str, rejected_path: str, p: TaxParams = TaxParams(),
+               unplaced_path: str | None = None):
+    """Scores every return once (written to the shared scratch folder), writes
+    Accept + Quarantine to silver, Reject to rejected and returns without an
+    assessment year to ``unplaced_path``, so every return is in one output.
+    Returns both layers read back from storage, and the class counts."""
+    scored = pin(silver_transform(bronze, p), "scored")
     try:
         # One aggregation: rows per class, and rows / NULL years per route
         # (the write guards), instead of a count job per number.
@@ -78,8 +86,9 @@ def run_silver(bronze: DataFrame, silver_path: str, rejected_path: str, p: TaxPa
                                      profile=(prof["silver_n"], prof["silver_null"]))
         n_rejected = write_partitioned(rejected, rejected_path, on_null="drop",
                                        profile=(prof["rejected_n"], prof["rejected_null"]))
+        write_table(scored.filter(null_year), unplaced_path or rejected_path.rstrip("/") + "_unplaced")
     finally:
-        scored.unpersist()
+        unpin(scored)
     spark = bronze.sparkSession
     out_silver = spark.read.parquet(silver_path) if n_silver else None
     out_rejected = spark.read.parquet(rejected_path) if n_rejected else None
@@ -92,7 +101,8 @@ def run_gold(silver: DataFrame, gold_path: str, p: TaxParams = TaxParams(), look
     base = gold_path.rstrip("/")
     for name, df in star.items():
         if name == "fact_tax_returns":
-            write_partitioned(df, f"{base}/{name}", on_null="drop")
+            # Silver holds no NULL years: nothing to guard, so the fact plan runs once.
+            write_partitioned(df, f"{base}/{name}", on_null="keep")
         else:
             write_table(df, f"{base}/{name}")
     spark = silver.sparkSession
@@ -104,7 +114,7 @@ def run_full_pipeline(spark: SparkSession, source, paths: Paths, p: TaxParams =
                       ingestion_timestamp: str | None = None, bronze_null_years: str = "raise") -> dict:
     """Bronze -> silver/rejected -> gold.  ``source`` is a CSV path or a DataFrame."""
     bronze = run_bronze(spark, source, paths.bronze, source_file, ingestion_timestamp, bronze_null_years)
-    silver, rejected, counts = run_silver(bronze, paths.silver, paths.rejected, p)
+    silver, rejected, counts = run_silver(bronze, paths.silver, paths.rejected, p, paths.unplaced_path)
     if silver is None:
         log.warning("no accepted or quarantined returns; gold layer not built")
         gold = {}

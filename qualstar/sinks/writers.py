@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -32,10 +32,12 @@ def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year",
                       rebalance: bool = False) -> int:
     """Parquet (snappy) partitioned by ``column``.
 
-    Guards: empty path or missing column raise; an empty frame is skipped
-    with a warning; NULL partition values raise (``on_null='raise'``) or are
-    left out (``'drop'``).  Returns the number of rows written.  Overwrite
-    replaces only the partitions present in ``df`` (dynamic mode).
+    Guards: empty path or missing column raise; NULL partition values raise
+    (``on_null='raise'``), stay in Spark's partition for NULL (``'keep'``) or
+    are left out (``'drop'``).  Returns the number of rows written.  Overwrite
+    replaces the whole table, so that it holds this run's rows only; an empty
+    frame is skipped with a warning, and empties a table that is there.  With ``'keep'`` the rows are counted while
+    they are written, in one pass; the other two need the count before.
     ``profile`` = (rows, NULL rows) when the caller has counted already.
 
     No shuffle by default: each task writes one file per year it holds, and
@@ -52,21 +54,36 @@ def write_partitioned(df: DataFrame, path: str, column: str = "assessment_year",
         raise WriteGuardError(f"{column} column is missing from DataFrame")
     if not df.schema[column].dataType.typeName() in ("integer", "long", "short", "byte"):
         raise WriteGuardError(f"{column} must be an integer column, got {df.schema[column].dataType}")
+    if on_null == "keep" and profile is None:
+        seen = Observation()
+        _write(df.observe(seen, F.count(F.lit(1)).alias("n")), path, column, mode, rebalance)
+        return int(seen.get["n"])
     n, nulls = profile if profile is not None else partition_profile(df, column)
-    if n == 0:
-        log.warning("no records to write to %s, skipping", path)
-        return 0
-    if nulls:
+    if nulls and on_null != "keep":
         if on_null == "raise":
             raise WriteGuardError(f"found {nulls} NULL values in partition column {column}")
         log.warning("leaving out %d of %d rows with NULL %s", nulls, n, column)
         df = df.filter(F.col(column).isNotNull())
         n -= nulls
+    if n == 0:
+        log.warning("no records to write to %s, skipping", path)
+        if mode == "overwrite" and _exists(df.sparkSession, path):
+            df.limit(0).write.mode(mode).parquet(path)   # an earlier run's rows must not stay
+        return 0
+    _write(df, path, column, mode, rebalance)
+    return n
+
+
+def _exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _write(df: DataFrame, path: str, column: str, mode: str, rebalance: bool) -> None:
     if rebalance:
         df = df.hint("rebalance", column)
     (df.write.mode(mode).option("compression", "snappy")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
-    return n
+     .option("partitionOverwriteMode", "static").partitionBy(column).parquet(path))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

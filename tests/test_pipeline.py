@@ -30,6 +30,20 @@ def write_csv(path, header, rows):
         w.writerows(rows)
 
 
+def test_second_run_holds_its_own_rows_only(spark, tmp_dir):
+    paths = Paths(*(os.path.join(tmp_dir, p) for p in ("bronze", "silver", "rejected", "gold")))
+    year = [c for c, _ in TAX_COLUMNS].index("assessment_year")
+    runs = [TAX_ROWS, [[*r[:year], "2019", *r[year + 1:]] for r in TAX_ROWS[:2]], [[*r[:year], "", *r[year + 1:]] for r in TAX_ROWS]]
+    for k, rows in enumerate(runs):
+        src = os.path.join(tmp_dir, f"returns{k}.csv")
+        write_csv(src, [c for c, _ in TAX_COLUMNS], rows)
+        out = run_full_pipeline(spark, src, paths, ingestion_timestamp="2024-01-01T00:00:00", bronze_null_years="keep")
+        placed = [spark.read.parquet(p).count() for p in (paths.silver, paths.rejected, paths.unplaced_path)]
+        assert out["bronze"].count() == len(rows) == sum(placed)
+        assert sum(out["class_counts"].values()) == len(rows)
+    assert placed == [0, 0, len(TAX_ROWS)]
+
+
 def test_full_tax_pipeline(spark, tmp_dir):
     src = os.path.join(tmp_dir, "returns.csv")
     write_csv(src, [c for c, _ in TAX_COLUMNS], TAX_ROWS)

@@ -116,7 +116,7 @@ def _scan(spark, index: WindowIndex, before: bool) -> Column:
     @F.pandas_udf(_HITS)
     def scan_on(texts: pd.Series, so_far: pd.DataFrame) -> pd.DataFrame:
         found = [shared.value.scan(t) for t in texts]
-        spans = [merged([*x[1], *np.array(s, int).reshape(-1, 2).tolist()]) for x, s in zip(found, so_far["spans"], strict=True)]
+        spans = [merged([*x[1], *map(tuple, np.array(s, int).reshape(-1, 2).tolist())]) for x, s in zip(found, so_far["spans"], strict=True)]
         return pd.DataFrame({"n_words": [x[0] for x in found], "spans": [np.array(s, np.int32).ravel() for s in spans],
                              "items": [sorted(x[2] | set(i)) for x, i in zip(found, so_far["items"], strict=True)]})
 

@@ -168,7 +168,8 @@ def clean(documents: DataFrame, benchmark: DataFrame, params: DecontaminationPar
     unchanged (``n_chars``, if there is one, follows the new text)."""
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut_spans(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+        # A Python function runs for every row, whatever the condition around it.
+        return pd.Series([None if t is None else cut_spans(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
 
     found = find_hits(documents, benchmark, params)
     if max_hit_share < 1:

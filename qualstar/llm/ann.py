@@ -125,22 +125,26 @@ def _dot(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(1)
 
 
-def scan_list(ids: np.ndarray, x: np.ndarray, y: np.ndarray, qid: int, q: np.ndarray, r: np.ndarray, bound: float, p: AnnParams):
+def column_blocks(y: np.ndarray, columns: int) -> list[np.ndarray]:
+    """Blocks of columns, each contiguous, so that a scan reads what it compares only."""
+    return [np.ascontiguousarray(y[:, at:at + columns]) for at in range(0, y.shape[1], columns)]
+
+
+def scan_list(ids: np.ndarray, x: np.ndarray, blocks: list[np.ndarray], qid: int, q: np.ndarray, r: np.ndarray, bound: float, p: AnnParams):
     """(ids, scores) of at most k candidates of one list for one query: x and q
-    original, y and r rotated; bound: squared distance that the k-th nearest does not exceed."""
-    dims, alive = y.shape[1], np.flatnonzero(ids != qid)
-    far, best = np.zeros(len(alive), np.float32), bound
-    for at in range(0, dims, p.columns):
-        part = y[alive, at:at + p.columns] - r[at:at + p.columns]
-        far += np.einsum("ij,ij->i", part, part)
-        seen = min(dims, at + p.columns)
-        if seen < dims:
-            keep = far * (dims / seen) <= best * (1 + p.eps / np.sqrt(seen)) ** 2
-        else:
-            keep = far <= best * (1 + 1e-5) + 1e-5   # rotated distances are rounded to single precision
-        alive, far = alive[keep], far[keep]
+    original, blocks and r rotated; bound: squared distance that the k-th nearest does not exceed."""
+    dims, seen, alive, far = len(r), 0, None, 0.0
+    for block in blocks:
+        part = (block if alive is None else block[alive]) - r[seen:seen + block.shape[1]]
+        far = far + np.einsum("ij,ij->i", part, part)
+        seen += block.shape[1]
+        # Rotated distances are rounded to single precision, so the last test has some room.
+        keep = far <= (bound * (1 + p.eps / np.sqrt(seen)) ** 2 * (seen / dims) if seen < dims else bound * (1 + 1e-5) + 1e-5)
+        kept = np.flatnonzero(keep)
+        alive, far = kept if alive is None else alive[kept], far[kept]
         if not len(alive):
-            return ids[:0], far.astype(float)
+            break
+    alive = alive[ids[alive] != qid]
     score = _dot(x[alive], q)
     top = np.lexsort((ids[alive], -score))[:p.k]
     return ids[alive][top], score[top]
@@ -208,7 +212,7 @@ def search(embeddings: DataFrame, params: AnnParams = AnnParams()) -> DataFrame:
         ids, x, q = vs.vec_id.to_numpy(np.int64), _packed(vs.v), _packed(qs.v)
         found = []
         if len(ids) and len(q):
-            y, r = L.turned(x, False), L.turned(q, True)
+            y, r = column_blocks(L.turned(x, False), p.columns), L.turned(q, True)
             for i, a, b, bound in zip(qs.query_id.tolist(), q, r, qs.bound.tolist(), strict=True):
                 got, score = scan_list(ids, x, y, i, a, b, bound, p)
                 if len(got):

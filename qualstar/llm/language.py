@@ -5,7 +5,8 @@ A text is the bag of its byte n-grams (lower case; digits, ASCII punctuation
 and white space count as one blank); each n-gram is hashed to a row of an
 embedding table, the rows are averaged and a linear softmax follows.  The fit
 reads a bounded sample of the labelled rows (``max_rows`` in all, evenly by
-language, by id hash) on the driver.  A tenth of the sample is kept apart to fit a
+language, by id hash; of rows that share an id the smallest language and text
+count) on the driver.  A tenth of the sample is kept apart to fit a
 temperature, so that scores are calibrated, and the score below which a
 prediction is ``rejected``.
 
@@ -132,11 +133,11 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, langs: list[st
 def train(documents: DataFrame, params: LanguageParams = LanguageParams()) -> LanguageModel:
     p = params
     labelled = (documents.filter((fold_of("doc_id", p.folds) != p.held_fold) & F.col("text").isNotNull())
-                .select("doc_id", F.col("lang").alias("label")).filter("label is not null"))
+                .groupBy("doc_id").agg(F.min("lang").alias("label")).filter("label is not null"))
     langs = sorted(r.label for r in labelled.select("label").distinct().limit(p.max_rows).collect())
     if not langs:
         return LanguageModel([], np.zeros((1 << p.bits, 0), np.float32), 1.0, 1.0, p)
-    ids = pin(stratified_ids(labelled, max(1, p.max_rows // len(langs))).dropDuplicates(["doc_id"]), "language-ids")
+    ids = pin(stratified_ids(labelled, max(1, p.max_rows // len(langs))), "language-ids")
 
     def bags(batches):
         for pdf in batches:
@@ -146,10 +147,11 @@ def train(documents: DataFrame, params: LanguageParams = LanguageParams()) -> La
                                 "rows": [r.astype(np.int32).tobytes() for r, _ in found],
                                 "share": [(c / c.sum()).astype(np.float32).tobytes() for _, c in found]})
 
-    # ids holds at most max_rows rows; a bag holds at most 2**bits entries.
+    # ids holds at most max_rows rows, each with one text here; a bag holds at most 2**bits entries.
     got = (documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+           .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
            .mapInPandas(bags, "doc_id long, label string, rows binary, share binary").toPandas()
-           .sort_values(["doc_id", "label"], kind="stable").drop_duplicates("doc_id"))
+           .sort_values("doc_id", kind="stable"))
     unpin(ids)
     if not len(got):
         return LanguageModel([], np.zeros((1 << p.bits, 0), np.float32), 1.0, 1.0, p)

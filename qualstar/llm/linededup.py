@@ -194,24 +194,29 @@ def shared_lines(documents: DataFrame, params: LineParams = LineParams()) -> Dat
             .groupBy("id", "th").agg(F.sort_array(F.collect_list("line")).alias("drop")))
 
 
-def dedup_lines(documents: DataFrame, params: LineParams = LineParams()) -> DataFrame:
-    """``documents`` with two columns more: ``deduped`` (the text without the
-    deleted lines) and ``n_removed`` (lines deleted).  All rows stay."""
+def _with_cuts(documents: DataFrame, params: LineParams) -> DataFrame:
+    """(row: the document, deduped, n_removed) of every row."""
     @F.pandas_udf("string")
     def cut(texts: pd.Series, drops: pd.Series) -> pd.Series:
         return pd.Series([without_lines(t, d) for t, d in zip(texts, drops, strict=True)], dtype=object)
 
-    rows = _keyed(documents)
-    drops = shared_lines(documents, params)
-    both = rows.join(drops, ["id", "th"], "left")
+    both = _keyed(documents).join(shared_lines(documents, params), ["id", "th"], "left")
     text = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(cut(F.col("row.text"), F.col("drop")))
-    return both.select("row.*", text.alias("deduped"), F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed"))
+    return both.select("row", text.alias("deduped"), F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed"))
+
+
+def dedup_lines(documents: DataFrame, params: LineParams = LineParams()) -> DataFrame:
+    """``documents`` with two columns more: ``deduped`` (the text without the
+    deleted lines) and ``n_removed`` (lines deleted), which replace columns of
+    these names.  All rows stay."""
+    return _with_cuts(documents.drop("deduped", "n_removed"), params).select("row.*", "deduped", "n_removed")
 
 
 def replace_text(documents: DataFrame, params: LineParams = LineParams()) -> DataFrame:
     """``documents`` with deduplicated texts and, if there is such a column,
     ``n_chars`` of the new text; columns unchanged."""
-    out = dedup_lines(documents.drop("deduped", "n_removed"), params)
     kinds = dict(documents.dtypes)
-    new = {"text": F.col("deduped"), "n_chars": F.when(F.col("n_removed") > 0, F.length("deduped")).otherwise(F.col("n_chars")).cast(kinds["n_chars"])} if "n_chars" in kinds else {"text": F.col("deduped")}
-    return out.select([new.get(c, F.col(c)).alias(c) for c in documents.columns if c not in ("deduped", "n_removed")])
+    new = {"text": F.col("deduped")}
+    if "n_chars" in kinds:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("deduped")).otherwise(F.col("row.n_chars")).cast(kinds["n_chars"])
+    return _with_cuts(documents, params).select([new.get(c, F.col("row")[c]).alias(c) for c in documents.columns])

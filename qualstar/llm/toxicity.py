@@ -2,7 +2,8 @@
 naive Bayes log-count ratios.
 
 Training reads a bounded sample of the labelled rows (``per_class`` of either
-label, by id hash).  Each document is the set of its n-grams.  Log-count ratios
+label, by id hash; of texts that share an id the smallest is learnt from, so
+repeated rows don't enlarge it).  Each document is the set of its n-grams.  Log-count ratios
 come from distributed counts over the sample; n-grams whose classes don't
 differ by ``min_z`` standard errors are left out, so that neither long clean
 texts nor rare n-grams add noise.  A regularised logistic regression over the
@@ -121,8 +122,9 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
     marked = (labels.filter(fold_of("doc_id", p.folds) != 0)
               .groupBy("doc_id").agg(F.max("toxic").alias("label")))
     ids = pin(stratified_ids(marked, p.per_class), "toxicity-ids")
-    # The ids are bounded by per_class, so the texts are filtered by broadcast.
-    sample = pin(documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "toxicity-sample")
+    # The ids are bounded by per_class, so the texts are filtered by broadcast; an id has one text, however many rows bear it.
+    sample = pin(documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+                 .groupBy("doc_id", "label").agg(F.min("text").alias("text")), "toxicity-sample")
     n = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     empty = ToxicityModel(np.empty(0, np.uint64), np.empty(0), -500.0, p)
     if not (n.get(0) and n.get(1)):

@@ -187,3 +187,19 @@ def test_classifiers_odd_rows(spark, frame):
     empty = docs.limit(0)
     assert toxicity.classify(empty, labels).count() == quality.classify(empty, labels).count() == language.identify(empty).count() == 0
     assert toxicity.reject(docs, labels).columns == docs.columns
+
+
+def test_rows_that_share_an_id_are_learnt_from_once(spark, frame):
+    rows = [(i, f"plain words number {i} about the garden" if i % 2 else f"hateful awful filth number {i}") for i in range(1, 60)]
+    labels = labels_of(spark, [(i, 1, 1 - i % 2) for i in range(1, 60)])
+    docs, repeated = frame(rows), frame(rows + rows[:2] * 500)
+    for train in (lambda d: toxicity.train(d, labels).weights, lambda d: language.train(d).table):
+        np.testing.assert_allclose(train(docs), train(repeated))
+    assert language.train(repeated).langs == ["en"]
+
+
+def test_line_dedup_keeps_columns_of_its_own_names(frame):
+    docs = frame([(1, "a b"), (2, None)]).withColumn("deduped", F.lit("mine")).withColumn("n_removed", F.lit(9))
+    out = linededup.replace_text(docs)
+    assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
+    assert linededup.dedup_lines(docs).filter("doc_id = 1").first().deduped == "a b"

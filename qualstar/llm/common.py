@@ -36,13 +36,18 @@ def fold_of(id_col: str | Column, folds: int) -> Column:
 def stratified_ids(labelled: DataFrame, per_class: int) -> DataFrame:
     """At most ``per_class`` rows of each label of ``labelled(doc_id, label)``,
     those with the smallest id hashes; rows null in either column take no part.
+    Ids should be distinct.
 
-    The rank filter is a group limit, which Spark applies on the map side too,
-    so a label that holds most rows sends few of them to its task.
+    Hashes are uniform, so the rows sought lie below a share of their range
+    that follows from the label's count; only rows below it (and ten standard
+    deviations more) are ranked.  So what meets in a label's task has a bound,
+    however many rows or tasks there are.
     """
-    w = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (labelled.filter("doc_id is not null and label is not null")
-            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_class).drop("_n"))
+    rows = labelled.filter("doc_id is not null and label is not null").withColumn("_u", F.xxhash64("doc_id") / 2.0 ** 64 + 0.5)
+    counts = rows.groupBy("label").agg(F.count("*").alias("_of"))
+    w = W.partitionBy("label").orderBy("_u", "doc_id")
+    return (rows.join(counts, "label").filter(F.col("_u") * F.col("_of") <= per_class + 10 * per_class ** 0.5 + 100)
+            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_class).drop("_n", "_u", "_of"))
 
 
 def _splitmix(x: np.ndarray) -> np.ndarray:

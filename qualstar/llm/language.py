@@ -132,8 +132,8 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, langs: list[st
 
 def train(documents: DataFrame, params: LanguageParams = LanguageParams()) -> LanguageModel:
     p = params
-    labelled = (documents.filter((fold_of("doc_id", p.folds) != p.held_fold) & F.col("text").isNotNull())
-                .groupBy("doc_id").agg(F.min("lang").alias("label")).filter("label is not null"))
+    labelled = pin(documents.filter((fold_of("doc_id", p.folds) != p.held_fold) & F.col("text").isNotNull())
+                   .groupBy("doc_id").agg(F.min("lang").alias("label")).filter("label is not null"), "language-labels")
     langs = sorted(r.label for r in labelled.select("label").distinct().limit(p.max_rows).collect())
     if not langs:
         return LanguageModel([], np.zeros((1 << p.bits, 0), np.float32), 1.0, 1.0, p)
@@ -152,7 +152,7 @@ def train(documents: DataFrame, params: LanguageParams = LanguageParams()) -> La
            .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
            .mapInPandas(bags, "doc_id long, label string, rows binary, share binary").toPandas()
            .sort_values("doc_id", kind="stable"))
-    unpin(ids)
+    unpin(labelled, ids)
     if not len(got):
         return LanguageModel([], np.zeros((1 << p.bits, 0), np.float32), 1.0, 1.0, p)
     langs = sorted(set(got.label))

@@ -119,8 +119,8 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
     """Fit on ``labels(doc_id, toxic)`` and the texts of ``documents``.  A
     document with several labels is toxic if any says so."""
     p = params
-    marked = (labels.filter(fold_of("doc_id", p.folds) != 0)
-              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
+    marked = pin(labels.filter(fold_of("doc_id", p.folds) != 0)
+                 .groupBy("doc_id").agg(F.max("toxic").alias("label")), "toxicity-labels")
     ids = pin(stratified_ids(marked, p.per_class), "toxicity-ids")
     # The ids are bounded by per_class, so the texts are filtered by broadcast; an id has one text, however many rows bear it.
     sample = pin(documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
@@ -128,7 +128,7 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
     n = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     empty = ToxicityModel(np.empty(0, np.uint64), np.empty(0), -500.0, p)
     if not (n.get(0) and n.get(1)):
-        unpin(ids, sample)
+        unpin(marked, ids, sample)
         return empty
     n1, n0 = n[1], n[0]
     p1, p0 = (F.col("pos") + 1) / (n1 + 2), (F.col("neg") + 1) / (n0 + 2)
@@ -137,7 +137,7 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
             .select("gram", F.log(p1 / p0).alias("ratio"), z.alias("z")).filter(F.col("z") >= p.min_z)
             .orderBy(F.desc("z"), "gram").limit(p.max_features).toPandas())
     if not len(kept):
-        unpin(ids, sample)
+        unpin(marked, ids, sample)
         return empty
     grams = kept.gram.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(grams)
@@ -150,7 +150,7 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
                                 "found": [shared.value.found(t).astype(np.int32).tobytes() for t in pdf.text]})
 
     got = sample.mapInPandas(features, "doc_id long, label int, found binary").toPandas()
-    unpin(ids, sample)
+    unpin(marked, ids, sample)
     got = got.sort_values(["doc_id", "label"], kind="stable")
     rows = [np.frombuffer(x, np.int32) for x in got.found]
     w, b = _fit_weights(rows, got.label.to_numpy(float), draft.weights, p.l2)

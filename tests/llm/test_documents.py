@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qualstar.llm import decontaminate, language, linededup, mixing, neardup, quality, toxicity
-from qualstar.llm.common import table, window_hashes, word_hashes, NON_SPACE
+from qualstar.llm.common import stratified_ids, table, window_hashes, word_hashes, NON_SPACE
 
 LONG = " ".join(f"w{i}" for i in range(200000))
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, LONG), (5, "same words in a row here"), (5, "same words in a row here"), (None, "a text without an id"),
@@ -203,3 +203,11 @@ def test_line_dedup_keeps_columns_of_its_own_names(frame):
     out = linededup.replace_text(docs)
     assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
     assert linededup.dedup_lines(docs).filter("doc_id = 1").first().deduped == "a b"
+
+
+def test_stratified_ids_are_the_smallest_hashes(spark):
+    rows = spark.range(30000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 29000, "a").when(F.col("id") < 29990, "b").alias("label"))
+    got = {(r.doc_id, r.label) for r in stratified_ids(rows, 100).collect()}
+    hashed = rows.filter("label is not null").withColumn("h", F.xxhash64("doc_id")).toPandas()
+    want = {(int(r.doc_id), k) for k, part in hashed.groupby("label") for r in part.nsmallest(100, "h").itertuples()}
+    assert got == want and stratified_ids(rows.limit(0), 100).count() == 0

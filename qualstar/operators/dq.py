@@ -227,25 +227,41 @@ def dimension_scores(aggregates: DataFrame, rules: list[Rule], execution_id: str
     ).orderBy("dim_order").drop("dim_order")
 
 
+def rule_counts(df: DataFrame, rule: Rule, params: DQParams = DQParams(), id_col: str = "application_id") -> DataFrame:
+    """(id, passed, n_rows): input rows per id and outcome of one rule.
+
+    A row rule is one projection and one pre-aggregated count; U001 needs the
+    rows per id only, and U002 the copies of each row.  No plan has a join."""
+    one = F.lit(1).cast("long")
+    if rule.kind == "first_copy":
+        copies = collapse_copies(df).select(id_col, F.inline(F.array(
+            F.struct(F.lit(True).alias("passed"), one.alias("n_rows")),
+            F.struct(F.lit(False).alias("passed"), (F.col(COPIES) - 1).alias("n_rows")))))
+        return copies.filter("n_rows > 0").groupBy(id_col, "passed").agg(F.sum("n_rows").alias("n_rows"))
+    if rule.rule_id == "U001":
+        work = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_id_rows"))
+        return work.select(id_col, F.coalesce(safe_rule_column(work, rule, params), F.lit(False)).alias("passed"),
+                           F.col("_id_rows").alias("n_rows"))
+    work = _with_dates(df, params)
+    passed = F.coalesce(safe_rule_column(work, rule, params), F.lit(False))
+    return work.select(id_col, passed.alias("passed")).groupBy(id_col, "passed").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def expand_copies(weighted: DataFrame, rules: list[Rule] | None = None, chunk: int = 4096) -> DataFrame:
     """Row-level rule table: input columns + one rule column per rule, one
     output row per input row (the collapsed rows fanned out again).  The first
     copy of each group of identical rows passes U002, the others fail it.
 
-    Groups of at most ``chunk`` copies (nearly all rows) are fanned out where
-    they are, without a shuffle.  Larger groups are first cut into chunks of
-    ``chunk`` copies and only those chunk rows are spread over the cluster, so
-    no single task generates a hot group."""
+    Every group is cut into chunks of at most ``chunk`` copies, and these (a
+    row each) are spread over the cluster before they are fanned out, so no
+    single task generates a hot group."""
     rules = rules if rules is not None else []
     keep = [c for c in weighted.columns if c not in CONTEXT]
     n = F.col(COPIES)
     zero = F.lit(0).cast("long")
 
-    small = weighted.filter(n <= chunk).select(*keep, zero.alias("_qs_chunk"))
-    big = weighted.filter(n > chunk).select(
-        *keep, F.explode(F.sequence(zero, F.floor((n - 1) / chunk).cast("long"))).alias("_qs_chunk"))
-    big = big.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_qs_chunk")))
-    chunks = small.unionByName(big)
+    chunks = weighted.select(*keep, F.explode(F.sequence(zero, F.floor((n - 1) / chunk).cast("long"))).alias("_qs_chunk"))
+    chunks = chunks.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_qs_chunk")))
     start = F.col("_qs_chunk") * chunk
     size = F.least(F.lit(chunk).cast("long"), n - start)
     rows = chunks.select(*keep, "_qs_chunk", F.explode(F.sequence(zero, size - 1)).alias("_qs_i"))

@@ -38,6 +38,52 @@ def _completeness_sql() -> str:
     return " OR ".join(parts)
 
 
+_M32 = 4294967295
+
+
+def _mul32(a: str, c: int) -> str:
+    return f"(({a}) * {c}::UBIGINT & {_M32}::UBIGINT)"
+
+
+def _rot32(a: str, n: int) -> str:
+    return f"((({a}) * {1 << n}::UBIGINT & {_M32}::UBIGINT) | (({a}) >> {32 - n}))"
+
+
+def _murmur3(columns: list[tuple[str, str]], seed: int = 42) -> str:
+    """SQL for the 32-bit Murmur3 row hash of typed columns, each column's hash
+    seeding the next and NULL leaving it as it is.
+
+    A row is a list of numbers: words of 32 bits to mix in, and 2^32 plus the
+    bytes of a value where its hash is finished; one fold goes over the list.
+    """
+    def byte(i):
+        return f"('0x' || substr(hex(encode({{c}})), ({i}) * 2 + 1, 2))::UBIGINT"
+
+    text = ("list_concat(list_transform(range(strlen({c}) // 4), lambda i: "
+            + " + ".join(f"({byte(f'i * 4 + {k}')} * {1 << 8 * k}::UBIGINT)" for k in range(4))
+            + "), list_transform(range(strlen({c}) // 4 * 4, strlen({c})), lambda i: "
+            + f"{byte('i')} + CASE WHEN {byte('i')} > 127 THEN 4294967040::UBIGINT ELSE 0::UBIGINT END), "
+            + "[(4294967296 + strlen({c}))::UBIGINT])")
+    bits = "({c} + 0.0::DOUBLE)::BIT::UBIGINT"
+    words = {"string": text,
+             "int": f"[({{c}}::BIGINT & {_M32})::UBIGINT, 4294967300::UBIGINT]",
+             "double": f"[{bits} & {_M32}::UBIGINT, {bits} >> 32, 4294967304::UBIGINT]"}
+    row = ", ".join(f"CASE WHEN {c} IS NULL THEN []::UBIGINT[] ELSE {words[t].format(c=c)} END" for c, t in columns)
+    mixed = _mul32(_rot32(_mul32("k", 0xCC9E2D51), 15), 0x1B873593)
+    step = f"({_rot32(f'xor(h, {mixed})', 13)} * 5::UBIGINT + {0xE6546B64}::UBIGINT & {_M32}::UBIGINT)"
+    end = "xor(h, k - 4294967296::UBIGINT)"
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, None)):
+        end = f"xor({end}, ({end}) >> {shift})"
+        end = _mul32(end, factor) if factor else end
+    fold = f"list_reduce(flatten([{row}]), lambda h, k: CASE WHEN k < 4294967296 THEN {step} ELSE {end} END, {seed}::UBIGINT)"
+    return f"(({fold})::BIGINT + 2147483648) % 4294967296 - 2147483648"
+
+
+def hash_query() -> dict[str, str]:
+    value = _murmur3([(c, t) for c, t in TAX_COLUMNS])
+    return {"src_hash": f"SELECT taxpayer_id, ({value})::INTEGER AS raw_record_hash FROM ({tax_returns_sql()})"}
+
+
 def validated_ctes() -> str:
     """tax_returns -> checks -> validated (flags + scores) -> scored."""
     w = SCORE_WEIGHTS

@@ -17,7 +17,7 @@ from ..sources.adapters import grant_applications, grant_applications_resubmitte
 from ..sources.files import read_postal_lookup
 from ..sources.lineage import add_lineage
 from . import analytics, history
-from .dq import analyse_weighted
+from .dq import analyse, analyse_weighted
 from .tax import silver_transform
 
 ORACLE_DQ_PARAMS = DQParams(as_of=ORACLE_AS_OF)
@@ -37,39 +37,8 @@ def _scored(spark, sf):
     return silver_transform(tax_returns(spark, sf))
 
 
-_MEMO: dict = {}
-
-
-def _stamp(spark, path):
-    """(path, size, time) of the files of a table, from the store itself."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
-    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found))
-
-
-def _memo(kind, spark, sf, build, files=("orders", "customer")):
-    """Layers built once per session and input folder, then reused — as the
-    pipeline writes a layer once and later jobs read it from storage.  The
-    key includes the input files' sizes and times on whatever store they are,
-    so changed input rebuilds."""
-    stamp = tuple(_stamp(spark, f"{sf.rstrip('/')}/{f}.parquet") for f in files)
-    key = (kind, id(spark._jsparkSession), sf, stamp)
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
-
-
-def _scored_layer(spark, sf):
-    """The scored returns materialised in the checkpoint folder, as the
-    pipeline materialises its silver layer: routing and the star builders
-    then read stored columns instead of re-deriving (and, through filter
-    pushdown, inlining) the whole validation chain."""
-    checkpoint_dir(spark)
-    return _memo("scored", spark, sf, lambda: pin(_scored(spark, sf), "scored"))
-
-
 def _silver(spark, sf):
-    return score.route(_scored_layer(spark, sf))[0]
+    return score.route(_scored(spark, sf))[0]
 
 
 def q_src_postal_lookup(spark, sf):
@@ -128,24 +97,20 @@ def q_route_counts(spark, sf):
 
 
 def q_route_rejected(spark, sf):
-    return score.route(_scored_layer(spark, sf))[1]
+    return score.route(_scored(spark, sf))[1]
 
 
 def _star(spark, sf, grain="return"):
-    def build():
-        p = TaxParams(fact_grain=grain)
-        built = star.build_star_schema(_silver(spark, sf), p, with_fact_key=False)
-        return {name: (df if name.startswith("dim_") else pin(df, name)) for name, df in built.items()}
-    return _memo(f"star-{grain}", spark, sf, build)
+    """Dimensions and fact over a silver layer written first, as in the pipeline."""
+    silver = pin(_silver(spark, sf), "silver")
+    return star.build_star_schema(silver, TaxParams(fact_grain=grain), with_fact_key=False)
 
 
 def q_dim(name):
     def q(spark, sf):
-        checkpoint_dir(spark)
-        silver = _silver(spark, sf)
         build = {"dim_taxpayer": star.build_dim_taxpayer, "dim_time": star.build_dim_time,
                  "dim_location": star.build_dim_location, "dim_occupation": star.build_dim_occupation}[name]
-        return _memo(name, spark, sf, lambda: build(silver))
+        return build(_silver(spark, sf))
     return q
 
 
@@ -161,63 +126,42 @@ def q_bo(name):
     return q
 
 
-def _dq_weighted(spark, sf, source=grant_applications, kind="dq-weighted"):
-    """The collapsed rule-evaluation table (all 25 rules), materialised once
-    per session and input folder; every DQ report reads it."""
-    checkpoint_dir(spark)
-    rules = default_rules(ORACLE_DQ_PARAMS)
-
-    def build():
-        w = dq.evaluate_weighted(source(spark, sf), rules, ORACLE_DQ_PARAMS)
-        # The reports read the id, the copy count and the rule flags only.
-        return pin(w.select("application_id", dq.COPIES, *[r.column for r in rules]), kind)
-    return _memo(kind, spark, sf, build, files=("lineitem", "orders"))
-
-
-def _resubmitted_weighted(spark, sf):
-    return _dq_weighted(spark, sf, grant_applications_resubmitted, "dq-weighted-resubmitted")
-
-
 def q_bo_sql(name):
     def q(spark, sf):
         return analytics.run_sql(spark, name, _star(spark, sf), prefix="qs_")
     return q
 
 
-def q_dq_rule(rule_id, weighted=None):
+def q_dq_rule(rule_id, source=grant_applications):
+    """Rows per application and outcome of one rule: a projection and a
+    pre-aggregated count for row rules, a count per id for U001, the collapsed
+    copies for U002."""
     def q(spark, sf):
         rule = rules_by_id(ORACLE_DQ_PARAMS)[rule_id]
-        w = (weighted or _dq_weighted)(spark, sf)
-        passed = F.coalesce(F.col(rule.column), F.lit(False))
-        if rule.kind == "first_copy":
-            # One copy of each group of identical rows passes, the rest fail.
-            pass_n, fail_n = F.lit(1).cast("long"), F.col(dq.COPIES) - 1
-        else:
-            pass_n = F.when(passed, F.col(dq.COPIES)).otherwise(0)
-            fail_n = F.when(passed, 0).otherwise(F.col(dq.COPIES))
-        both = w.select("application_id", F.array(
-            F.struct(F.lit(True).alias("passed"), pass_n.cast("long").alias("n")),
-            F.struct(F.lit(False).alias("passed"), fail_n.cast("long").alias("n"))).alias("_pairs"))
-        exploded = both.select("application_id", F.inline("_pairs")).filter(F.col("n") > 0)
-        return exploded.groupBy("application_id", "passed").agg(F.sum("n").alias("n_rows"))
+        return dq.rule_counts(source(spark, sf), rule, ORACLE_DQ_PARAMS)
     return q
 
 
-def _dq_run(spark, sf):
-    return _memo("dq-run", spark, sf, lambda: analyse_weighted(
-        _dq_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
-        ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)), files=("lineitem", "orders"))
+def _dq_run(spark, sf, source=grant_applications, execution_id=ORACLE_EXECUTION_ID, ts=ORACLE_EXECUTION_TS):
+    """The run that the command line makes."""
+    return analyse(source(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS), execution_id,
+                   datetime.fromisoformat(ts))
+
+
+def _dq_run_weighted(spark, sf):
+    """The resubmitted applications by way of the row-level rule table."""
+    rules = default_rules(ORACLE_DQ_PARAMS)
+    w = dq.evaluate_weighted(grant_applications_resubmitted(spark, sf), rules, ORACLE_DQ_PARAMS)
+    return analyse_weighted(w.select("application_id", dq.COPIES, *[r.column for r in rules]), ORACLE_DQ_PARAMS, rules,
+                            ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS))
 
 
 def _history_runs(spark, sf):
     """Two monitor runs kept as history: the grant view, then the view with its
     Rejected applications resubmitted a day later."""
     from ..oracle import ORACLE_EXECUTION_ID_2, ORACLE_EXECUTION_TS_2
-    first = _dq_run(spark, sf)
-    second = _memo("dq-run-2", spark, sf, lambda: analyse_weighted(
-        _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
-        ORACLE_EXECUTION_ID_2, datetime.fromisoformat(ORACLE_EXECUTION_TS_2)), files=("lineitem", "orders"))
-    return first, second
+    return (_dq_run(spark, sf),
+            _dq_run(spark, sf, grant_applications_resubmitted, ORACLE_EXECUTION_ID_2, ORACLE_EXECUTION_TS_2))
 
 
 def _history_table(runs, attr):
@@ -300,13 +244,11 @@ def queries() -> dict:
         "dq_execution": lambda spark, sf: _dq_run(spark, sf).execution,
         "dq_rule_table": lambda spark, sf: dq.evaluate_all(
             grant_applications(spark, sf), default_rules(ORACLE_DQ_PARAMS), ORACLE_DQ_PARAMS),
-        "dq_resubmitted_rule_U002": q_dq_rule("U002", _resubmitted_weighted),
+        "dq_resubmitted_rule_U002": q_dq_rule("U002", grant_applications_resubmitted),
         "dq_history_trend": q_dq_history_trend,
         "dq_history_failing_rules": q_dq_history_failing_rules,
         "dq_history_report": q_dq_history_report,
         "dq_history_alerts": q_dq_history_alerts,
-        "dq_resubmitted_rule_results": lambda spark, sf: analyse_weighted(
-            _resubmitted_weighted(spark, sf), ORACLE_DQ_PARAMS, default_rules(ORACLE_DQ_PARAMS),
-            ORACLE_EXECUTION_ID, datetime.fromisoformat(ORACLE_EXECUTION_TS)).rule_results,
+        "dq_resubmitted_rule_results": lambda spark, sf: _dq_run_weighted(spark, sf).rule_results,
     })
     return out

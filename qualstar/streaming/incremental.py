@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.score import route
+from ..operators.score import class_counts, route
 from ..params import DQParams, TaxParams
 from ..plans.dq import analyse, record_history
 from ..plans.tax import silver_transform
@@ -80,9 +80,8 @@ def start_tax_streams(spark: SparkSession, input_dir: str, silver_dir: str, reje
 def start_class_counts(spark: SparkSession, input_dir: str, checkpoint_root: str, query_name: str = "tax_classes",
                        p: TaxParams = TaxParams(), trigger: str = "available_now",
                        interval: str = "1 minute", source_format: str = "csv") -> StreamingQuery:
-    """Running rows per class into an in-memory table ``query_name``."""
-    counts = scored_stream(spark, input_dir, p, source_format).groupBy("dq_classification").agg(
-        F.count(F.lit(1)).alias("record_count"))
+    """Running rows per class, all three, into an in-memory table ``query_name``."""
+    counts = class_counts(scored_stream(spark, input_dir, p, source_format))
     w = (counts.writeStream.format("memory").queryName(query_name).outputMode("complete")
          .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{query_name}"))
     return _trigger(w, trigger, interval).start()

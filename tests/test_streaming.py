@@ -21,7 +21,7 @@ def test_tax_stream_routes_new_files_exactly_once(spark, tmp_dir):
     q = start_class_counts(spark, inbox, ck)
     q.awaitTermination()
     counts = {r.dq_classification: r.record_count for r in spark.sql("SELECT * FROM tax_classes").collect()}
-    assert counts == {"Accept": 2, "Reject": 2}
+    assert counts == {"Accept": 2, "Quarantine": 0, "Reject": 2}
 
 
 def test_dq_monitor_appends_history(spark, tmp_dir):

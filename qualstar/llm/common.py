@@ -33,10 +33,11 @@ def fold_of(id_col: str | Column, folds: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % folds
 
 
-def stratified_ids(labelled: DataFrame, per_class: int) -> DataFrame:
+def stratified_ids(labelled: DataFrame, per_class: int, max_labels: int = 4096) -> DataFrame:
     """At most ``per_class`` rows of each label of ``labelled(doc_id, label)``,
     those with the smallest id hashes; rows null in either column take no part.
-    Ids should be distinct.
+    Ids should be distinct.  Of more than ``max_labels`` labels the most
+    frequent take part: their counts are broadcast.
 
     Hashes are uniform, so the rows sought lie below a share of their range
     that follows from the label's count; only rows below it (and ten standard
@@ -44,9 +45,9 @@ def stratified_ids(labelled: DataFrame, per_class: int) -> DataFrame:
     however many rows or tasks there are.
     """
     rows = labelled.filter("doc_id is not null and label is not null").withColumn("_u", F.xxhash64("doc_id") / 2.0 ** 64 + 0.5)
-    counts = rows.groupBy("label").agg(F.count("*").alias("_of"))
+    counts = rows.groupBy("label").agg(F.count("*").alias("_of")).orderBy(F.desc("_of"), "label").limit(max_labels)
     w = W.partitionBy("label").orderBy("_u", "doc_id")
-    return (rows.join(counts, "label").filter(F.col("_u") * F.col("_of") <= per_class + 10 * per_class ** 0.5 + 100)
+    return (rows.join(F.broadcast(counts), "label").filter(F.col("_u") * F.col("_of") <= per_class + 10 * per_class ** 0.5 + 100)
             .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_class).drop("_n", "_u", "_of"))
 
 

@@ -15,8 +15,10 @@ per host and task is all that is shuffled, and these are aligned in two steps
 article or main elements, or else in the smallest container that holds most of
 the slots' text.  Menus, headers, footers, sidebars, notices, adverts, forms
 and comments, known by tag, role or class, are left out, and outside article
-elements so are literals that stand on ``literal_pages`` pages or more.  A page
-without the host's container gives all its text outside such parts.
+elements so are literals that stand on ``literal_pages`` pages or more: texts
+equal to the literal in its place, not others there.  Pages of the same text
+outside such parts are copies and count as one.  A page without the host's
+container gives all its text outside such parts.
 
 Null and empty html give an empty text; pages without a host in their URL are
 one host.  Character references are decoded, white space in a block is one
@@ -144,24 +146,39 @@ def tokens(page: str | None):
 
 
 # A wrapper is a tuple of items (key, optional, load).  Tags have no load; a
-# text's load is (its hash, or None for a slot; pages; characters; aside); that
-# of a repeated group, whose key begins with a plus, is the wrapper it repeats.
+# text's load is (its hash, or None for a slot; the smallest hashes of pages that
+# have it, none for a slot; characters; aside); that of a
+# repeated group, whose key begins with a plus, is the wrapper it repeats.
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
+
+
+def _in_main(path: str) -> bool:
+    return "=main" in path
+
 
 def stream(page: str | None) -> tuple:
     """The page's own wrapper, before any alignment."""
-    return tuple((label, False, None) if text is None else
-                 ("#" + label, False, (xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")), 1, len(text), aside))
-                 for label, text, aside in tokens(page))
+    found = list(tokens(page))
+    own = [(path, text) for path, text, aside in found if text is not None and not aside]
+    # Pages of the same text outside asides are copies, and count as one.
+    copy = _hash("\n".join(text for _, text in own))
+    return tuple((label, False, None) if text is None else ("#" + label, False, (_hash(text), (copy,), len(text), aside))
+                 for label, text, aside in found)
 
 
-def _same(a: tuple, b: tuple, repeat: bool = False) -> tuple:
-    """One item for two aligned ones; ``repeat``: both stand on one page."""
+def _same(a: tuple, b: tuple, widest: int, keep: int) -> tuple:
+    """One item for two aligned ones.  Of the pages that have a literal the
+    ``keep`` smallest hashes stay: enough to count to ``keep`` in any order."""
     opt, x, y = a[1] or b[1], a[2], b[2]
     if x is None:
         return a[0], opt, None
     if a[0][0] == "+":
-        return a[0], opt, align(x, y)
-    return a[0], opt, (x[0] if x[0] == y[0] else None, max(x[1], y[1]) if repeat else x[1] + y[1], x[2] + y[2], x[3])
+        return a[0], opt, align(x, y, widest, keep)
+    if x[0] is None or x[0] != y[0]:
+        return a[0], opt, (None, (), x[2] + y[2], x[3])
+    return a[0], opt, (x[0], x[1] if x[1] == y[1] else tuple(sorted({*x[1], *y[1]})[:keep]), x[2] + y[2], x[3])
 
 
 def _balanced(items: tuple) -> bool:
@@ -178,7 +195,7 @@ def _balanced(items: tuple) -> bool:
     return not open_
 
 
-def squash(items: tuple, widest: int) -> tuple:
+def squash(items: tuple, widest: int, keep: int = 3) -> tuple:
     """Make repeated groups of balanced stretches that stand twice in a row."""
     width = 1
     while width <= min(widest, len(items) // 2):
@@ -188,7 +205,7 @@ def squash(items: tuple, widest: int) -> tuple:
             if keys[i][0] != "/" and keys[i:i + width] == keys[i + width:i + 2 * width] and _balanced(items[i:i + width]):
                 body, j = items[i:i + width], i + width
                 while keys[j:j + width] == keys[i:i + width]:
-                    body = tuple(_same(x, y, True) for x, y in zip(body, items[j:j + width], strict=True))
+                    body = tuple(_same(x, y, widest, keep) for x, y in zip(body, items[j:j + width], strict=True))
                     j += width
                 out.append(body[0] if width == 1 and body[0][0][0] == "+" else ("+" + body[0][0].lstrip("+"), False, body))
                 i, found = j, True
@@ -200,7 +217,7 @@ def squash(items: tuple, widest: int) -> tuple:
     return items
 
 
-def _fold(items: tuple, other: tuple) -> tuple:
+def _fold(items: tuple, other: tuple, widest: int, keep: int) -> tuple:
     """Take single occurrences of the other side's repeated groups as groups."""
     for key, _, body in (x for x in other if x[0][0] == "+"):
         out, i = [], 0
@@ -215,7 +232,7 @@ def _fold(items: tuple, other: tuple) -> tuple:
                     break
             if got:
                 if out and out[-1][0] == key:
-                    out[-1] = (key, out[-1][1], align(out[-1][2], tuple(got)))
+                    out[-1] = (key, out[-1][1], align(out[-1][2], tuple(got), widest, keep))
                 else:
                     out.append((key, False, tuple(got)))
                 i = j
@@ -226,18 +243,18 @@ def _fold(items: tuple, other: tuple) -> tuple:
     return items
 
 
-def align(a: tuple, b: tuple, widest: int = 24) -> tuple:
+def align(a: tuple, b: tuple, widest: int = 24, keep: int = 3) -> tuple:
     """The wrapper of everything that either wrapper describes."""
     if a == b and not a:
         return a
-    a, b = _fold(a, b), _fold(b, a)
+    a, b = _fold(a, b, widest, keep), _fold(b, a, widest, keep)
     out = []
     for op, i0, i1, j0, j1 in difflib.SequenceMatcher(None, [x[0] for x in a], [x[0] for x in b], autojunk=False).get_opcodes():
         if op == "equal":
-            out += [_same(x, y) for x, y in zip(a[i0:i1], b[j0:j1], strict=True)]
+            out += [_same(x, y, widest, keep) for x, y in zip(a[i0:i1], b[j0:j1], strict=True)]
         else:
             out += [(k, True, load) for k, _, load in (*a[i0:i1], *b[j0:j1])]
-    return squash(tuple(out), widest)
+    return squash(tuple(out), widest, keep)
 
 
 def expression(wrapper: tuple) -> str:
@@ -261,11 +278,16 @@ def _texts(wrapper: tuple):
 
 def verdict(wrapper: tuple, p: HtmlParams) -> dict:
     """Where the host's main text stands: {"main": container path, or "" for
-    article and main elements, or None; "literal": paths of literals}."""
+    article and main elements, or None; "literal": path -> hashes of the
+    literals there}."""
     found = [(path, load) for path, load in _texts(wrapper) if not load[3]]
-    if any("=main" in path for path, _ in found):
-        return {"main": "", "literal": []}
-    slots = [(path, load[2]) for path, load in found if load[0] is None or load[1] < p.literal_pages]
+    if any(_in_main(path) for path, _ in found):
+        return {"main": "", "literal": {}}
+    literal: dict[str, list[int]] = {}
+    for path, load in found:
+        if load[0] is not None and len(load[1]) >= p.literal_pages:
+            literal.setdefault(path, []).append(load[0])
+    slots = [(path, load[2]) for path, load in found if load[0] is None or len(load[1]) < p.literal_pages]
     total, size = sum(n for _, n in slots), {}
     for path, n in slots:
         parts = path.split("/")
@@ -274,20 +296,20 @@ def verdict(wrapper: tuple, p: HtmlParams) -> dict:
                 c = "/".join(parts[:k])
                 size[c] = size.get(c, 0) + n
     main = max((c for c, n in size.items() if n >= p.main_share * total), key=lambda c: (c.count("/"), c), default=None)
-    return {"main": main, "literal": sorted({path for path, load in found if load[0] is not None and load[1] >= p.literal_pages})}
+    return {"main": main, "literal": {path: sorted(set(hashes)) for path, hashes in sorted(literal.items())}}
 
 
 def main_text(page: str | None, rule: dict | None) -> str:
     """Main text of one page by its host's verdict."""
-    rule = rule or {"main": None, "literal": []}
+    rule = rule or {"main": None, "literal": {}}
     every = [(path, text) for path, text, aside in tokens(page) if text is not None and not aside]
     if rule["main"] == "":
-        got = [text for path, text in every if "=main" in path]
+        got = [text for path, text in every if _in_main(path)]
     elif rule["main"] is None:
         got = []
     else:
-        literal = set(rule["literal"])
-        got = [text for path, text in every if (path + "/").startswith(rule["main"] + "/") and path not in literal]
+        got = [text for path, text in every if (path + "/").startswith(rule["main"] + "/")
+               and (path not in rule["literal"] or _hash(text) not in rule["literal"][path])]
     return "\n".join(got or [text for _, text in every])
 
 
@@ -299,7 +321,7 @@ def _merge(wrappers: list[bytes], p: HtmlParams) -> tuple:
     out = None
     for w in sorted(wrappers):
         w = pickle.loads(w)
-        out = w if out is None else align(out, w, p.widest_group)
+        out = w if out is None else align(out, w, p.widest_group, p.literal_pages)
     return out
 
 
@@ -312,16 +334,16 @@ def infer(pages: DataFrame, params: HtmlParams = HtmlParams()) -> DataFrame:
         merged: dict[str, dict[tuple, tuple]] = {}
         for pdf in batches:
             for host, page in zip(pdf.host, pdf.html, strict=True):
-                w = squash(stream(page), p.widest_group)
+                w = squash(stream(page), p.widest_group, p.literal_pages)
                 known = merged.setdefault(host, {})
                 shape = tuple(x[0] for x in w)
                 # Equal outlines need no search for an alignment.
-                known[shape] = tuple(_same(x, y) for x, y in zip(known[shape], w, strict=True)) if shape in known else w
+                known[shape] = tuple(_same(x, y, p.widest_group, p.literal_pages) for x, y in zip(known[shape], w, strict=True)) if shape in known else w
         rows = []
         for host, known in merged.items():
             out = None
             for shape in sorted(known):
-                out = known[shape] if out is None else align(out, known[shape], p.widest_group)
+                out = known[shape] if out is None else align(out, known[shape], p.widest_group, p.literal_pages)
             data = pickle.dumps(out)
             rows.append((host, xxhash.xxh32_intdigest(data) % p.salts, data))
         yield pd.DataFrame(rows, columns=["host", "salt", "wrapper"])

@@ -37,6 +37,25 @@ def test_wrapper_has_optional_and_repeated_groups():
     assert html.expression(html.align(a, b)) == "<div> (<h2>)? (#literal)? (</h2>)? <ul> (<li> #slot)+ </ul> (<hr>)? </div>"
 
 
+def extracted(spark, bodies, host="a.example"):
+    rows = [(i, f"http://{host}/{i}", page(b)) for i, b in enumerate(bodies)]
+    return {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_a_repeated_paragraph_takes_no_other_text_with_it(spark):
+    bodies = [f"<div class=post-body><p>By staff</p><h2>Head {i}</h2><p>own text number {i}</p></div>" for i in range(5)]
+    got = extracted(spark, bodies)
+    assert [got[i] for i in range(5)] == [f"Head {i}\nown text number {i}" for i in range(5)]
+
+
+def test_copies_of_a_page_make_no_literals(spark):
+    usual = [f"<div class=post-body><h2>Head {i}</h2><p>own text number {i}</p></div>" for i in range(6)]
+    odd = "<div class=post-body><p>an unusual page</p><ul><li>with a list</ul><p>and an end</p></div>"
+    got = extracted(spark, usual + [odd] * 4)
+    assert [got[i] for i in range(6)] == [f"Head {i}\nown text number {i}" for i in range(6)]
+    assert all(got[i] == "an unusual page\nwith a list\nand an end" for i in range(6, 10))
+
+
 def test_archive_round_trip(spark):
     body = ["<p>same</p>", "<p>same</p>", None, "", "é" * 100000, "<p>other</p>"]
     rows = [(9 - i, f"http://h/{i}", b) for i, b in enumerate(body)] + [(None, None, "<p>same</p>"), (1 << 60, "http://h/\n", "<p>\r\n\r\n</p>")]

@@ -11,14 +11,15 @@ task aligns the distinct streams of its own pages first, so one small wrapper
 per host and task is all that is shuffled, and these are aligned in two steps
 (dealt out by a salt first), however many pages a host has.
 
-*Extraction.*  The wrapper tells where a host's main text stands: in its
-article or main elements, or else in the smallest container that holds most of
-the slots' text.  Menus, headers, footers, sidebars, notices, adverts, forms
-and comments, known by tag, role or class, are left out, and outside article
-elements so are literals that stand on ``literal_pages`` pages or more: texts
-equal to the literal in its place, not others there.  Pages of the same text
-outside such parts are copies and count as one.  A page without the host's
-container gives all its text outside such parts.
+*Extraction.*  The main text stands in a page's article or main elements; for
+the host's pages without any, the wrapper tells the container: the smallest that
+holds most of the slots' text of these pages.  Menus, headers, footers,
+sidebars, notices, adverts, forms and comments, known by tag, role or class, are
+left out, and on all pages so are literals that stand on ``literal_pages`` pages
+or more: texts equal to the literal in its place, not others there.  Pages of
+the same text outside such parts are copies and count as one.  A page without
+the host's container gives all its text outside such parts but the literals; a
+page whose part is literals only keeps them.
 
 Null and empty html give an empty text; pages without a host in their URL are
 one host.  Character references are decoded, white space in a block is one
@@ -147,8 +148,8 @@ def tokens(page: str | None):
 
 # A wrapper is a tuple of items (key, optional, load).  Tags have no load; a
 # text's load is (its hash, or None for a slot; the smallest hashes of pages that
-# have it, none for a slot; characters; aside); that of a
-# repeated group, whose key begins with a plus, is the wrapper it repeats.
+# have it, none for a slot; characters on pages without article or main; aside);
+# that of a repeated group, whose key begins with a plus, is the wrapper it repeats.
 
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
@@ -164,7 +165,8 @@ def stream(page: str | None) -> tuple:
     own = [(path, text) for path, text, aside in found if text is not None and not aside]
     # Pages of the same text outside asides are copies, and count as one.
     copy = _hash("\n".join(text for _, text in own))
-    return tuple((label, False, None) if text is None else ("#" + label, False, (_hash(text), (copy,), len(text), aside))
+    plain = not any(_in_main(path) for path, _ in own)
+    return tuple((label, False, None) if text is None else ("#" + label, False, (_hash(text), (copy,), len(text) if plain else 0, aside))
                  for label, text, aside in found)
 
 
@@ -277,17 +279,15 @@ def _texts(wrapper: tuple):
 
 
 def verdict(wrapper: tuple, p: HtmlParams) -> dict:
-    """Where the host's main text stands: {"main": container path, or "" for
-    article and main elements, or None; "literal": path -> hashes of the
-    literals there}."""
+    """{"main": path of the container that holds the main text of the host's
+    pages without article and main elements, or None; "literal": path -> hashes
+    of the literals there}."""
     found = [(path, load) for path, load in _texts(wrapper) if not load[3]]
-    if any(_in_main(path) for path, _ in found):
-        return {"main": "", "literal": {}}
     literal: dict[str, list[int]] = {}
     for path, load in found:
         if load[0] is not None and len(load[1]) >= p.literal_pages:
             literal.setdefault(path, []).append(load[0])
-    slots = [(path, load[2]) for path, load in found if load[0] is None or len(load[1]) < p.literal_pages]
+    slots = [(path, load[2]) for path, load in found if load[2] and (load[0] is None or len(load[1]) < p.literal_pages)]
     total, size = sum(n for _, n in slots), {}
     for path, n in slots:
         parts = path.split("/")
@@ -303,14 +303,15 @@ def main_text(page: str | None, rule: dict | None) -> str:
     """Main text of one page by its host's verdict."""
     rule = rule or {"main": None, "literal": {}}
     every = [(path, text) for path, text, aside in tokens(page) if text is not None and not aside]
-    if rule["main"] == "":
-        got = [text for path, text in every if _in_main(path)]
-    elif rule["main"] is None:
-        got = []
-    else:
-        got = [text for path, text in every if (path + "/").startswith(rule["main"] + "/")
-               and (path not in rule["literal"] or _hash(text) not in rule["literal"][path])]
-    return "\n".join(got or [text for _, text in every])
+    part = [x for x in every if _in_main(x[0])]
+    if not part and rule["main"] is not None:
+        part = [x for x in every if (x[0] + "/").startswith(rule["main"] + "/")]
+
+    def own(texts):
+        return [x for x in texts if x[0] not in rule["literal"] or _hash(x[1]) not in rule["literal"][x[0]]]
+
+    # A part that is all literals is what the page has to say.
+    return "\n".join(text for _, text in own(part) or part or own(every) or every)
 
 
 def host_of(url: str = "url") -> Column:

@@ -56,6 +56,21 @@ def test_copies_of_a_page_make_no_literals(spark):
     assert all(got[i] == "an unusual page\nwith a list\nand an end" for i in range(6, 10))
 
 
+def test_one_article_does_not_switch_its_host(spark):
+    box = "<div class=box>Always the same</div>"
+    bodies = [f"{box}<div class=post-body><h2>Head {i}</h2><p>own text number {i}</p></div><div class=more>see {i}</div>" for i in range(5)]
+    alone = extracted(spark, bodies)
+    articles = [f"{box}<article><p>Read more here</p><h1>Title {i}</h1><p>told at length {i} {'word ' * 200}</p></article><div class=teaser>{'next ' * 300}{i}</div>" for i in range(4)]
+    got = extracted(spark, bodies + articles)
+    assert [got[i] for i in range(5)] == [alone[i] for i in range(5)] == [f"Head {i}\nown text number {i}" for i in range(5)]
+    assert [got[5 + i] for i in range(4)] == [f"Title {i}\ntold at length {i} {'word ' * 200}".strip() for i in range(4)]
+
+
+def test_a_part_of_literals_only_stays(spark):
+    got = extracted(spark, [f"<article><h1>Title {i}</h1><p>the same words</p></article>" for i in range(4)] + ["<article><p>the same words</p></article>"])
+    assert got[0] == "Title 0" and got[4] == "the same words"
+
+
 def test_archive_round_trip(spark):
     body = ["<p>same</p>", "<p>same</p>", None, "", "é" * 100000, "<p>other</p>"]
     rows = [(9 - i, f"http://h/{i}", b) for i, b in enumerate(body)] + [(None, None, "<p>same</p>"), (1 << 60, "http://h/\n", "<p>\r\n\r\n</p>")]

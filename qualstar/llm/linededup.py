@@ -2,11 +2,13 @@
 
 Overlapping documents are found through rare line hashes.  A single short line
 may stand in any text, so the key is a run of lines: from each line on, as many
-following lines as it takes to reach ``min_words`` words.  Two texts that share
-a block of lines of at least that size share a run.  Every run links the
-documents that hold it to the first of them (smallest doc_id), so a passage in
-n documents gives n - 1 pairs however many documents share it, and no key is
-too frequent to be used.
+following lines as it takes to reach ``min_words`` words, and up to each line as
+many lines before it.  Every line of a block of at least that size is in one of
+the block's runs: in the one that ends at it, or near the block's begin in the
+first.  Every run links the documents that hold it to the first of them
+(smallest doc_id), so a passage in n documents gives n - 1 pairs a run however
+many documents share it, no key is too frequent to be used, and a line goes
+whichever earlier document has its block.
 
 Each pair is aligned by patience diff over the documents' line hashes: lines
 unique in both, the longest increasing sequence of their positions, blocks
@@ -54,14 +56,15 @@ def line_keys(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
 
 
 def run_spans(words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """For each line, the shortest run from it on that has ``min_words`` words."""
+    """The shortest runs of ``min_words`` words from each line on and up to each line."""
     total = np.concatenate(([0], np.cumsum(words)))
     ends = np.searchsorted(total, total[:-1] + min_words)
-    return [(i, int(e)) for i, e in enumerate(ends) if e <= len(words)]
+    begins = np.searchsorted(total, total[1:] - min_words, "right") - 1
+    return sorted({(i, int(e)) for i, e in enumerate(ends) if e <= len(words)} | {(int(b), j + 1) for j, b in enumerate(begins) if b >= 0})
 
 
 def run_keys(hashes: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(hashes[i:j].tobytes()) for i, j in run_spans(words, min_words)]
+    return list({xxhash.xxh3_64_intdigest(hashes[i:j].tobytes()): None for i, j in run_spans(words, min_words)})
 
 
 def _anchors(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

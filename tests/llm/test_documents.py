@@ -84,6 +84,39 @@ def test_line_dedup(frame):
     assert linededup.dedup_lines(frame(rows).limit(0)).count() == 0
 
 
+def brute_lines(rows, min_words):
+    """Lines of words of each later row that stand in a block of at least ``min_words`` words of an earlier one."""
+    split = [[" ".join(x.split()) for x in (t or "").split("\n") if x.split()] for _, t in rows]
+    out, blocks = [], set()
+    for lines in split:
+        found = set()
+        spans = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1) if sum(len(x.split()) for x in lines[i:j]) >= min_words]
+        for i, j in spans:
+            if tuple(lines[i:j]) in blocks:
+                found |= set(range(i, j))
+        blocks |= {tuple(lines[i:j]) for i, j in spans}
+        out.append(len(found))
+    return out
+
+
+def test_line_dedup_deletes_the_tail_that_the_first_holder_lacks(frame):
+    def line(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+    head, tail = line("h", 50), line("t", 45)
+    rows = [(1, f"{head}\n{line('a', 60)}"), (2, f"{head}\n{tail}\n{line('b', 60)}"), (3, f"{head}\n{tail}\n{line('c', 60)}")]
+    got = {r.doc_id: r.deduped for r in linededup.dedup_lines(frame(rows)).collect()}
+    assert got == {1: rows[0][1], 2: f"{tail}\n{line('b', 60)}", 3: line("c", 60)}
+
+
+def test_line_dedup_of_a_table_matches_brute_force(frame):
+    rng = np.random.default_rng(11)
+    pool = [" ".join(f"p{k}w{j}" for j in range(rng.integers(1, 40))) for k in range(12)]
+    rows = [(i, "\n".join(pool[k] for k in rng.integers(0, 12, rng.integers(1, 14)))) for i in range(150)]
+    rows += [(150 + i, "\n".join([*(pool + pool)[k:k + 5], f"end {i}"])) for i, k in enumerate(rng.integers(0, 19, 60).tolist())]
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(frame(rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == brute_lines(rows, 50)
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_shared_blocks_match_brute_force(seed):
     rng = np.random.default_rng(seed)

@@ -13,8 +13,11 @@ shuffle and no write.
 
 Words are longest runs of ASCII letters and digits and of all characters beyond
 ASCII, after lower-casing A-Z.  Null and empty texts have no words and no hits.
-Items without an item_id or without words take no part; items with equal
-windows are all reported; repeated items count once.
+Items without words take no part; items with equal windows are all reported;
+repeated items count once.  Passages of items without an item_id are hit and cut
+like others, but there is no id to report: ``n_items`` and ``items_sha256`` leave
+them out.  (The query's SQL leaves such items out altogether, so the two differ
+on benchmarks with null ids.)
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ def words_of(text: str | None):
 class WindowIndex:
     """Windows of the items: hash -> words and ids of the items that have them."""
 
-    def __init__(self, items: list[tuple[str, str]], n: int):
+    def __init__(self, items: list[tuple[str | None, str]], n: int):
         found: dict[int, dict[bytes, set[str]]] = {}
         self.sizes: set[int] = set()
         for item, text in items:
@@ -59,7 +62,9 @@ class WindowIndex:
                 continue
             self.sizes.add(k)
             for i, x in enumerate(window_hashes(h, k).tolist()):
-                found.setdefault(x, {}).setdefault(self.normal(data, start[i:i + k], end[i:i + k]), set()).add(item)
+                ids = found.setdefault(x, {}).setdefault(self.normal(data, start[i:i + k], end[i:i + k]), set())
+                if item is not None:
+                    ids.add(item)
         self.found = found
         self.near = np.zeros(1 << 20, bool)
         self.near[np.array(list(found), np.uint64) >> np.uint64(44)] = True
@@ -76,8 +81,8 @@ class WindowIndex:
             w = window_hashes(h, k)
             for i in np.flatnonzero(self.near[w >> np.uint64(44)]).tolist():
                 same = self.found.get(int(w[i]))
-                got = same and same.get(self.normal(data, start[i:i + k], end[i:i + k]))
-                if got:
+                got = same.get(self.normal(data, start[i:i + k], end[i:i + k])) if same else None
+                if got is not None:          # empty: only items without an id
                     ranges.append((i, i + k))
                     items |= got
         return len(h), merged(ranges), items
@@ -96,7 +101,7 @@ def merged(ranges) -> list[tuple[int, int]]:
 def _blocks(benchmark: DataFrame, p: DecontaminationParams):
     """Item lists of bounded size, each fetched when it is asked for."""
     items = (benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-             .filter("item is not null and text is not null and text <> ''"))
+             .filter("text is not null and text <> ''"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first().b
     n = max(1, -(-size // p.max_bytes))
     for k in range(n):

@@ -148,6 +148,16 @@ def test_decontamination(spark, frame):
     assert decontaminate.clean(frame(rows).limit(0), items).count() == 0
 
 
+def test_decontamination_finds_passages_of_items_without_an_id(spark, frame):
+    items = spark.createDataFrame([(None, "leaked words of nobody"), (7, "leaked words of nobody"), (None, "other lost item")], "item_id long, text string")
+    rows = [(1, "see Leaked words of nobody here"), (2, "an other lost item too"), (3, "clean")]
+    for params in (decontaminate.DecontaminationParams(), decontaminate.DecontaminationParams(max_bytes=20)):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.report(frame(rows), items, params).collect()}
+        none = decontaminate.sha256_of([])
+        assert got == {1: (4, 1, decontaminate.sha256_of([7]), True), 2: (3, 0, none, True), 3: (0, 0, none, False)}
+        assert {r.doc_id: r.text for r in decontaminate.clean(frame(rows), items, params).collect()} == {1: "see  here", 2: "an  too", 3: "clean"}
+
+
 def test_mixing(spark, sf, frame):
     docs = table(spark, sf, "documents")
     got = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").toPandas()

@@ -19,9 +19,11 @@ time; every other line stays as it was.
 
 Only hashes are shuffled for pairs and alignment; the texts take one join with
 the lines to delete.  Lines are compared with white space runs as one blank.
-A null or empty text has no lines and stays.  Null doc_ids order last.  Rows
-that share a doc_id are one document: not compared with each other, all treated
-alike; so are rows without a doc_id.
+A null or empty text has no lines and stays.  Rows that share a doc_id are one
+document: not compared with each other, all treated alike.  Rows without a
+doc_id come after all others, in the order of their texts' hashes, each a
+document of its own; of those with equal texts one is the first, and the others
+lose all their lines if these have ``min_words`` words.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
@@ -153,14 +155,24 @@ def without_lines(text: str | None, drop) -> str | None:
     return "\n".join(kept)
 
 
+_KEYS = ["id", "tie", "th"]
+
+
+def _keys() -> list[Column]:
+    """Documents are ordered by id and tie, which is 0 where there is a doc_id
+    and above it where not; th tells texts of one id apart."""
+    th = F.xxhash64("text")
+    tie = F.when(F.col("doc_id").isNull(), th.bitwiseAND(F.lit(NO_ID)).bitwiseOR(F.lit(1))).otherwise(F.lit(0)).cast("long")
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), tie.alias("tie"), th.alias("th")]
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     """The whole row as one column, beside the keys: no name can clash."""
-    return documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                            F.xxhash64("text").alias("th"))
+    return documents.select(F.struct("*").alias("row"), *_keys())
 
 
 def line_table(documents: DataFrame, params: LineParams) -> DataFrame:
-    """(id, th, hashes, words, runs): a row per distinct (doc_id, text)."""
+    """(id, tie, th, hashes, words, runs) of every row."""
     @F.pandas_udf("hashes binary, words binary, runs array<long>")
     def keys(texts: pd.Series) -> pd.DataFrame:
         out = []
@@ -170,31 +182,29 @@ def line_table(documents: DataFrame, params: LineParams) -> DataFrame:
             out.append((h.tobytes(), w.astype(np.int32).tobytes(), np.array(runs, np.uint64).view(np.int64)))
         return pd.DataFrame(out, columns=["hashes", "words", "runs"])
 
-    return (documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("th"),
-                             keys("text").alias("k")).select("id", "th", "k.*"))
+    return documents.select(*_keys(), keys("text").alias("k")).select(*_KEYS, "k.*")
 
 
-def shared_lines(documents: DataFrame, params: LineParams = LineParams()) -> DataFrame:
-    """(id, th, drop array<int>): lines of words to delete, by number, of each
-    document that loses any."""
-    lines = pin(line_table(documents, params), "lines")
-    runs = lines.select("id", F.explode("runs").alias("run"))
-    first = (runs.groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+def shared_lines(lines: DataFrame, params: LineParams = LineParams()) -> DataFrame:
+    """(id, tie, th, drop array<int>): lines of words to delete, by number, of each
+    document of ``lines`` that loses any to another."""
+    runs = lines.select(F.struct("id", "tie").alias("doc"), F.explode("runs").alias("run"))
+    first = (runs.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .filter("first < last").drop("last"))
-    pairs = pin(runs.join(first, "run").filter("id > first").select("id", "first").distinct(), "line-pairs")
+    pairs = pin(runs.join(first, "run").filter("doc > first").select("doc.*", "first").distinct(), "line-pairs")
 
     def align(batches):
         for pdf in batches:
             found = [shared_blocks(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(w, np.int32), params.min_words)
                      for a, b, w in zip(pdf.a, pdf.hashes, pdf.words, strict=True)]
-            yield pd.DataFrame({"id": pdf.id, "th": pdf.th, "lines": found})
+            yield pd.DataFrame({"id": pdf.id, "tie": pdf.tie, "th": pdf.th, "lines": found})
 
-    earlier = lines.select(F.col("id").alias("first"), F.col("hashes").alias("a")).dropDuplicates()
-    later = lines.select("id", "th", "hashes", "words").dropDuplicates(["id", "th"])
-    aligned = (pairs.join(earlier, "first").select("id", "a").join(later, "id")
-               .mapInPandas(align, "id long, th long, lines array<int>"))
-    return (aligned.select("id", "th", F.explode("lines").alias("line")).distinct()
-            .groupBy("id", "th").agg(F.sort_array(F.collect_list("line")).alias("drop")))
+    earlier = lines.select(F.struct("id", "tie").alias("first"), F.col("hashes").alias("a")).dropDuplicates()
+    later = lines.select(*_KEYS, "hashes", "words").dropDuplicates(_KEYS)
+    aligned = (pairs.join(earlier, "first").select("id", "tie", "a").join(later, ["id", "tie"])
+               .mapInPandas(align, "id long, tie long, th long, lines array<int>"))
+    return (aligned.select(*_KEYS, F.explode("lines").alias("line")).distinct()
+            .groupBy(*_KEYS).agg(F.sort_array(F.collect_list("line")).alias("drop")))
 
 
 def _with_cuts(documents: DataFrame, params: LineParams) -> DataFrame:
@@ -203,7 +213,17 @@ def _with_cuts(documents: DataFrame, params: LineParams) -> DataFrame:
     def cut(texts: pd.Series, drops: pd.Series) -> pd.Series:
         return pd.Series([without_lines(t, d) for t, d in zip(texts, drops, strict=True)], dtype=object)
 
-    both = _keyed(documents).join(shared_lines(documents, params), ["id", "th"], "left")
+    lines = pin(line_table(documents, params), "lines")
+    # Written, so that a row's place is the same whenever it is read.
+    place = F.monotonically_increasing_id()
+    nameless = pin(_keyed(documents.filter("doc_id is null")).withColumn("place", place), "line-nameless")
+    places = nameless.groupBy(*_KEYS).agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    sizes = lines.filter("tie > 0 and size(runs) > 0").groupBy(*_KEYS).agg(F.first(F.octet_length("words") / 4).cast("int").alias("n_lines"))
+    cuts = shared_lines(lines, params).join(places.join(sizes, _KEYS), _KEYS, "full")
+
+    rows = _keyed(documents.filter("doc_id is not null")).withColumn("place", F.lit(None).cast("long")).unionByName(nameless)
+    again = F.when(F.col("place") > F.col("first"), F.sequence(F.lit(0), F.col("n_lines") - 1))
+    both = rows.join(cuts, _KEYS, "left").withColumn("drop", F.coalesce(again, "drop"))
     text = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(cut(F.col("row.text"), F.col("drop")))
     return both.select("row", text.alias("deduped"), F.coalesce(F.size("drop"), F.lit(0)).alias("n_removed"))
 

@@ -117,6 +117,20 @@ def test_line_dedup_of_a_table_matches_brute_force(frame):
     assert [got[i] for i in range(len(rows))] == brute_lines(rows, 50)
 
 
+def test_line_dedup_compares_rows_without_an_id(spark, frame):
+    passage, other = ("\n".join(" ".join(f"{c}{i}w{j}" for j in range(30)) for i in range(2)) for c in "pq")
+    rows = [(None, f"start {i}\n{passage}\nend {i}") for i in range(5)] + [(None, other)] * 4 + [(None, None)] * 3 + [(None, "few words")] * 3
+    out = linededup.dedup_lines(frame(rows)).collect()
+    texts = [r.deduped for r in out]
+    assert len(out) == len(rows) and texts.count(None) == 3 and texts.count("few words") == 3
+    assert sum(passage in (t or "") for t in texts) == 1 and sorted(r.n_removed for r in out) == [0] * 8 + [2] * 7
+    assert texts.count(other) == 1 and texts.count("") == 3
+    # An id comes first, whatever the rows' hashes.
+    out = linededup.dedup_lines(frame([*rows, (9, passage), ((1 << 63) - 1, other)])).collect()
+    assert {r.doc_id: r.n_removed for r in out if r.doc_id} == {9: 0, (1 << 63) - 1: 0}
+    assert sorted(r.n_removed for r in out if not r.doc_id) == [0] * 6 + [2] * 9
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_shared_blocks_match_brute_force(seed):
     rng = np.random.default_rng(seed)

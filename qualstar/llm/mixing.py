@@ -21,8 +21,10 @@ cluster.  The texts are read once, to count words; rows of ids and sizes only
 are shuffled.
 
 Documents without words (or null texts) have size 0 and take 0 words; their
-copies are the whole part only.  Rows repeated in id and text are documents of
-their own, settled in turn.  An empty table gives an empty mix.
+copies are the whole part only, so they meet in no block.  Rows repeated in id
+and text are documents of their own, settled in turn: they travel as counts, in
+chunks of a tenth of a block that are dealt to one block after the other, so no
+block holds all of them.  An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -113,16 +115,23 @@ def pivot(p: np.ndarray, size: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, i
     return np.array(out), hold
 
 
-_ROW = "doc_id long, key long, size long, source string, block long, whole long, p double"
+_ROW = "doc_id long, key long, size long, source string, copy long, block long, whole long, p double"
 
 
 def _round_groups(rows: DataFrame, by: list[str], seed: int) -> DataFrame:
+    """One row for each of the ``n`` equal rows that a row stands for, settled;
+    ``copy`` numbers them."""
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "key", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        open_ = np.flatnonzero(((pdf["p"] > 0) & (pdf["p"] < 1) & (pdf["size"] > 0)).to_numpy())
-        pdf.loc[pdf["size"] == 0, "p"] = 0.0
+        pdf = pdf.loc[pdf.index.repeat(pdf["n"])].drop(columns="n")
+        pdf["copy"] += pdf.groupby(level=0).cumcount()
+        pdf = pdf.sort_values(["size", "key", "doc_id", "copy"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
+        open_ = np.flatnonzero(((pdf["p"] > 0) & (pdf["p"] < 1)).to_numpy())
         part = pdf.iloc[open_]
-        u = _uniform(part["key"].to_numpy(), seed)
+        # The first copy is drawn by the key alone, the others by numbers of their own.
+        copy = part["copy"].to_numpy(np.int64).view(np.uint64)
+        with np.errstate(over="ignore"):
+            mixed = part["key"].to_numpy(np.int64).view(np.uint64) + np.where(copy > 0, _splitmix(copy), np.uint64(0))
+        u = _uniform(mixed.view(np.int64), seed)
         got, hold = pivot(part["p"].to_numpy(float), part["size"].to_numpy(float), u)
         pdf.loc[open_, "p"] = got
         pdf["open"] = False
@@ -145,9 +154,17 @@ def mix(documents: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     near = F.when(F.abs(share - F.round(share)) < 1e-12, F.round(share)).otherwise(share)
     same = sizes.source.eqNullSafe(targets.source)
     blocks = F.ceil(F.col("n_rows") / p.block_rows)
-    rows = (sizes.join(targets, same).select("doc_id", "key", "size", sizes.source, F.pmod("key", blocks).cast("long").alias("block"),
-                                             F.floor(near).alias("whole"), (near - F.floor(near)).alias("p")))
-    done, level = [], pin(_round_groups(rows, ["source", "block"], p.seed), "mix-level")
+    whole, chunk = F.floor(near).alias("whole"), max(1, p.block_rows // 10)
+    empty = (sizes.filter("size = 0").join(targets, same).select("doc_id", "key", "size", sizes.source, F.lit(0).cast("long").alias("copy"),
+             F.lit(0).cast("long").alias("block"), whole, F.lit(0.0).alias("p"), F.lit(False).alias("open")))
+    equal = (sizes.filter("size > 0").groupBy("doc_id", "key", "size", "source").agg(F.count("*").alias("of"))
+             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1, F.lit(chunk).cast("long")))))
+    # Copies of a chunk begin at its number; chunk k goes k blocks on.
+    rows = (equal.join(targets, equal.source.eqNullSafe(targets.source))
+            .select("doc_id", "key", "size", equal.source, "copy",
+                    F.pmod(F.pmod("key", blocks) + F.floor(F.col("copy") / chunk), blocks).cast("long").alias("block"),
+                    whole, (near - F.floor(near)).alias("p"), F.least(F.col("of") - F.col("copy"), F.lit(chunk)).alias("n")))
+    done, level = [empty], pin(_round_groups(rows, ["source", "block"], p.seed), "mix-level")
     widest = targets.agg(F.max(blocks).alias("b")).first().b or 0
     depth = 0
     while True:
@@ -155,7 +172,7 @@ def mix(documents: DataFrame, params: MixParams = MixParams()) -> DataFrame:
         if widest <= 1:
             break
         depth, widest = depth + 1, -(-widest // p.fan_in)
-        up = level.filter("open").drop("open").withColumn("block", F.floor(F.col("block") / p.fan_in))
+        up = level.filter("open").drop("open").withColumn("block", F.floor(F.col("block") / p.fan_in)).withColumn("n", F.lit(1))
         level = pin(_round_groups(up, ["source", "block"], p.seed + depth), "mix-level")
     # One document per source is still open: it is drawn on its own.
     draw = F.pmod(F.xxhash64("key", F.lit(p.seed)), F.lit(1 << 30)) / float(1 << 30)

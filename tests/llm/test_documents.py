@@ -206,6 +206,24 @@ def test_mixing_odd_rows(spark, frame):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixture(docs.limit(0)).count() == 0
 
 
+def test_mixing_spreads_repeated_rows_over_blocks(spark, frame, monkeypatch):
+    rows = [(None, None)] * 3000 + [(None, "the same three words")] * 3000 + [(i, f"own words {'x ' * (i % 7)}") for i in range(1000)]
+    params, sizes, own = mixing.MixParams(weights=(1.0,), block_rows=500), [], mixing._round_groups
+    docs = frame(rows).withColumn("source", F.when(F.col("doc_id") < 500, "a").otherwise("b"))
+
+    def counted(rows, by, seed):
+        n = F.sum("n") if "n" in rows.columns else F.count("*")
+        sizes.extend(r.n for r in rows.groupBy(*by).agg(n.alias("n")).collect())
+        return own(rows, by, seed)
+    monkeypatch.setattr(mixing, "_round_groups", counted)
+    got = mixing.mix(docs, params).toPandas()
+    assert max(sizes) <= 2 * params.block_rows
+    assert len(got) == len(rows) and (got[got["size"] == 0].taken == 0).all() and (got["size"] == 0).sum() == 3000
+    for _, part in got.groupby("source"):
+        assert abs(part.taken.sum() - part.target.iloc[0]) <= part["size"].max()
+    assert mixing.mixture(docs, params).agg(F.sum("taken")).first()[0] == got.taken.sum()
+
+
 def test_pivot_keeps_words():
     rng = np.random.default_rng(1)
     size = rng.integers(1, 50, 200).astype(float)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, html, language, linededup, mixing, neardup, quality, sharding, toxicity, warc
+from . import ann, decontaminate, html, language, linededup, mixing, neardup, quality, sharding, toxicity, warc, whitening
 from .common import table
 
 
@@ -53,13 +53,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.col("deduped").alias("text"), F.col("n_removed").cast("long").alias("n_removed")))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_warc, op4_mixing, op5_minhash, op6_decontamination,
-                                    op7_ann, op8_quality, op9_toxicity, op10_line_dedup, op13_sharding)}
+                                    op7_ann, op8_quality, op9_toxicity, op10_line_dedup, op12_whitening, op13_sharding)}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, html, language, linededup, mixing, neardup, quality, sharding, toxicity, warc, whitening
+from . import ann, collocation, decontaminate, html, language, linededup, mixing, neardup, quality, sharding, toxicity, warc, whitening
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.col("deduped").alias("text"), F.col("n_removed").cast("long").alias("n_removed")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -63,7 +67,7 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_warc, op4_mixing, op5_minhash, op6_decontamination,
-                                    op7_ann, op8_quality, op9_toxicity, op10_line_dedup, op12_whitening, op13_sharding)}
+                                    op7_ann, op8_quality, op9_toxicity, op10_line_dedup, op11_collocations, op12_whitening, op13_sharding)}
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,6 +116,26 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
+_PHRASES_SQL = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS t FROM d),
+w AS (SELECT lang, regexp_extract_all(t, '[^ \\t]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, s, count(*) AS a FROM (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(s, ' ') AS w FROM g WHERE k >= 2),
+x AS (SELECT c.lang, c.s, c.a, j, l.a AS l, r.a AS r, n.n, ((1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN n ON n.lang = c.lang
+      JOIN g l ON l.lang = c.lang AND l.s = array_to_string(list_slice(c.w, 1, j), ' ')
+      JOIN g r ON r.lang = c.lang AND r.s = array_to_string(list_slice(c.w, j + 1, c.k), ' ')),
+cut AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, j) = 1),
+part AS (SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS s, max(a) AS of
+         FROM (SELECT lang, w, a, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL),
+kept AS (SELECT cut.* FROM cut LEFT JOIN part ON part.lang = cut.lang AND part.s = cut.s WHERE part.of IS NULL OR 100 * part.of < 100 * cut.a)
+SELECT lang, rank, s AS phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM kept) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": _WARC_SQL, "op5_minhash": _NEARDUP_SQL, "op6_decontamination": _LEAKS_SQL}
+    return {"op11_collocations": _PHRASES_SQL, "op3_warc": _WARC_SQL, "op5_minhash": _NEARDUP_SQL, "op6_decontamination": _LEAKS_SQL}

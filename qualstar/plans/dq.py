@@ -19,7 +19,7 @@ from ..operators.dq import dimension_scores, rule_results, score_aggregates, sco
 from ..operators.rules import Rule, default_rules
 from ..params import DQParams
 from ..session import pin
-from ..sinks.writers import append_history, write_small_csv
+from ..sinks.writers import replace_history, write_small_csv
 from ..sources.files import read_grant_csv
 
 log = logging.getLogger(__name__)
@@ -113,17 +113,18 @@ def run_analysis(spark: SparkSession, data, output_dir: str, params: DQParams =
             failed = execution_record(spark, execution_id, ts, params, 0, "FAILED")
             write_small_csv(failed, f"{out}/dq_execution")
             if history_dir:
-                append_history(failed, f"{history_dir.rstrip('/')}/dq_execution")
+                replace_history(failed, f"{history_dir.rstrip('/')}/dq_execution")
         except Exception:  # noqa: BLE001
             log.exception("could not save the FAILED execution record")
         raise
 
 
 def record_history(run: DQRun, history_dir: str) -> None:
-    """Append this run to the history tables (execution, dimension scores, rule results)."""
+    """Put this run into the history tables (execution, dimension scores, rule
+    results), in place of what a run with its id left there.  The execution row
+    comes last: scores count once it says SUCCESS (``history.load_scores``)."""
     base = history_dir.rstrip("/")
-    append_history(run.execution, f"{base}/dq_execution")
-    append_history(run.dimension_scores.withColumn("execution_timestamp", F.lit(run.execution_timestamp).cast("timestamp")),
-                   f"{base}/dq_dimension_scores")
-    append_history(run.rule_results.withColumn("execution_timestamp", F.lit(run.execution_timestamp).cast("timestamp")),
-                   f"{base}/dq_rule_results")
+    ts = F.lit(run.execution_timestamp).cast("timestamp")
+    replace_history(run.dimension_scores.withColumn("execution_timestamp", ts), f"{base}/dq_dimension_scores")
+    replace_history(run.rule_results.withColumn("execution_timestamp", ts), f"{base}/dq_rule_results")
+    replace_history(run.execution, f"{base}/dq_execution")

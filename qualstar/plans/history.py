@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _latest_per_execution(df: DataFrame, keys) -> DataFrame:
@@ -20,7 +21,18 @@ def _latest_per_execution(df: DataFrame, keys) -> DataFrame:
 
 
 def load(spark: SparkSession, history_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{history_dir.rstrip('/')}/{table}")
+    """A history table as recorded; execution ids are text whatever they look like."""
+    path = f"{history_dir.rstrip('/')}/{table}"
+    columns = spark.read.parquet(path).schema
+    return spark.read.schema(StructType([StructField(f.name, StringType() if f.name == "execution_id" else f.dataType) for f in columns])).parquet(path)
+
+
+def load_scores(spark: SparkSession, history_dir: str, table: str = "dq_dimension_scores") -> DataFrame:
+    """Scores or rule results of the runs that succeeded: a run that was
+    replayed counts with its last record only, and a run whose replay failed,
+    or that stopped between two tables, not at all."""
+    done = load(spark, history_dir, "dq_execution").filter("status = 'SUCCESS'").select("execution_id", "execution_timestamp")
+    return load(spark, history_dir, table).join(done, ["execution_id", "execution_timestamp"], "left_semi")
 
 
 def dimension_trend(scores: DataFrame) -> DataFrame:

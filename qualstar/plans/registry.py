@@ -12,11 +12,11 @@ from ..operators import clean, dq, score, star, validate
 from ..operators.rules import default_rules, rules_by_id
 from ..oracle import ORACLE_AS_OF, ORACLE_EXECUTION_ID, ORACLE_EXECUTION_TS
 from ..params import DQParams, TaxParams
-from ..session import checkpoint_dir, pin
+from ..session import pin, scratch_path
 from ..sources.adapters import grant_applications, grant_applications_resubmitted, tax_returns
 from ..sources.files import read_postal_lookup
 from ..sources.lineage import add_lineage
-from . import analytics, history
+from . import analytics, history, registry_io
 from .dq import analyse, analyse_weighted
 from .tax import silver_transform
 
@@ -197,7 +197,7 @@ def q_stream_class_counts(spark, sf):
 
     from ..sources.files import TAX_SCHEMA
     from ..streaming import start_class_counts
-    base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "stream")
     rows = tax_returns(spark, sf).select([F.col(f.name).cast(f.dataType) for f in TAX_SCHEMA.fields])
     rows.write.parquet(f"{base}/inbox")
     name = f"qs_classes_{uuid.uuid4().hex[:8]}"
@@ -251,4 +251,4 @@ def queries() -> dict:
         "dq_history_alerts": q_dq_history_alerts,
         "dq_resubmitted_rule_results": lambda spark, sf: _dq_run_weighted(spark, sf).rule_results,
     })
-    return out
+    return out | registry_io.queries()

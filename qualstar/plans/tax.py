@@ -18,8 +18,9 @@ from ..operators.score import CLASSES, route, score_and_classify
 from ..operators.star import build_star_schema
 from ..operators.validate import apply_all_validations
 from ..params import TaxParams
-from ..sinks.writers import write_partitioned, write_table
+from ..sinks.writers import read_routed, write_partitioned, write_routed, write_table
 from ..session import pin, unpin
+from ..sources.checked import read_tax_csv_checked
 from ..sources.files import read_postal_lookup, read_tax_csv
 from ..sources.lineage import add_lineage
 
@@ -39,6 +40,8 @@ class Paths:
     rejected: str
     gold: str
     unplaced: str | None = None     # scored returns without an assessment year; default: beside rejected
+    quarantine: str | None = None   # malformed CSV records (None: loaded with NULL for what can't be read)
+    layers: str | None = None       # one routed table in place of silver, rejected and unplaced, written in one pass
 
     @property
     def unplaced_path(self) -> str:
@@ -46,13 +49,22 @@ class Paths:
 
 
 def run_bronze(spark: SparkSession, source, bronze_path: str, source_file: str | None = None,
-               ingestion_timestamp: str | None = None, null_years: str = "raise") -> DataFrame:
+               ingestion_timestamp: str | None = None, null_years: str = "raise",
+               quarantine_path: str | None = None) -> DataFrame:
     """CSV path (typed read) or a DataFrame with the 18 columns -> bronze.
 
+    With ``quarantine_path``, CSV records with a wrong number of fields or a
+    value that doesn't fit its column go there, as text with what is wrong;
+    without it they are loaded with NULL in place of what can't be read.
+
     A NULL assessment year stops the run by default (``null_years='raise'``);
     ``'keep'`` holds such rows in the layer's partition for NULL, and the
     silver step writes them to their own output; ``'drop'`` leaves them out."""
-    if isinstance(source, str):
+    if isinstance(source, str) and quarantine_path:
+        checked = read_tax_csv_checked(spark, source)
+        write_table(checked.bad, quarantine_path)
+        raw, name = checked.good, source_file or source
+    elif isinstance(source, str):
         raw, name = read_tax_csv(spark, source), source_file or source
     else:
         raw, name = source, source_file
@@ -95,6 +107,19 @@ def run_silver(bronze: DataFrame, silver_path: str, rejected_path: str, p: TaxPa
     return out_silver, out_rejected, counts
 
 
+def run_routed(bronze: DataFrame, layers_path: str, p: TaxParams = TaxParams()):
+    """Like :func:`run_silver`, with one write: every scored return goes to the
+    folder of its output (silver, rejected, or unplaced without an assessment
+    year) and year, and the class counts are observed on the way.  No scratch
+    table, and the bronze layer is scanned and scored once."""
+    scored = silver_transform(bronze, p)
+    floor = F.lit(min(p.accept_threshold, p.quarantine_threshold))
+    to = (F.when(F.col("assessment_year").isNull(), "unplaced").when(F.col("data_quality_score") >= floor, "silver").otherwise("rejected"))
+    seen = write_routed(scored, layers_path, to, metrics={c: F.count_if(F.col("dq_classification") == c) for c in CLASSES})
+    silver, rejected = (read_routed(bronze.sparkSession, layers_path, scored.schema, r) for r in ("silver", "rejected"))
+    return silver, rejected, {c: seen[c] for c in CLASSES}
+
+
 def run_gold(silver: DataFrame, gold_path: str, p: TaxParams = TaxParams(), lookup_path: str | None = None):
     lookup = read_postal_lookup(silver.sparkSession, lookup_path)
     star = build_star_schema(silver, p, lookup)
@@ -113,9 +138,12 @@ def run_full_pipeline(spark: SparkSession, source, paths: Paths, p: TaxParams =
                       lookup_path: str | None = None, source_file: str | None = None,
                       ingestion_timestamp: str | None = None, bronze_null_years: str = "raise") -> dict:
     """Bronze -> silver/rejected -> gold.  ``source`` is a CSV path or a DataFrame."""
-    bronze = run_bronze(spark, source, paths.bronze, source_file, ingestion_timestamp, bronze_null_years)
-    silver, rejected, counts = run_silver(bronze, paths.silver, paths.rejected, p, paths.unplaced_path)
-    if silver is None:
+    bronze = run_bronze(spark, source, paths.bronze, source_file, ingestion_timestamp, bronze_null_years, paths.quarantine)
+    if paths.layers:
+        silver, rejected, counts = run_routed(bronze, paths.layers, p)
+    else:
+        silver, rejected, counts = run_silver(bronze, paths.silver, paths.rejected, p, paths.unplaced_path)
+    if silver is None or paths.layers and silver.isEmpty():
         log.warning("no accepted or quarantined returns; gold layer not built")
         gold = {}
     else:

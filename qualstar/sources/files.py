@@ -82,6 +82,13 @@ def read_postal_lookup(spark: SparkSession, path: str | None = None) -> DataFram
             .dropDuplicates(["postal_prefix"]))
 
 
+def inferred_types(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """(column, type of the explicit schema, type that inference finds) of a
+    grant CSV: what a run with ``infer=True`` would work on."""
+    found = {f.name: f.dataType.simpleString() for f in read_grant_csv(spark, path, infer=True).schema}
+    return [(f.name, f.dataType.simpleString(), found.get(f.name, "missing")) for f in GRANT_SCHEMA]
+
+
 def postal_lookup_rows():
     """The built-in look-up as (prefix, region, area) tuples."""
     return [(p, r, a) for _, a, ps, r in POSTAL_DISTRICTS for p in ps]

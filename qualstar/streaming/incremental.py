@@ -10,10 +10,10 @@ The row operators are stateless, so they run unchanged on a file stream:
 * ``start_class_counts`` keeps running totals per class (state: one row per
   class, so bounded).
 * ``start_dq_monitor`` runs the rule analysis on every micro-batch of grant
-  applications and appends the results to the history tables.  Uniqueness
-  (U001/U002) is judged within a batch there; ``execution_id`` is derived
-  from the query id and batch id, so a replayed batch writes the same id and
-  readers can keep the last record per id.
+  applications and puts the results into the history tables.  Uniqueness
+  (U001/U002) is judged within a batch there (``uniqueness`` has both rules
+  over all batches); ``execution_id`` is derived from the query id and batch
+  id, so a replayed batch replaces its own record.
 
 ``trigger="available_now"`` processes what is there and stops (a scheduled
 daily run); ``"continuous"`` keeps polling every ``interval``.

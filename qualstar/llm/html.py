@@ -6,20 +6,31 @@ digits blanked) and text tokens; inline markup belongs to the text around it.
 *Wrappers.*  The streams of one host are aligned one after the other.  A
 stretch that stands twice in a row becomes a repeated group; what only one side
 has becomes optional; texts that differ become slots, texts that never do stay
-literals.  The result is a regular expression without alternatives.  Every
+literals.  The result is a regular expression without alternatives.  Groups
+nest at most ``levels`` deep, a group's items lie on lower levels than itself,
+and a wrapper of more than ``most_items`` items becomes one repeated group of
+its different items, each optional: so alignment ends, and takes bounded time
+for a page, whatever orders of blocks a host has.  Every
 task aligns the distinct streams of its own pages first, so one small wrapper
 per host and task is all that is shuffled, and these are aligned in two steps
 (dealt out by a salt first), however many pages a host has.
 
 *Extraction.*  The main text stands in a page's article or main elements; for
 the host's pages without any, the wrapper tells the container: the smallest that
-holds most of the slots' text of these pages.  Menus, headers, footers,
-sidebars, notices, adverts, forms and comments, known by tag, role or class, are
-left out, and on all pages so are literals that stand on ``literal_pages`` pages
-or more: texts equal to the literal in its place, not others there.  Pages of
-the same text outside such parts are copies and count as one.  A page without
-the host's container gives all its text outside such parts but the literals; a
-page whose part is literals only keeps them.
+holds most of the slots' text of these pages.  A page without that container
+gives all its text.  Menus, headers, footers, sidebars, notices, adverts, forms
+and comments, known by tag, role or class, are left out.  What a class (or a
+form) says is weighed: words of a state (``has-sidebar``, ``nav-open``) say
+nothing, articles go only if their whole class is such a word, an element that
+holds the only article or main of the page stays unless it is of comments, and
+if nothing else is left on a page the largest such part is its text.
+
+Outside article and main elements, literals that stand on ``literal_pages``
+pages or more go too if the wrapper has no slot in the element that holds them
+(its paragraphs, items and headings counted in): a heading or sentence that all
+pages share stays where texts stand beside it.  Pages of the same text outside
+left-out parts are copies and count as one.  A page that would have no text
+without its literals keeps them.  Repeated rows each get their text.
 
 Null and empty html give an empty text; pages without a host in their URL are
 one host.  Character references are decoded, white space in a block is one
@@ -51,6 +62,8 @@ class HtmlParams:
     salts: int = 64
     widest_group: int = 24       # items of a repeated group, at its first level
     literal_pages: int = 3
+    levels: int = 4              # of groups in groups
+    most_items: int = 200        # of a wrapper, all levels together
     main_share: float = 0.7      # of the slots' text that the main container holds
 
 
@@ -62,42 +75,66 @@ _VOID = frozenset("area base col embed hr img input link meta param source track
 _RAW = frozenset("script style noscript template textarea title iframe svg math xmp noembed noframes".split())
 #: Elements whose end tag may be left out: a new one ends the one before.
 _LOOSE = frozenset("p li dt dd tr td th option".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN = frozenset(["article", "main"])
-_ASIDE = frozenset("nav footer aside form button select menu dialog fieldset head".split())
-_ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+_ASIDE = frozenset("nav footer aside button select menu dialog head".split())
+_ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar".split())
+_FORMS = frozenset("form fieldset".split())
 _ASIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner sidebar sidebars
  nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe
- subscription signup login share sharing social related recommended comment comments commentlist discussion disqus replies respond search widget widgets toolbar
+ subscription signup login share sharing social related recommended search widget widgets toolbar
  pagination pager skip""".split())
+_COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus replies respond".split())
+#: Words that make a class say how something is, not what it is.
+_STATE_WORDS = frozenset("has no not with without is open opened closed enabled disabled on off layout".split())
+#: Words that may stand beside one that tells what an article is.
+_PLAIN_WORDS = frozenset("list item box block section area wrapper container body content card inner text".split())
+#: How an element is left out: never, unless there is reason not to, always.
+_KEPT, _WEAK, _STRONG = 0, 1, 2
 
 
 def _words(names: str) -> list[str]:
     return [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", names)]
 
 
-def _label(name: str, attrs: str) -> tuple[str, bool]:
+def _class_says(token: str, whole: bool) -> int:
+    """What one class or id says; ``whole``: all its words must say it."""
+    words = set(_words(token))
+    known = words & (_ASIDE_WORDS | _COMMENT_WORDS)
+    if not known or words & _STATE_WORDS or whole and words - known - _PLAIN_WORDS:
+        return _KEPT
+    return _STRONG if words & _COMMENT_WORDS else _WEAK
+
+
+def _label(name: str, attrs: str) -> tuple[str, int]:
     """Label of a block tag, and whether what it holds is no main text."""
     found = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)} if "=" in attrs else {}
-    names = " ".join(v for k, v in found.items() if k != "role")
+    names = " ".join(v for k, v in found.items() if k != "role").split()
     role = found.get("role", "").lower()
-    aside = name in _ASIDE or role in _ASIDE_ROLES or (name not in ("html", "body") and any(w in _ASIDE_WORDS for w in _words(names)))
-    label = ".".join([name, *sorted(set(re.sub(r"\d+", "0", names).split()))])
-    return label + ("=main" if role == "main" or name in _MAIN else ""), aside
+    main = role == "main" or name in _MAIN
+    if name in _ASIDE or role in _ASIDE_ROLES:
+        aside = _STRONG
+    else:
+        says = [_class_says(n, main) for n in names] if name not in ("html", "body") else []
+        aside = max([_WEAK if name in _FORMS or role == "form" else _KEPT, *says])
+    label = ".".join([name, *sorted({re.sub(r"\d+", "0", n) for n in names})])
+    return label + ("=main" if main else ""), aside
 
 
 def tokens(page: str | None):
-    """Yields (tag label, None, False) for block tags, with a leading slash for
-    end tags, and (path, text, aside) for runs of text between them."""
-    stack: list[tuple[str, str, bool]] = []      # name, label, aside
+    """Yields (tag label, None, ()) for block tags, with a leading slash for
+    end tags, and (path, text, marks) for runs of text between them: marks are
+    (depth, number of the element, aside) of the elements around that may be left out."""
+    stack: list[tuple[str, str, tuple]] = []      # name, label, marks
     text: list[str] = []
-    at, page = 0, page or ""
+    at, serial, page = 0, 0, page or ""
 
     def flush():
         raw = "".join(text)
         text.clear()
         clean = " ".join(_html.unescape(raw).split())
         if clean:
-            yield "/".join(s[1] for s in stack), clean, bool(stack) and stack[-1][2]
+            yield "/".join(s[1] for s in stack), clean, stack[-1][2] if stack else ()
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -128,28 +165,60 @@ def tokens(page: str | None):
                     stack.pop()
                 label = stack.pop()[1]
                 if name not in _LOOSE:
-                    yield "/" + label, None, False
+                    yield "/" + label, None, ()
             continue
         if name in _LOOSE:
             group = ("td", "th") if name in ("td", "th") else ("dt", "dd") if name in ("dt", "dd") else (name,)
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in group or stack[k][0] not in _LOOSE | {"h1", "h2", "h3", "h4", "h5", "h6"}), -1)
+            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in group or stack[k][0] not in _LOOSE | _HEADINGS), -1)
             if depth >= 0 and stack[depth][0] in group:
                 del stack[depth:]
         elif stack and stack[-1][0] == "p":
             stack.pop()                      # a paragraph holds no blocks
         label, aside = _label(name, m[3])
         if name == "header":
-            aside = not any(s[1].endswith("=main") for s in stack)
-        yield label, None, False
+            aside = _KEPT if any(s[1].endswith("=main") for s in stack) else _STRONG
+        yield label, None, ()
         if name not in _VOID and not (m[3].rstrip().endswith("/") and name not in _LOOSE):
-            stack.append((name, label, aside or bool(stack) and stack[-1][2]))
+            serial += 1
+            marks = stack[-1][2] if stack else ()
+            stack.append((name, label, (*marks, (len(stack), serial, aside)) if aside else marks))
     yield from flush()
 
 
+def blocks(page: str | None) -> list[tuple[str, str | None, bool]]:
+    """The page's tokens, with whether a text is left out."""
+    found = list(tokens(page))
+    freed: set[int] = set()
+
+    def aside(marks):
+        return any(how == _STRONG or n not in freed for _, n, how in marks)
+
+    if not any(text is not None and not marks and _in_main(path) for path, text, marks in found):
+        # The page's main elements all lie in parts that may be left out: those parts are the page.
+        for path, text, marks in found:
+            if text is not None and marks and _in_main(path):
+                depth = next(k for k, part in enumerate(path.split("/")) if part.endswith("=main"))
+                around = [x for x in marks if x[0] <= depth]
+                if all(how == _WEAK for _, _, how in around):
+                    freed.update(n for _, n, _ in around)
+    if not any(text is not None and not aside(marks) for _, text, marks in found):
+        size: dict[int, int] = {}
+        for _, text, marks in found:
+            if text is not None and all(how == _WEAK for _, _, how in marks):
+                size[marks[0][1]] = size.get(marks[0][1], 0) + len(text)
+        if size:
+            largest = min(size, key=lambda n: (-size[n], n))
+            freed.update(n for _, text, marks in found if text is not None and marks and marks[0][1] == largest for _, n, how in marks if how == _WEAK)
+    return [(path, text, text is not None and aside(marks)) for path, text, marks in found]
+
+
 # A wrapper is a tuple of items (key, optional, load).  Tags have no load; a
 # text's load is (its hash, or None for a slot; the smallest hashes of pages that
 # have it, none for a slot; characters on pages without article or main; aside);
-# that of a repeated group, whose key begins with a plus, is the wrapper it repeats.
+# that of a repeated group is the wrapper it repeats.  A group's key begins with a
+# plus for its level, which is one more than the highest level in it, then has the
+# key of its first item that is no group.  So items with one key are of one level,
+# and whatever is done to a group's items goes on below its level.
 
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
@@ -161,7 +230,7 @@ def _in_main(path: str) -> bool:
 
 def stream(page: str | None) -> tuple:
     """The page's own wrapper, before any alignment."""
-    found = list(tokens(page))
+    found = blocks(page)
     own = [(path, text) for path, text, aside in found if text is not None and not aside]
     # Pages of the same text outside asides are copies, and count as one.
     copy = _hash("\n".join(text for _, text in own))
@@ -170,17 +239,29 @@ def stream(page: str | None) -> tuple:
                  for label, text, aside in found)
 
 
-def _same(a: tuple, b: tuple, widest: int, keep: int) -> tuple:
+def _level(key: str) -> int:
+    return len(key) - len(key.lstrip("+"))
+
+
+def _group(body: tuple) -> tuple:
+    """The repeated group of a wrapper."""
+    first = body
+    while first[0][0][0] == "+":
+        first = first[0][2]
+    return "+" * (1 + max(_level(x[0]) for x in body)) + first[0][0], False, body
+
+
+def _same(a: tuple, b: tuple, p: HtmlParams) -> tuple:
     """One item for two aligned ones.  Of the pages that have a literal the
-    ``keep`` smallest hashes stay: enough to count to ``keep`` in any order."""
+    smallest ``literal_pages`` hashes stay: enough to count so far in any order."""
     opt, x, y = a[1] or b[1], a[2], b[2]
     if x is None:
         return a[0], opt, None
     if a[0][0] == "+":
-        return a[0], opt, align(x, y, widest, keep)
+        return a[0], opt, x if x == y and not any(z[0][0] in "#+" for z in x) else _align(x, y, p, _level(a[0]) - 1)
     if x[0] is None or x[0] != y[0]:
         return a[0], opt, (None, (), x[2] + y[2], x[3])
-    return a[0], opt, (x[0], x[1] if x[1] == y[1] else tuple(sorted({*x[1], *y[1]})[:keep]), x[2] + y[2], x[3])
+    return a[0], opt, (x[0], x[1] if x[1] == y[1] else tuple(sorted({*x[1], *y[1]})[:p.literal_pages]), x[2] + y[2], x[3])
 
 
 def _balanced(items: tuple) -> bool:
@@ -197,44 +278,70 @@ def _balanced(items: tuple) -> bool:
     return not open_
 
 
-def squash(items: tuple, widest: int, keep: int = 3) -> tuple:
-    """Make repeated groups of balanced stretches that stand twice in a row."""
+def squash(items: tuple, p: HtmlParams = HtmlParams(), top: int | None = None) -> tuple:
+    """Make repeated groups, up to level ``top``, of balanced stretches that stand twice in a row."""
+    top = p.levels if top is None else top
     width = 1
-    while width <= min(widest, len(items) // 2):
+    while width <= min(p.widest_group, len(items) // 2):
         keys = [x[0] for x in items]
         out, i, found = [], 0, False
         while i < len(items):
-            if keys[i][0] != "/" and keys[i:i + width] == keys[i + width:i + 2 * width] and _balanced(items[i:i + width]):
+            if (keys[i][0] != "/" and keys[i:i + width] == keys[i + width:i + 2 * width] and _balanced(items[i:i + width])
+                    and (width == 1 and keys[i][0] == "+" or max(map(_level, keys[i:i + width])) < top)):
                 body, j = items[i:i + width], i + width
                 while keys[j:j + width] == keys[i:i + width]:
-                    body = tuple(_same(x, y, widest, keep) for x, y in zip(body, items[j:j + width], strict=True))
+                    body = tuple(_same(x, y, p) for x, y in zip(body, items[j:j + width], strict=True))
                     j += width
-                out.append(body[0] if width == 1 and body[0][0][0] == "+" else ("+" + body[0][0].lstrip("+"), False, body))
+                out.append(body[0] if width == 1 and body[0][0][0] == "+" else _group(body))
                 i, found = j, True
             else:
                 out.append(items[i])
                 i += 1
         items = tuple(out)
         width = 1 if found else width + 1
-    return items
+    return bounded(items, p, top)
+
 
+def _size(items: tuple) -> int:
+    return sum(1 + (_size(load) if key[0] == "+" else 0) for key, _, load in items)
+
+
+def _leaves(items: tuple):
+    for item in items:
+        if item[0][0] == "+":
+            yield from _leaves(item[2])
+        else:
+            yield item
 
-def _fold(items: tuple, other: tuple, widest: int, keep: int) -> tuple:
+
+def bounded(items: tuple, p: HtmlParams, top: int) -> tuple:
+    """``items``, or if they are too many the repeated group of their different
+    tags and texts, all optional (a plain list of them below the lowest level)."""
+    if _size(items) <= p.most_items or len(items) == 1 and _size(items) <= len({x[0] for x in _leaves(items)}) + 1:
+        return items
+    bag: dict[str, tuple] = {}
+    for item in _leaves(items):
+        one = (item[0], True, item[2])
+        bag[item[0]] = _same(bag[item[0]], one, p) if item[0] in bag else one
+    body = tuple(bag.values())
+    return (_group(body),) if top else body
+
+
+def _fold(items: tuple, other: tuple, p: HtmlParams) -> tuple:
     """Take single occurrences of the other side's repeated groups as groups."""
     for key, _, body in (x for x in other if x[0][0] == "+"):
-        out, i = [], 0
+        out, i, place = [], 0, {b[0]: k for k, b in enumerate(body)}
+        needed = [k for k, b in enumerate(body) if not b[1]]
         while i < len(items):
-            j, got = i, []
-            for b in body:
-                if j < len(items) and items[j][0] == b[0]:
-                    got.append(items[j])
-                    j += 1
-                elif not b[1]:
-                    got = []
-                    break
-            if got:
+            # The longest run from i on that the body allows, in its order.
+            j, last, got = i, -1, []
+            while j < len(items) and place.get(items[j][0], -1) > last and not any(last < k < place[items[j][0]] for k in needed):
+                last = place[items[j][0]]
+                got.append(items[j])
+                j += 1
+            if got and not any(k > last for k in needed):
                 if out and out[-1][0] == key:
-                    out[-1] = (key, out[-1][1], align(out[-1][2], tuple(got), widest, keep))
+                    out[-1] = (key, out[-1][1], _align(out[-1][2], tuple(got), p, _level(key) - 1))
                 else:
                     out.append((key, False, tuple(got)))
                 i = j
@@ -245,18 +352,20 @@ def _fold(items: tuple, other: tuple, widest: int, keep: int) -> tuple:
     return items
 
 
-def align(a: tuple, b: tuple, widest: int = 24, keep: int = 3) -> tuple:
-    """The wrapper of everything that either wrapper describes."""
-    if a == b and not a:
-        return a
-    a, b = _fold(a, b, widest, keep), _fold(b, a, widest, keep)
+def _align(a: tuple, b: tuple, p: HtmlParams, top: int) -> tuple:
+    a, b = _fold(a, b, p), _fold(b, a, p)
     out = []
     for op, i0, i1, j0, j1 in difflib.SequenceMatcher(None, [x[0] for x in a], [x[0] for x in b], autojunk=False).get_opcodes():
         if op == "equal":
-            out += [_same(x, y, widest, keep) for x, y in zip(a[i0:i1], b[j0:j1], strict=True)]
+            out += [_same(x, y, p) for x, y in zip(a[i0:i1], b[j0:j1], strict=True)]
         else:
             out += [(k, True, load) for k, _, load in (*a[i0:i1], *b[j0:j1])]
-    return squash(tuple(out), widest, keep)
+    return squash(tuple(out), p, top)
+
+
+def align(a: tuple, b: tuple, p: HtmlParams = HtmlParams()) -> tuple:
+    """The wrapper of everything that either wrapper describes."""
+    return _align(a, b, p, p.levels) if a or b else a
 
 
 def expression(wrapper: tuple) -> str:
@@ -278,23 +387,35 @@ def _texts(wrapper: tuple):
             yield key[1:], load
 
 
+def _holder(path: str) -> str:
+    """The element around a text that is no paragraph, item, cell or heading."""
+    parts = path.split("/")
+    while parts and parts[-1].split(".")[0] in _LOOSE | _HEADINGS:
+        parts.pop()
+    return "/".join(parts)
+
+
 def verdict(wrapper: tuple, p: HtmlParams) -> dict:
     """{"main": path of the container that holds the main text of the host's
     pages without article and main elements, or None; "literal": path -> hashes
-    of the literals there}."""
+    of the literals there that stand in elements without slots}."""
     found = [(path, load) for path, load in _texts(wrapper) if not load[3]]
+    fixed = lambda load: load[0] is not None and len(load[1]) >= p.literal_pages
+    size: dict[str, int] = {}
+    slots: set[str] = set()
+    for path, load in found:
+        if not fixed(load):
+            parts = _holder(path).split("/")
+            for k in range(1, len(parts) + 1):
+                c = "/".join(parts[:k])
+                slots.add(c)
+                if load[2] and parts[k - 1].split(".")[0] not in _LOOSE | _HEADINGS:
+                    size[c] = size.get(c, 0) + load[2]
     literal: dict[str, list[int]] = {}
     for path, load in found:
-        if load[0] is not None and len(load[1]) >= p.literal_pages:
+        if fixed(load) and _holder(path) not in slots:
             literal.setdefault(path, []).append(load[0])
-    slots = [(path, load[2]) for path, load in found if load[2] and (load[0] is None or len(load[1]) < p.literal_pages)]
-    total, size = sum(n for _, n in slots), {}
-    for path, n in slots:
-        parts = path.split("/")
-        for k in range(1, len(parts) + 1):
-            if parts[k - 1].split(".")[0] not in _LOOSE | {"h1", "h2", "h3", "h4", "h5", "h6"}:
-                c = "/".join(parts[:k])
-                size[c] = size.get(c, 0) + n
+    total = sum(load[2] for _, load in found if not fixed(load))
     main = max((c for c, n in size.items() if n >= p.main_share * total), key=lambda c: (c.count("/"), c), default=None)
     return {"main": main, "literal": {path: sorted(set(hashes)) for path, hashes in sorted(literal.items())}}
 
@@ -302,16 +423,14 @@ def verdict(wrapper: tuple, p: HtmlParams) -> dict:
 def main_text(page: str | None, rule: dict | None) -> str:
     """Main text of one page by its host's verdict."""
     rule = rule or {"main": None, "literal": {}}
-    every = [(path, text) for path, text, aside in tokens(page) if text is not None and not aside]
+    every = [(path, text) for path, text, aside in blocks(page) if text is not None and not aside]
     part = [x for x in every if _in_main(x[0])]
-    if not part and rule["main"] is not None:
-        part = [x for x in every if (x[0] + "/").startswith(rule["main"] + "/")]
-
-    def own(texts):
-        return [x for x in texts if x[0] not in rule["literal"] or _hash(x[1]) not in rule["literal"][x[0]]]
-
-    # A part that is all literals is what the page has to say.
-    return "\n".join(text for _, text in own(part) or part or own(every) or every)
+    if not part:
+        part = [x for x in every if (x[0] + "/").startswith(rule["main"] + "/")] if rule["main"] is not None else []
+        own = lambda texts: [x for x in texts if x[0] not in rule["literal"] or _hash(x[1]) not in rule["literal"][x[0]]]
+        # A page of literals only has them to say.
+        part = own(part) or part or own(every) or every
+    return "\n".join(text for _, text in part)
 
 
 def host_of(url: str = "url") -> Column:
@@ -322,7 +441,7 @@ def _merge(wrappers: list[bytes], p: HtmlParams) -> tuple:
     out = None
     for w in sorted(wrappers):
         w = pickle.loads(w)
-        out = w if out is None else align(out, w, p.widest_group, p.literal_pages)
+        out = w if out is None else align(out, w, p)
     return out
 
 
@@ -335,16 +454,16 @@ def infer(pages: DataFrame, params: HtmlParams = HtmlParams()) -> DataFrame:
         merged: dict[str, dict[tuple, tuple]] = {}
         for pdf in batches:
             for host, page in zip(pdf.host, pdf.html, strict=True):
-                w = squash(stream(page), p.widest_group, p.literal_pages)
+                w = squash(stream(page), p)
                 known = merged.setdefault(host, {})
                 shape = tuple(x[0] for x in w)
                 # Equal outlines need no search for an alignment.
-                known[shape] = tuple(_same(x, y, p.widest_group, p.literal_pages) for x, y in zip(known[shape], w, strict=True)) if shape in known else w
+                known[shape] = tuple(_same(x, y, p) for x, y in zip(known[shape], w, strict=True)) if shape in known else w
         rows = []
         for host, known in merged.items():
             out = None
             for shape in sorted(known):
-                out = known[shape] if out is None else align(out, known[shape], p.widest_group, p.literal_pages)
+                out = known[shape] if out is None else align(out, known[shape], p)
             data = pickle.dumps(out)
             rows.append((host, xxhash.xxh32_intdigest(data) % p.salts, data))
         yield pd.DataFrame(rows, columns=["host", "salt", "wrapper"])

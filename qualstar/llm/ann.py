@@ -7,14 +7,17 @@ bounded sample (``sample`` rows by id hash); every row is put into its nearest l
 A query probes its nearest lists until they hold ``probe_share`` of all rows and
 at least ``least_scan`` rows, so small tables are searched whole.
 
-Within a list the vectors are turned by one random rotation and compared in
-blocks of columns.  After each block the distance so far, scaled up to all
-dimensions, is tested against the query's bound; a candidate that exceeds it by
-more than ``eps`` standard deviations is abandoned.  The bound is the distance
-of the k-th nearest vector of the sample, tightened by what the list yields.
-Survivors get the exact inner product of the original vectors in double
-precision.  The sample's own best are results too, so a query always has k, or
-all candidates if there are fewer.
+A list farther from a query than its bound, by the distance of its centroid less
+the list's radius, is not probed.  Within a list the vectors are turned by one
+random rotation and compared in blocks of columns, a block of queries at a time,
+so that a column block read serves all of them.  After each block the distance
+so far, scaled up to all dimensions, is tested against the query's bound; a
+candidate that exceeds it by more than ``eps`` standard deviations is abandoned
+for that query.  While many pairs are left a block is one matrix product, then
+the remaining pairs are compared one by one.  The bound is the distance
+of the k-th nearest vector of the sample.  Survivors get the exact inner product
+of the original vectors in double precision.  The sample's own best are results
+too, so a query always has k, or all candidates if there are fewer.
 
 Lists and the queries that probe them are dealt out in a grid of blocks of
 bounded size, so a list that holds most of the rows is many small tasks.  Of
@@ -25,7 +28,10 @@ centroids and a row per list: all bounded by parameters.
 
 Rows without an id and vectors that are null, zero, hold null or non-finite
 components or have not the most frequent number of components take no part.
-Rows repeated in id and vector are one candidate and one query.
+Rows repeated in id and vector are one candidate and one query; rows of one id
+with different vectors are one query together (its nearest are the best of
+all its vectors), and none of them is a candidate of it.  Other columns take no
+part.
 """
 
 from __future__ import annotations
@@ -55,6 +61,8 @@ class AnnParams:
     eps: float = 2.1
     block_vectors: int = 8192
     block_queries: int = 2048
+    batch_queries: int = 256     # compared with a list at a time
+    few: float = 0.03            # share of pairs left from which on they are compared one by one
 
 
 def _packed(vectors: pd.Series) -> np.ndarray:
@@ -130,24 +138,43 @@ def column_blocks(y: np.ndarray, columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(y[:, at:at + columns]) for at in range(0, y.shape[1], columns)]
 
 
-def scan_list(ids: np.ndarray, x: np.ndarray, blocks: list[np.ndarray], qid: int, q: np.ndarray, r: np.ndarray, bound: float, p: AnnParams):
-    """(ids, scores) of at most k candidates of one list for one query: x and q
-    original, blocks and r rotated; bound: squared distance that the k-th nearest does not exceed."""
-    dims, seen, alive, far = len(r), 0, None, 0.0
-    for block in blocks:
-        part = (block if alive is None else block[alive]) - r[seen:seen + block.shape[1]]
-        far = far + np.einsum("ij,ij->i", part, part)
-        seen += block.shape[1]
-        # Rotated distances are rounded to single precision, so the last test has some room.
-        keep = far <= (bound * (1 + p.eps / np.sqrt(seen)) ** 2 * (seen / dims) if seen < dims else bound * (1 + 1e-5) + 1e-5)
-        kept = np.flatnonzero(keep)
-        alive, far = kept if alive is None else alive[kept], far[kept]
-        if not len(alive):
-            break
-    alive = alive[ids[alive] != qid]
-    score = _dot(x[alive], q)
-    top = np.lexsort((ids[alive], -score))[:p.k]
-    return ids[alive][top], score[top]
+def scan_list(ids: np.ndarray, x: np.ndarray, blocks: list[np.ndarray], qids: np.ndarray, q: np.ndarray, r: np.ndarray, bound: np.ndarray,
+              p: AnnParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, candidate number, score) of at most k candidates of one
+    list for each query: x and q original, blocks and r rotated; bound: squared
+    distances that the k-th nearest does not exceed."""
+    dims, seen, k = r.shape[1], 0, 0
+    far = np.zeros((len(q), len(x)), np.float32)
+    # Rotated distances are rounded to single precision, so the last test has some room.
+    room = 1e-5 * (bound + (r * r).sum(1) + max((sum((b * b).sum(1) for b in blocks)).max(initial=0), 0))
+
+    def limit() -> np.ndarray:
+        return bound * (1 + p.eps / np.sqrt(seen)) ** 2 * (seen / dims) + room if seen < dims else bound + room
+
+    left = len(q) * len(x)
+    while k < len(blocks) and left > p.few * far.size:
+        y, part = blocks[k], r[:, seen:seen + blocks[k].shape[1]]
+        far += (y * y).sum(1)
+        far += (part * part).sum(1)[:, None]
+        far -= (2 * part) @ y.T
+        seen, k = seen + y.shape[1], k + 1
+        alive = far <= limit()[:, None]
+        far[~alive] = np.inf
+        left = np.count_nonzero(alive)
+    i, j = np.nonzero(np.isfinite(far) & (ids != qids[:, None]))
+    near = far[i, j]
+    for y in blocks[k:]:
+        d = y[j] - r[i, seen:seen + y.shape[1]]
+        near = near + np.einsum("ij,ij->i", d, d)
+        seen += y.shape[1]
+        alive = near <= limit()[i]
+        i, j, near = i[alive], j[alive], near[alive]
+    score = _dot(x[j], q[i])
+    order = np.lexsort((ids[j], -score, i))
+    i, j, score = i[order], j[order], score[order]
+    first = np.searchsorted(i, i)          # each query's best begin there
+    top = np.arange(len(i)) - first < p.k
+    return i[top], j[top], score[top]
 
 
 def _blocks(of: str, of_rows: str, rows_in_block: int) -> Column:
@@ -170,30 +197,36 @@ def search(embeddings: DataFrame, params: AnnParams = AnnParams()) -> DataFrame:
         return spark.createDataFrame([], out)
     shared = spark.sparkContext.broadcast(build_lists(vectors, n, p))
 
-    @F.pandas_udf("int")
-    def placed(v: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.nearest_lists(_packed(v), False).argmin(1).astype(np.int32))
+    @F.pandas_udf("list int, far double")
+    def placed(v: pd.Series) -> pd.DataFrame:
+        L, x = shared.value, _packed(v)
+        at = L.nearest_lists(x, False).argmin(1)
+        return pd.DataFrame({"list": at.astype(np.int32), "far": np.linalg.norm(L.turned(x, False) - L.centroids[at], axis=1).astype(float)})
 
-    lists = pin(vectors.select("vec_id", "v", placed("v").alias("list")), "ann-lists")
-    size = {r["list"]: r["n"] for r in lists.groupBy("list").agg(F.count("*").alias("n")).collect()}   # max_lists rows
-    sizes = spark.sparkContext.broadcast(np.array([size.get(i, 0) for i in range(p.max_lists)]))
+    lists = pin(vectors.select("vec_id", "v", placed("v").alias("p")).select("vec_id", "v", "p.*"), "ann-lists")
+    known = {r["list"]: r for r in lists.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}   # max_lists rows
+    sizes = spark.sparkContext.broadcast(np.array([(known[i].n, known[i].far) if i in known else (0, 0.0) for i in range(p.max_lists)]).T)
     enough = max(p.least_scan, p.probe_share * n)
 
     @F.pandas_udf("bound double, lists array<int>, ids array<long>, scores array<double>")
     def prepared(qid: pd.Series, v: pd.Series) -> pd.DataFrame:
         """Bound, probed lists and the best of the sample."""
         L, q = shared.value, _packed(v)
-        order = L.nearest_lists(q, True).argsort(1)
+        size, radius = sizes.value[:, :len(L.centroids)]
+        near = L.nearest_lists(q, True)
+        order = near.argsort(1)
+        away = np.sqrt(np.maximum(near + (q * q).sum(1)[:, None], 0))     # from the centroids
         rows = []
-        for i, x, o in zip(qid.to_numpy(), q, order, strict=True):
-            total = np.cumsum(sizes.value[o])
+        for i, x, o, a in zip(qid.to_numpy(), q, order, away, strict=True):
+            total = np.cumsum(size[o])
             others = np.flatnonzero(L.sample_ids != i)
             score = _dot(L.sample[others], x)
             top = others[np.lexsort((L.sample_ids[others], -score))[:p.k]]
             best = _dot(L.sample[top], x)
             bound = float(x @ x + L.norm ** 2 - 2 * best[-1]) if len(top) == p.k else np.inf
             lists_ = o[:int(np.searchsorted(total, min(enough, total[-1]))) + 1]
-            rows.append((bound, lists_[sizes.value[lists_] > 0].astype(np.int32), L.sample_ids[top], best))
+            reach = a[lists_] - radius[lists_] <= np.sqrt(max(bound, 0)) * (1 + 1e-4) + 1e-4 * L.norm
+            rows.append((bound, lists_[(size[lists_] > 0) & reach].astype(np.int32), L.sample_ids[top], best))
         return pd.DataFrame(rows, columns=["bound", "lists", "ids", "scores"])
 
     queries = pin(all_.filter(F.col("vec_id") % p.query_step == 0)
@@ -201,7 +234,7 @@ def search(embeddings: DataFrame, params: AnnParams = AnnParams()) -> DataFrame:
     probes = queries.select("query_id", F.explode("lists").alias("list"))
     grid = F.broadcast(lists.groupBy("list").agg(F.count("*").alias("n_v"))
                        .join(probes.groupBy("list").agg(F.count("*").alias("n_q")), "list"))   # max_lists rows
-    left = (lists.join(grid, "list").select("list", _blocks("vec_id", "n_v", p.block_vectors).alias("vb"),
+    left = (lists.drop("far").join(grid, "list").select("list", _blocks("vec_id", "n_v", p.block_vectors).alias("vb"),
                                             _all_blocks("n_q", p.block_queries).alias("qb"), "vec_id", "v"))
     right = (queries.select("query_id", "v", "bound", F.explode("lists").alias("list")).join(grid, "list")
              .select("list", _all_blocks("n_v", p.block_vectors).alias("vb"), _blocks("query_id", "n_q", p.block_queries).alias("qb"),
@@ -213,10 +246,11 @@ def search(embeddings: DataFrame, params: AnnParams = AnnParams()) -> DataFrame:
         found = []
         if len(ids) and len(q):
             y, r = column_blocks(L.turned(x, False), p.columns), L.turned(q, True)
-            for i, a, b, bound in zip(qs.query_id.tolist(), q, r, qs.bound.tolist(), strict=True):
-                got, score = scan_list(ids, x, y, i, a, b, bound, p)
-                if len(got):
-                    found.append(pd.DataFrame({"query_id": i, "vec_id": got, "score": score}))
+            qids, bounds = qs.query_id.to_numpy(np.int64), qs.bound.to_numpy(float)
+            for at in range(0, len(q), p.batch_queries):
+                own = slice(at, at + p.batch_queries)
+                i, j, score = scan_list(ids, x, y, qids[own], q[own], r[own], bounds[own], p)
+                found.append(pd.DataFrame({"query_id": qids[own][i], "vec_id": ids[j], "score": score}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     key = ["list", "vb", "qb"]

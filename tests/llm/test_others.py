@@ -228,6 +228,44 @@ def test_search_recall_with_lists(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_a_list_is_scanned_like_one_by_one():
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(700, 40)), rng.normal(size=(33, 40))
+    ids, qids = np.arange(700) * 3, np.arange(33) * 30
+    far = ((x[None] - q[:, None]) ** 2).sum(2)
+    bound = np.sort(far, 1)[:, 30]
+    for few in (0.0, 0.05, 1.0):
+        p = ann.AnnParams(few=few, eps=50.0)       # nobody is abandoned too soon
+        i, j, score = ann.scan_list(ids, x, ann.column_blocks(x.astype(np.float32), 16), qids, q, q.astype(np.float32), bound, p)
+        for n in range(33):
+            fine = [m for m in range(700) if far[n, m] <= bound[n] and ids[m] != qids[n]]
+            want = sorted(fine, key=lambda m: (-float(x[m] @ q[n]), ids[m]))[:p.k]
+            assert j[i == n].tolist() == want
+            assert np.allclose(score[i == n], x[want] @ q[n], rtol=1e-12)
+    loose = ann.scan_list(ids, x, ann.column_blocks(x.astype(np.float32), 16), qids, q, q.astype(np.float32), np.full(33, np.inf), ann.AnnParams())
+    assert len(loose[0]) == 33 * 20
+    assert [len(z) for z in ann.scan_list(ids, x, ann.column_blocks(x.astype(np.float32), 16), qids, q, q.astype(np.float32), np.zeros(33), ann.AnnParams())] == [0, 0, 0]
+
+
+def test_search_above_the_least_scan(spark):
+    """Production parameters, more rows than are searched whole; lists out of reach are skipped without a loss."""
+    rng = np.random.default_rng(1)
+    middle = rng.normal(size=(40, 24)) * 8
+    for x in (rng.normal(size=(9000, 24)), middle[rng.integers(0, 40, 9000)] + rng.normal(size=(9000, 24)) * 0.3):
+        data = spark.createDataFrame([(i, v.tolist(), 1, 2.0, 3) for i, v in enumerate(x)], "vec_id long, embedding array<double>, list int, far double, rank int")
+        got = ann.search(data).toPandas()
+        want = brute(list(range(9000)), x)
+        assert sorted(got.query_id.unique()) == sorted(want) and (got.groupby("query_id").size() == 20).all()
+        assert sum(len(set(g.vec_id) & set(want[q])) for q, g in got.groupby("query_id")) / (20 * len(want)) >= 0.9
+
+
+def test_rows_of_one_id_are_one_query(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 5.0]), *[(i, [float(i), 1.0]) for i in range(1, 30)]]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).filter("query_id = 0").orderBy("rank").collect()
+    best = sorted(range(1, 30), key=lambda i: (-max(float(i), 5.0), i))[:20]
+    assert [r.vec_id for r in got] == best
+
+
 def test_search_odd_rows(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (80, [None, 1.0]), (100, [1.0]), (None, [1.0, 1.0]), (7, [2.0, 0.0]), (7, [2.0, 0.0]),

@@ -137,6 +137,19 @@ def byte_grams(data: bytes, orders: tuple[int, ...]):
         yield packed(n) | (np.uint64(n) << np.uint64(56))
 
 
+def char_grams(codes: np.ndarray, orders: tuple[int, ...]):
+    """For each order n: a 64-bit hash of every n-gram of ``codes`` (code points);
+    n-grams of different orders or code points have different hashes (but for chance)."""
+    with np.errstate(over="ignore"):
+        g = one = codes.astype(np.uint64) + np.uint64(1)
+        for n in range(1, max(orders) + 1):
+            if n > 1:
+                m = max(0, len(one) - n + 1)
+                g = g[:m] * _BASE + one[n - 1:n - 1 + m]
+            if n in orders:
+                yield g * _LAG[n] + _LAG[n + 32]
+
+
 #: Words of shingles: anything but ASCII white space (0x20 and 0x09 to 0x0D).
 NON_SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 #: Words of the benchmark filter: ASCII digits, lower-case letters and all else beyond ASCII.

@@ -1,5 +1,5 @@
-"""Toxicity: a linear classifier on byte n-grams whose features are scaled by
-naive Bayes log-count ratios.
+"""Toxicity: a linear classifier on character n-grams whose features are scaled
+by naive Bayes log-count ratios.
 
 Training reads a bounded sample of the labelled rows (``per_class`` of either
 label, by id hash; of texts that share an id the smallest is learnt from, so
@@ -8,7 +8,8 @@ come from distributed counts over the sample; n-grams whose classes don't
 differ by ``min_z`` standard errors are left out, so that neither long clean
 texts nor rare n-grams add noise.  A regularised logistic regression over the
 scaled features is then fitted on the driver (sample x kept n-grams, bounded by
-the two parameters).  N-grams are compared exactly, not by hash buckets.
+the two parameters).  N-grams are runs of code points, so a character of any
+script counts as one and is never cut apart; they are known by 64-bit hashes.
 
 Scoring is one scan, without a shuffle; whole texts are read.  Null and empty
 texts score as a document without features.  Without labels of both classes
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin, unpin
-from .common import byte_grams, fold_of, stratified_ids
+from .common import char_grams, fold_of, stratified_ids
 
 _CHUNK = 1 << 22
 
@@ -44,7 +45,7 @@ class ToxicityParams:
 
 @dataclass
 class ToxicityModel:
-    grams: np.ndarray    # sorted packed n-grams
+    grams: np.ndarray    # sorted hashes of n-grams
     weights: np.ndarray  # log-count ratio times fitted weight
     bias: float
     params: ToxicityParams
@@ -58,7 +59,7 @@ class ToxicityModel:
         data, hits = _prepared(text), []
         step = max(self.params.orders) - 1
         for at in range(0, len(data), _CHUNK):
-            for g in byte_grams(data[at:at + _CHUNK + step], self.params.orders):
+            for g in char_grams(data[at:at + _CHUNK + step], self.params.orders):
                 hits.append(g[self.near[_bucket(g)]])
         g = np.unique(np.concatenate(hits)) if hits else np.empty(0, np.uint64)
         at = np.searchsorted(self.grams, g)
@@ -74,15 +75,18 @@ def _bucket(grams: np.ndarray) -> np.ndarray:
         return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
 
 
-def _prepared(text: str | None) -> bytes:
-    return f" {' '.join(text.lower().split())} ".encode("utf-8", "replace") if text else b""
+def _prepared(text: str | None) -> np.ndarray:
+    """Code points of the lower-cased text, white space made one blank."""
+    if not text:
+        return np.empty(0, np.uint32)
+    return np.frombuffer(f" {' '.join(text.lower().split())} ".encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 def _gram_counts(sample: DataFrame, p: ToxicityParams) -> DataFrame:
     """(gram, toxic documents, other documents), combined per task first."""
     def count(batches):
         for pdf in batches:
-            seen = [[np.unique(np.concatenate(list(byte_grams(d, p.orders)))) for d in map(_prepared, pdf.text[pdf.label == c]) if d]
+            seen = [[np.unique(np.concatenate(list(char_grams(d, p.orders)))) for d in map(_prepared, pdf.text[pdf.label == c]) if len(d)]
                     for c in (0, 1)]
             both = [np.unique(np.concatenate(s), return_counts=True) if s else (np.empty(0, np.uint64), np.empty(0, int))
                     for s in seen]

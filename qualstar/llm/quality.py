@@ -165,11 +165,13 @@ def score(spark, model) -> Column:
 
 def classify(documents: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``documents``.  A
-    document with several labels has the largest."""
+    document with several labels has the largest; of rows that share an id, one
+    (of the smallest statistics) is learnt from, so that copies weigh nothing."""
     stats = pin(document_statistics(documents), "quality-stats")
     marked = (labels.filter(fold_of("doc_id", params.folds) != 0).groupBy("doc_id").agg(F.max("quality").alias("label"))
               .filter(F.col("label").isin(0, 1)))
-    model = fit(stats.join(marked, "doc_id").select("stats", "label"), params)
+    once = stats.join(marked, "doc_id").groupBy("doc_id", "label").agg(F.min("stats").alias("stats"))
+    model = fit(once.select("stats", "label"), params)
     return (stats.select("doc_id", score(stats.sparkSession, model).alias("score"))
             .select("doc_id", F.coalesce(fold_of("doc_id", params.folds) == 0, F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= params.threshold).cast("int").alias("predicted")))

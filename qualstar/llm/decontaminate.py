@@ -6,7 +6,8 @@ A scan hashes the windows of each document, looks them up, and confirms each
 hit by the words themselves.  Words inside an occurrence are hit; they can be
 cut out of the text, or the document dropped.
 
-What is broadcast is bounded: items go to ``ceil(bytes / max_bytes)`` blocks by
+What is broadcast is bounded, and so is what holds it (a block of 16 MB of text
+takes some 150 MB in the driver and in each worker): items go to ``ceil(bytes / max_bytes)`` blocks by
 a hash, and the documents are scanned once per block, each scan adding to the
 hits so far (written out between scans).  One block, the usual case, needs no
 shuffle and no write.
@@ -16,8 +17,7 @@ ASCII, after lower-casing A-Z.  Null and empty texts have no words and no hits.
 Items without words take no part; items with equal windows are all reported;
 repeated items count once.  Passages of items without an item_id are hit and cut
 like others, but there is no id to report: ``n_items`` and ``items_sha256`` leave
-them out.  (The query's SQL leaves such items out altogether, so the two differ
-on benchmarks with null ids.)
+them out.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from .common import ALNUM, window_hashes, word_hashes
 @dataclass(frozen=True)
 class DecontaminationParams:
     n: int = 10
-    max_bytes: int = 32 << 20   # of item text in one broadcast
+    max_bytes: int = 16 << 20   # of item text in one broadcast
 
 
 _HITS = "n_words long, spans array<int>, items array<string>"
@@ -50,24 +50,38 @@ def words_of(text: str | None):
 
 
 class WindowIndex:
-    """Windows of the items: hash -> words and ids of the items that have them."""
+    """Windows of the items: sorted hashes with the place of each window's words
+    in the items' normalised text, and its item.  About 20 bytes for a window
+    besides the text, the same again while it is made."""
 
     def __init__(self, items: list[tuple[str | None, str]], n: int):
-        found: dict[int, dict[bytes, set[str]]] = {}
-        self.sizes: set[int] = set()
-        for item, text in items:
+        texts, hashes, begins, ends, owners = [], [], [], [], []
+        at, self.sizes, self.items = 0, set(), [item for item, _ in items]
+        for number, (_, text) in enumerate(items):
             data, h, start, end = words_of(text)
             k = min(n, len(h))
             if not k:
                 continue
             self.sizes.add(k)
-            for i, x in enumerate(window_hashes(h, k).tolist()):
-                ids = found.setdefault(x, {}).setdefault(self.normal(data, start[i:i + k], end[i:i + k]), set())
-                if item is not None:
-                    ids.add(item)
-        self.found = found
-        self.near = np.zeros(1 << 20, bool)
-        self.near[np.array(list(found), np.uint64) >> np.uint64(44)] = True
+            clean = b" ".join(data[i:j] for i, j in zip(start.tolist(), end.tolist(), strict=True))
+            size = end - start
+            place = at + np.concatenate(([0], np.cumsum(size + 1)[:-1]))
+            hashes.append(window_hashes(h, k))
+            begins.append(place[:len(h) - k + 1])
+            ends.append((place + size)[k - 1:])
+            owners.append(np.full(len(h) - k + 1, number, np.int32))
+            texts.append(clean)
+            at += len(clean)
+        self.text = b"".join(texts)
+        joined = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
+        self.hashes = joined(hashes, np.uint64)
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes = self.hashes[order]
+        self.begins, self.ends, self.owners = (joined(x, np.uint32)[order] for x in (begins, ends, owners))
+        bits = min(26, max(20, len(order).bit_length() + 4))
+        self.shift = np.uint64(64 - bits)
+        self.near = np.zeros(1 << bits, bool)
+        self.near[self.hashes >> self.shift] = True
 
     @staticmethod
     def normal(data: bytes, start, end) -> bytes:
@@ -79,13 +93,18 @@ class WindowIndex:
         ranges, items = [], set()
         for k in self.sizes:
             w = window_hashes(h, k)
-            for i in np.flatnonzero(self.near[w >> np.uint64(44)]).tolist():
-                same = self.found.get(int(w[i]))
-                got = same.get(self.normal(data, start[i:i + k], end[i:i + k])) if same else None
-                if got is not None:          # empty: only items without an id
+            at = np.flatnonzero(self.near[w >> self.shift])
+            first = np.searchsorted(self.hashes, w[at])
+            last = np.searchsorted(self.hashes, w[at], "right")
+            for i, lo, hi in zip(at.tolist(), first.tolist(), last.tolist(), strict=True):
+                if lo == hi:
+                    continue
+                words = self.normal(data, start[i:i + k], end[i:i + k])
+                same = [m for m in range(lo, hi) if self.text[self.begins[m]:self.ends[m]] == words]
+                if same:
                     ranges.append((i, i + k))
-                    items |= got
-        return len(h), merged(ranges), items
+                    items.update(self.items[self.owners[m]] for m in same)
+        return len(h), merged(ranges), items - {None}
 
 
 def merged(ranges) -> list[tuple[int, int]]:

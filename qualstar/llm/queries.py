@@ -92,7 +92,7 @@ FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_i
 
 _LEAKS_SQL = f"""
 WITH d AS (SELECT doc_id, {_words('text', '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM documents),
-b AS (SELECT item_id, {_words('text', '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, {_words('text', '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
        FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
 dw AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
@@ -100,7 +100,7 @@ dw AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS
 h AS (SELECT doc_id, item_id, i, k FROM dw JOIN bw USING (k, s)),
 n AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM h) GROUP BY doc_id),
 t AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM h) GROUP BY doc_id)
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
        sha256(coalesce(t.ids, '')) AS items_sha256, n.n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)

@@ -185,10 +185,10 @@ def mix(documents: DataFrame, params: MixParams = MixParams()) -> DataFrame:
 
 def mixture(documents: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """The documents of the mix: the rows of ``documents`` that it takes at
-    least once, with size, source_size, target, copies and taken beside their
+    least once (documents without a word give it nothing), with size, source_size, target, copies and taken beside their
     own columns (of that name, these replace them)."""
     new = ["size", "source_size", "target", "copies", "taken"]
-    plan = mix(documents, params).filter("copies > 0").withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
+    plan = mix(documents, params).filter("copies > 0 and size > 0").withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
     # Rows repeated in id and text share a key: one of them stands for their copies together.
     plan = (plan.groupBy("id", "key").agg(*[F.first(c).alias(c) for c in new[:3]], F.sum("copies").alias("copies"), F.sum("taken").alias("taken")))
     rows = (documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),

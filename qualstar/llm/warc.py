@@ -150,7 +150,9 @@ def _scan_members(f):
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Index of an archive folder, written beside it and sorted by place."""
+    """Index of an archive folder, sorted by place: a scratch table, which
+    :func:`read_records` may read any number of times.  A user who keeps the
+    archive writes it beside the files."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
              .filter("length > 0").select("path"))   # Spark packs the files into tasks by size
 

@@ -268,11 +268,73 @@ def test_rows_that_share_an_id_are_learnt_from_once(spark, frame):
     rows = [(i, f"plain words number {i} about the garden" if i % 2 else f"hateful awful filth number {i}") for i in range(1, 60)]
     labels = labels_of(spark, [(i, 1, 1 - i % 2) for i in range(1, 60)])
     docs, repeated = frame(rows), frame(rows + rows[:2] * 500)
+    q = labels_of(spark, [(i, i % 2, 0) for i in range(1, 60)])
+    a, b = ({r.doc_id: r.score for r in quality.classify(d, q).collect()} for d in (docs, repeated))
+    assert a == pytest.approx(b)
     for train in (lambda d: toxicity.train(d, labels).weights, lambda d: language.train(d).table):
         np.testing.assert_allclose(train(docs), train(repeated))
     assert language.train(repeated).langs == ["en"]
 
 
+def test_character_grams_are_whole_characters():
+    from qualstar.llm.common import char_grams
+    text = "ab\u043f\u0440\u0438\u4f60\u597d\U0001f600ab\u043f"
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    seen = {}
+    for n, grams in zip((1, 2, 3, 5), char_grams(codes, (1, 2, 3, 5)), strict=True):
+        assert len(grams) == len(text) - n + 1
+        for i, g in enumerate(grams.tolist()):
+            assert seen.setdefault(g, text[i:i + n]) == text[i:i + n]
+    assert len(seen) == len({text[i:i + n] for n in (1, 2, 3, 5) for i in range(len(text) - n + 1)})
+    assert [len(g) for g in char_grams(codes[:2], (1, 3, 5))] == [2, 0, 0]
+
+
+@pytest.mark.parametrize("bad, good", [("\u0443\u0436\u0430\u0441\u043d\u044b\u0439 \u0433\u0430\u0434", "\u0434\u043e\u0431\u0440\u043e\u0435 \u0443\u0442\u0440\u043e"), ("\u53ef\u6076\u7684\u574f\u86cb", "\u6e29\u6696\u7684\u65e9\u6668")])
+def test_toxicity_of_other_scripts(spark, frame, bad, good):
+    rng = np.random.default_rng(5)
+    fill = [chr(int(c)) for c in rng.integers(ord(good[0]) - 20, ord(good[0]) + 20, 40)]
+    rows = [(i, "".join(rng.choice(fill, 30)) + " " + (bad if i % 2 else good) + " " + "".join(rng.choice(fill, 30))) for i in range(1, 200)]
+    got = toxicity.classify(frame(rows), labels_of(spark, [(i, 0, i % 2) for i in range(1, 200)])).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.held_out) and sum(r.held_out for r in got) > 20
+
+
+def test_scores_match_the_models_in_plain_python(spark, sf):
+    """The fitted models over the whole small table, one text at a time."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    model = toxicity.train(docs, labels)
+    place = {int(g): k for k, g in enumerate(model.grams)}
+    from qualstar.llm.common import char_grams
+    for r in toxicity.classify(docs, labels).collect():
+        t = texts[r.doc_id] or ""
+        norm = f" {' '.join(t.lower().split())} " if t else ""
+        grams = {int(next(char_grams(np.array([ord(c) for c in norm[i:i + n]], np.uint32), (n,)))[0]) for n in model.params.orders for i in range(len(norm) - n + 1)} if len(norm) < 1500 else None
+        if grams is not None:
+            z = sum(model.weights[place[g]] for g in grams if g in place) + model.bias
+            assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+    stats = quality.document_statistics(docs)
+    marked = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    fit = quality.fit(stats.join(marked, "doc_id").select("stats", "label"))
+    for r in quality.classify(docs, labels).collect():
+        x = quality.statistics(texts[r.doc_id])
+        d = [-0.5 * (float(sum(((x - m) @ f.T) ** 2)) + ld) for m, f, ld in zip(fit.means, fit.factors, fit.log_dets, strict=True)]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip((d[1] - d[0] + fit.log_prior) / fit.temperature, -500, 500))), rel=1e-6, abs=1e-9)
+
+
+def test_a_large_benchmark_fits_in_memory():
+    """Windows of a full block take some 20 bytes each besides the text, and are found."""
+    rng = np.random.default_rng(12)
+    items = [(str(i), " ".join(f"w{k}" for k in rng.integers(0, 10 ** 6, 500))) for i in range(400)] + [("a", "some words"), ("b", "Some, words"), (None, "nobody's item")]
+    index = decontaminate.WindowIndex(items, 10)
+    held = sum(x.nbytes for x in (index.hashes, index.begins, index.ends, index.owners, index.near)) + len(index.text)
+    assert held < 40 * len(index.hashes) + (1 << 22) and len(index.hashes) > 190000
+    for i in (0, 57, 399):
+        w = items[i][1].split()
+        n, spans, found = index.scan("x " + " ".join(w[100:120]).upper() + " y some words nobody s item")
+        assert (n, spans, found) == (27, [(1, 21), (22, 27)], {str(i), "a", "b"})
+    assert index.scan(" ".join(items[3][1].split()[:9]))[1] == []
+
+
 def test_line_dedup_keeps_columns_of_its_own_names(frame):
     docs = frame([(1, "a b"), (2, None)]).withColumn("deduped", F.lit("mine")).withColumn("n_removed", F.lit(9))
     out = linededup.replace_text(docs)

@@ -303,3 +303,53 @@ def test_pipeline(spark, sf):
         assert stage(spark, docs, sf).columns == docs.columns
     out = corpus_pipeline.run(spark, sf)
     assert out.filter("copies < 1").count() == 0 and out.select("doc_id").distinct().count() == out.count() > 0
+    # A document that the stages before left without a word is not in the mix.
+    assert out.filter("size < 1 or not rlike(text, '[^ \\\\t-\\\\r]')").count() == 0
+
+
+def test_pipeline_on_odd_documents(spark, sf, folder):
+    """Nulls, empties, repeated rows, copies, clashing and further columns through all five stages."""
+    import os
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    shared = words("s", 60)
+    rows = [(1, words("a", 90), "x"), (1, words("a", 90), "x"), (2, words("a", 90), "y"), (3, words("a", 89) + " end", None), (None, None, None), (None, words("n", 40), "x"), (4, "", "x"),
+            (5, " \n ", None), (6, None, "y"), (7, f"{shared}\n{words('b', 30)}", "y"), (8, f"{shared}\n{words('c', 30)}", "y"), (9, words("long", 50000), "x")]
+    docs = spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), 1, 2.0, "b", 5, 0.1) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, copies int, taken double, block string, size int, score double")
+    docs.write.parquet(os.path.join(folder, "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        table(spark, sf, t).write.parquet(os.path.join(folder, f"{t}.parquet"))
+    given = table(spark, folder, "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        for df in (given, given.limit(0)):
+            got = stage(spark, df, folder)
+            assert got.columns == df.columns and got.dtypes == df.dtypes and got.count() <= df.count()
+    out = corpus_pipeline.run(spark, folder).collect()
+    ids = {r.doc_id for r in out}
+    assert ids <= {r[0] for r in rows} and not ids & {4, 5, 6} and all(r.text.split() and r.copies >= 1 for r in out)
+    assert 2 not in ids and 3 not in ids and 9 in ids
+
+
+def test_decontamination_sql_reports_items_without_an_id(spark, folder):
+    import duckdb
+    import os
+    docs = [(1, "see Leaked words of nobody here"), (2, "an other lost item too"), (3, "clean"), (4, None)]
+    items = [(None, "leaked words of nobody"), (7, "leaked words of nobody"), (None, "other lost item"), (8, None)]
+    con = duckdb.connect()
+    for name, rows, schema in (("documents", docs, "doc_id long, text string"), ("benchmark", items, "item_id long, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(folder, f"{name}.parquet"))
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    got = __spark_entry__.queries()["op6_decontamination"](spark, folder)
+    want = con.execute(__spark_entry__.oracle_sql()["op6_decontamination"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(str, (tuple(r[c] for c in names) for r in got.collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_phrases_match_their_sql(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    got = __spark_entry__.queries()["op11_collocations"](spark, "/root/testdata/sf0.01")
+    want = con.execute(__spark_entry__.oracle_sql()["op11_collocations"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(str, (tuple(r[c] for c in names) for r in got.collect()))) == sorted(map(str, want.fetchall()))

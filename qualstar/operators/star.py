@@ -10,6 +10,7 @@ partitions of the fact side.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -111,11 +112,12 @@ def broadcast_if_small(dim: DataFrame, max_bytes: int | None = None) -> DataFram
     return F.broadcast(dim) if n <= max_rows else dim.hint("shuffle_merge")
 
 
-def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: DataFrame,
-                           dim_location: DataFrame, dim_occupation: DataFrame,
+def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame | None, dim_time: DataFrame | None,
+                           dim_location: DataFrame | None, dim_occupation: DataFrame | None,
                            p: TaxParams = TaxParams(), with_fact_key: bool = True) -> DataFrame:
     """One row per return (``fact_grain='return'``) with its four keys, the
-    money measures, the derived rates and the quality flags.
+    money measures, the derived rates and the quality flags.  The key of a
+    dimension that is None is left out, and so is its join.
 
     ``fact_grain='reference'`` joins taxpayer on ``taxpayer_id`` and location
     on the cleansed postal code only; both are not unique in their dimension,
@@ -123,14 +125,12 @@ def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: Dat
     """
     grain_return = p.fact_grain == "return"
     f = df.alias("f")
-    narrow = [dim_taxpayer.select("taxpayer_key", *TAXPAYER_ATTRS),
-              dim_time.select("time_key", "assessment_year", "filing_date"),
-              dim_location.select("location_key", *LOCATION_ATTRS),
-              dim_occupation.select("occupation_key", "occupation_raw")]
-    # The four bounded size checks are independent small jobs: run them together.
-    with ThreadPoolExecutor(max_workers=len(narrow)) as pool:
-        checked = list(pool.map(broadcast_if_small, narrow))
-    tp, tm, lc, oc = (d.alias(a) for d, a in zip(checked, ("tp", "tm", "lc", "oc")))
+    attributes = {"tp": (dim_taxpayer, ["taxpayer_key", *TAXPAYER_ATTRS]), "tm": (dim_time, ["time_key", "assessment_year", "filing_date"]),
+                  "lc": (dim_location, ["location_key", *LOCATION_ATTRS]), "oc": (dim_occupation, ["occupation_key", "occupation_raw"])}
+    narrow = {a: dim.select(*names) for a, (dim, names) in attributes.items() if dim is not None}
+    # The bounded size checks are independent small jobs: run them together.
+    with ThreadPoolExecutor(max_workers=max(1, len(narrow))) as pool:
+        checked = dict(zip(narrow, pool.map(broadcast_if_small, narrow.values()), strict=True))
 
     if grain_return:
         tp_pairs = [("f.taxpayer_id", "tp.taxpayer_id"), ("f.nric_cleansed", "tp.nric"),
@@ -147,18 +147,18 @@ def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: Dat
         cs = [(F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)) for a, b in pairs]
         return reduce(lambda x, y: x & y, cs)
 
-    joined = (f.join(tp, cond(tp_pairs, grain_return), "left")
-              .join(tm, cond([("f.assessment_year", "tm.assessment_year"),
-                              ("f.filing_date_cleansed", "tm.filing_date")], False), "left")
-              .join(lc, cond(lc_pairs, grain_return), "left")
-              .join(oc, cond([("f.occupation", "oc.occupation_raw")], grain_return), "left"))
+    on = {"tp": cond(tp_pairs, grain_return), "lc": cond(lc_pairs, grain_return), "oc": cond([("f.occupation", "oc.occupation_raw")], grain_return),
+          "tm": cond([("f.assessment_year", "tm.assessment_year"), ("f.filing_date_cleansed", "tm.filing_date")], False)}
+    joined = f
+    for a, dim in checked.items():
+        joined = joined.join(dim.alias(a), on[a], "left")
 
     paid, payable, income = F.col("f.tax_paid_sgd"), F.col("f.tax_payable_sgd"), F.col("f.annual_income_sgd")
     cols = []
     if with_fact_key:
         cols.append(F.monotonically_increasing_id().alias("fact_key"))
-    cols += [F.col("tp.taxpayer_key"), F.col("tm.time_key"), F.col("lc.location_key"),
-             F.col("oc.occupation_key"), F.col("f.assessment_year").alias("assessment_year")]
+    cols += [F.col(f"{a}.{names[0]}") for a, (dim, names) in attributes.items() if dim is not None]
+    cols += [F.col("f.assessment_year").alias("assessment_year")]
     cols += [F.col(f"f.{m}").alias(m) for m in FACT_MEASURES]
     cols += [
         (paid / F.when(payable == 0, F.lit(1.0)).otherwise(payable)).alias("tax_compliance_rate"),
@@ -171,10 +171,12 @@ def build_fact_tax_returns(df: DataFrame, dim_taxpayer: DataFrame, dim_time: Dat
 
 
 def build_star_schema(df: DataFrame, p: TaxParams = TaxParams(), lookup: DataFrame | None = None,
-                      with_fact_key: bool = True, parallel: bool = True) -> dict[str, DataFrame]:
+                      with_fact_key: bool = True, parallel: bool = True, only: Collection[str] | None = None) -> dict[str, DataFrame]:
     """Four dimensions and the fact.  The dimension builds are independent
     jobs (key assignment runs a sampling job and a pinned write each), so
-    they are submitted from four driver threads and run concurrently."""
+    they are submitted from four driver threads and run concurrently.
+    ``only`` names the dimensions that a question reads: no others are built,
+    and the fact has their keys only."""
     checkpoint_dir(df.sparkSession)
     builders = {
         "dim_taxpayer": lambda: build_dim_taxpayer(df),
@@ -182,13 +184,14 @@ def build_star_schema(df: DataFrame, p: TaxParams = TaxParams(), lookup: DataFra
         "dim_location": lambda: build_dim_location(df, p, lookup),
         "dim_occupation": lambda: build_dim_occupation(df, p),
     }
+    builders = {name: fn for name, fn in builders.items() if only is None or name in only}
     if parallel:
-        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, len(builders))) as pool:
             futures = {name: pool.submit(fn) for name, fn in builders.items()}
             dims = {name: f.result() for name, f in futures.items()}
     else:
         dims = {name: fn() for name, fn in builders.items()}
-    dims["fact_tax_returns"] = build_fact_tax_returns(df, dims["dim_taxpayer"], dims["dim_time"],
-                                                      dims["dim_location"], dims["dim_occupation"], p,
+    dims["fact_tax_returns"] = build_fact_tax_returns(df, dims.get("dim_taxpayer"), dims.get("dim_time"),
+                                                      dims.get("dim_location"), dims.get("dim_occupation"), p,
                                                       with_fact_key=with_fact_key)
     return dims

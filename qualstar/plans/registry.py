@@ -100,10 +100,10 @@ def q_route_rejected(spark, sf):
     return score.route(_scored(spark, sf))[1]
 
 
-def _star(spark, sf, grain="return"):
-    """Dimensions and fact over a silver layer written first, as in the pipeline."""
+def _star(spark, sf, grain="return", only=None):
+    """Dimensions (``only`` these) and fact over a silver layer written first, as in the pipeline."""
     silver = pin(_silver(spark, sf), "silver")
-    return star.build_star_schema(silver, TaxParams(fact_grain=grain), with_fact_key=False)
+    return star.build_star_schema(silver, TaxParams(fact_grain=grain), with_fact_key=False, only=only)
 
 
 def q_dim(name):
@@ -122,13 +122,13 @@ def q_fact(grain):
 
 def q_bo(name):
     def q(spark, sf):
-        return analytics.BO_QUERIES[name](_star(spark, sf))
+        return analytics.BO_QUERIES[name](_star(spark, sf, only=analytics.BO_DIMENSIONS[name]))
     return q
 
 
 def q_bo_sql(name):
     def q(spark, sf):
-        return analytics.run_sql(spark, name, _star(spark, sf), prefix="qs_")
+        return analytics.run_sql(spark, name, _star(spark, sf, only=analytics.BO_DIMENSIONS[name]), prefix="qs_")
     return q
 
 

@@ -121,3 +121,20 @@ def test_share_of_total_with_nothing_paid(spark):
     assert rows and all(r.revenue_percentage is None for r in rows)
     sql_rows = analytics.run_sql(spark, "bo_3a_revenue_by_region", star, prefix="t0_").collect()
     assert all(r.revenue_percentage is None for r in sql_rows)
+
+
+def test_only_the_dimensions_asked_for_are_built(spark):
+    from qualstar.operators import score, star
+    from qualstar.plans.tax import silver_transform
+    from qualstar.sources.adapters import tax_returns
+    from qualstar.session import pin
+    silver = pin(score.route(silver_transform(tax_returns(spark, "/root/testdata/sf0.001")))[0], "silver")
+    few = star.build_star_schema(silver, with_fact_key=False, only=["dim_time", "dim_occupation"])
+    assert set(few) == {"dim_time", "dim_occupation", "fact_tax_returns"}
+    fact = few["fact_tax_returns"]
+    assert {"time_key", "occupation_key"} <= set(fact.columns) and not {"taxpayer_key", "location_key"} & set(fact.columns)
+    whole = star.build_star_schema(silver, with_fact_key=False)["fact_tax_returns"]
+    assert whole.columns[:5] == ["taxpayer_key", "time_key", "location_key", "occupation_key", "assessment_year"]
+    assert sorted(map(str, fact.collect())) == sorted(map(str, whole.select(fact.columns).collect()))
+    bare = star.build_star_schema(silver, with_fact_key=False, only=[])
+    assert set(bare) == {"fact_tax_returns"} and bare["fact_tax_returns"].count() == silver.count()

@@ -69,7 +69,7 @@ def _layer_queries() -> dict[str, str]:
         "layer_routed_silver": f"WITH {v.strip()} SELECT * FROM silver",
         "layer_routed_counts": f"WITH {v.strip()}{placed} SELECT output, assessment_year, count(*) AS n_rows FROM placed GROUP BY ALL",
         "layer_pruned_years": (f"WITH {v.strip()}{placed}, focus AS (SELECT assessment_year FROM placed WHERE output <> 'unplaced' GROUP BY ALL "
-                               "HAVING count_if(output = 'rejected') / count(*) >= 0.1) SELECT assessment_year, dq_classification, count(*) AS n_rows, sum(tax_paid_sgd) AS tax_paid "
+                               "HAVING count_if(output = 'rejected') / count(*) >= (SELECT count_if(output = 'rejected') / count(*) FROM placed WHERE output <> 'unplaced')) SELECT assessment_year, dq_classification, count(*) AS n_rows, sum(tax_paid_sgd) AS tax_paid "
                                "FROM silver JOIN focus USING (assessment_year) GROUP BY ALL"),
         "layer_reconciliation": f"WITH {_read_tax().strip()},{job} " + " UNION ALL ".join(layers),
         "fact_key_properties": (f"WITH {s.strip()}, f AS ({oracle._fact_select('return')}) SELECT count(*) AS n_rows, count(*) AS n_keys, "

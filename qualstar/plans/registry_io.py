@@ -134,14 +134,15 @@ def q_layer_routed_counts(spark, sf):
 
 
 def q_layer_pruned(spark, sf):
-    """Silver returns of the years in which at least a tenth of the placed
-    returns was rejected: the years come from a small table, so Spark finds at
-    run time which folders to scan."""
+    """Silver returns of the years in which no smaller share of the placed
+    returns was rejected than over all years: the years come from a small
+    table, so Spark finds at run time which folders to scan."""
     path, schema = _layers(spark, sf)
     rows = writers.read_routed(spark, path, schema)
-    years = (rows.filter(F.col("output") != "unplaced").groupBy("assessment_year")
-             .agg((F.count_if(F.col("output") == "rejected") / F.count(F.lit(1))).alias("rejected_share")))
-    focus = pin(years, "years").filter("rejected_share >= 0.1")
+    share = F.try_divide(F.count_if(F.col("output") == "rejected"), F.count(F.lit(1))).alias("rejected_share")
+    placed = rows.filter(F.col("output") != "unplaced")
+    years = pin(placed.groupBy("assessment_year").agg(share), "years")
+    focus = years.filter(F.col("rejected_share") >= F.lit(placed.groupBy().agg(share).first().rejected_share))
     return (writers.read_routed(spark, path, schema, "silver").join(focus, "assessment_year")
             .groupBy("assessment_year", "dq_classification").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("tax_paid_sgd").alias("tax_paid")))
 

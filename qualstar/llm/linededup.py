@@ -1,21 +1,27 @@
 """Line dedup by pairwise alignment.
 
-Overlapping documents are found through rare line hashes.  A single short line
-may stand in any text, so the key is a run of lines: from each line on, as many
-following lines as it takes to reach ``min_words`` words, and up to each line as
-many lines before it.  Every line of a block of at least that size is in one of
-the block's runs: in the one that ends at it, or near the block's begin in the
-first.  Every run links the documents that hold it to the first of them
-(smallest doc_id), so a passage in n documents gives n - 1 pairs a run however
-many documents share it, no key is too frequent to be used, and a line goes
-whichever earlier document has its block.
+Overlapping documents are found through two kinds of keys.  The first is the
+hash of a rare line: one in at most ``rare_rows`` rows.  Every rare line links
+the documents that hold it to the first of them (smallest doc_id), and counts
+its words for that pair; pairs with ``min_words`` words of rare lines are
+aligned.  A more frequent line may stand in any text and says nothing alone, so
+the second key, which has no bound of frequency, is a run of lines: from each
+line on, as many following lines as it takes to reach ``min_words`` words, and
+up to each line as many lines before it.  Every line of a block of at least
+that size is in one of the block's runs: in the one that ends at it, or near
+the block's begin in the first.  A key in n documents gives n - 1 links however
+many share it, and a passage goes whichever earlier document has it.
 
 Each pair is aligned by patience diff over the documents' line hashes: lines
 unique in both, the longest increasing sequence of their positions, blocks
-grown around these anchors, the gaps again.  Shared runs that no order-keeping
-alignment reaches (moved passages) are matched after it.  Aligned blocks of at
-least ``min_words`` words are deleted from the later document, whole lines at a
-time; every other line stays as it was.
+grown around these anchors, the gaps again.  Aligned blocks of at least
+``min_words`` words are deleted from the later document, whole lines at a time.
+If the aligned rare lines of the pair have ``min_words`` words together, as in a
+copy with changes strewn over it, so are shorter aligned blocks of at least
+``block_words`` words that hold one of these lines.  Shared runs that no
+order-keeping alignment reaches (moved passages) are matched after it.  Every
+other line stays as it was: a line or short passage that texts share which have
+little else in common is no copy.
 
 Only hashes are shuffled for pairs and alignment; the texts take one join with
 the lines to delete.  Lines are compared with white space runs as one blank.
@@ -42,7 +48,9 @@ from .common import NO_ID
 
 @dataclass(frozen=True)
 class LineParams:
-    min_words: int = 50
+    min_words: int = 50       # words of a passage, and of the rare lines of a pair that overlaps
+    block_words: int = 5      # words of a shorter block with a rare line, in pairs that overlap
+    rare_rows: int = 50       # a line in more rows than this is not rare (runs of lines may be)
 
 
 def line_keys(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -115,16 +123,22 @@ def patience_match(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return to
 
 
-def shared_blocks(a: np.ndarray, b: np.ndarray, b_words: np.ndarray, min_words: int) -> np.ndarray:
+def shared_blocks(a: np.ndarray, b: np.ndarray, b_words: np.ndarray, min_words: int,
+                  rare: np.ndarray | None = None, block_words: int = 5) -> np.ndarray:
     """Positions of ``b`` in blocks of at least ``min_words`` words that are
-    aligned with ``a``, moved blocks included."""
+    aligned with ``a``, moved blocks included, and, if the aligned lines among
+    the hashes ``rare`` have as many words together, in aligned blocks of
+    ``block_words`` words with such a line."""
     to = patience_match(a, b)
     drop = np.zeros(len(b), bool)
+    marked = (to >= 0) & np.isin(b, () if rare is None else rare)
+    overlap = b_words[marked].sum() >= min_words
     total = np.concatenate(([0], np.cumsum(b_words)))
     breaks = np.flatnonzero((to[1:] != to[:-1] + 1) | (to[1:] < 0)) + 1
     for i, j in zip([0, *breaks], [*breaks, len(b)], strict=True):
-        if i < j and to[i] >= 0 and total[j] - total[i] >= min_words:
-            drop[i:j] = True
+        if i < j and to[i] >= 0:
+            size = total[j] - total[i]
+            drop[i:j] = size >= min_words or (overlap and size >= block_words and marked[i:j].any())
     spans = [(i, j) for i, j in run_spans(b_words, min_words) if not drop[i:j].all()]
     if spans:
         where: dict[int, list[int]] = {}
@@ -172,15 +186,18 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def line_table(documents: DataFrame, params: LineParams) -> DataFrame:
-    """(id, tie, th, hashes, words, runs) of every row."""
-    @F.pandas_udf("hashes binary, words binary, runs array<long>")
+    """(id, tie, th, hashes, words, runs, lines, sizes) of every row: its runs'
+    keys, its different lines' hashes and their words."""
+    @F.pandas_udf("hashes binary, words binary, runs array<long>, lines array<long>, sizes array<int>")
     def keys(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
             h, w, _ = line_keys(t)
             runs = run_keys(h, w, params.min_words)
-            out.append((h.tobytes(), w.astype(np.int32).tobytes(), np.array(runs, np.uint64).view(np.int64)))
-        return pd.DataFrame(out, columns=["hashes", "words", "runs"])
+            different, at = np.unique(h, return_index=True)
+            out.append((h.tobytes(), w.astype(np.int32).tobytes(), np.array(runs, np.uint64).view(np.int64),
+                        different.view(np.int64), w[at].astype(np.int32)))
+        return pd.DataFrame(out, columns=["hashes", "words", "runs", "lines", "sizes"])
 
     return documents.select(*_keys(), keys("text").alias("k")).select(*_KEYS, "k.*")
 
@@ -188,20 +205,28 @@ def line_table(documents: DataFrame, params: LineParams) -> DataFrame:
 def shared_lines(lines: DataFrame, params: LineParams = LineParams()) -> DataFrame:
     """(id, tie, th, drop array<int>): lines of words to delete, by number, of each
     document of ``lines`` that loses any to another."""
-    runs = lines.select(F.struct("id", "tie").alias("doc"), F.explode("runs").alias("run"))
-    first = (runs.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-             .filter("first < last").drop("last"))
-    pairs = pin(runs.join(first, "run").filter("doc > first").select("doc.*", "first").distinct(), "line-pairs")
+    # A run's key has no size; runs and lines take the same shuffles.
+    run = F.transform("runs", lambda r: F.struct(r.alias("key"), F.lit(0).alias("size")))
+    line = F.transform(F.arrays_zip("lines", "sizes"), lambda x: F.struct(x["lines"].alias("key"), x["sizes"].alias("size")))
+    keys = lines.select(F.struct("id", "tie").alias("doc"), F.explode(F.concat(run, line)).alias("k")).select("doc", "k.*")
+    first = (keys.groupBy("key", "size").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
+             .filter((F.col("first") < F.col("last")) & ((F.col("size") == 0) | (F.col("n") <= params.rare_rows))).drop("last", "n"))
+    rare = F.collect_set(F.when(F.col("size") > 0, F.struct("key", "size")))
+    links = (keys.join(first, ["key", "size"]).filter("doc > first").groupBy("doc", "first")
+             .agg(F.min("size").alias("least"), rare.alias("rare")))
+    words = F.aggregate("rare", F.lit(0).cast("long"), lambda n, x: n + x["size"])
+    pairs = pin(links.filter((F.col("least") == 0) | (words >= params.min_words)).select("doc.*", "first", F.col("rare.key").alias("rare")), "line-pairs")
 
     def align(batches):
         for pdf in batches:
-            found = [shared_blocks(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(w, np.int32), params.min_words)
-                     for a, b, w in zip(pdf.a, pdf.hashes, pdf.words, strict=True)]
+            found = [shared_blocks(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(w, np.int32), params.min_words,
+                                   np.asarray(r, np.int64).view(np.uint64), params.block_words)
+                     for a, b, w, r in zip(pdf.a, pdf.hashes, pdf.words, pdf.rare, strict=True)]
             yield pd.DataFrame({"id": pdf.id, "tie": pdf.tie, "th": pdf.th, "lines": found})
 
     earlier = lines.select(F.struct("id", "tie").alias("first"), F.col("hashes").alias("a")).dropDuplicates()
     later = lines.select(*_KEYS, "hashes", "words").dropDuplicates(_KEYS)
-    aligned = (pairs.join(earlier, "first").select("id", "tie", "a").join(later, ["id", "tie"])
+    aligned = (pairs.join(earlier, "first").select("id", "tie", "a", "rare").join(later, ["id", "tie"])
                .mapInPandas(align, "id long, tie long, th long, lines array<int>"))
     return (aligned.select(*_KEYS, F.explode("lines").alias("line")).distinct()
             .groupBy(*_KEYS).agg(F.sort_array(F.collect_list("line")).alias("drop")))

@@ -117,6 +117,61 @@ def test_line_dedup_of_a_table_matches_brute_force(frame):
     assert [got[i] for i in range(len(rows))] == brute_lines(rows, 50)
 
 
+def brute_short_blocks(rows, min_words=50, block_words=5, rare_rows=50):
+    """Lines deleted from each row, for rows whose lines are all different and in one order."""
+    split = [t.split("\n") for _, t in rows]
+    held = collections.defaultdict(list)
+    for i, lines in enumerate(split):
+        for x in lines:
+            held[x].append(i)
+    size = {x: len(x.split()) for x in held}
+    out = []
+    for i, lines in enumerate(split):
+        gone = set()
+        for a in range(i):
+            at = {x: k for k, x in enumerate(split[a])}
+            rare = {x for x in lines if held[x][0] == a and len(held[x]) <= rare_rows}
+            overlap = sum(size[x] for x in rare) >= min_words
+            for _, block in itertools.groupby(enumerate(lines), lambda e: e[0] - at[e[1]] if e[1] in at else None):
+                block = [x for _, x in block]
+                n = sum(size[x] for x in block)
+                if block[0] in at and (n >= min_words or overlap and n >= block_words and rare & set(block)):
+                    gone |= set(block)
+        out.append([x for x in lines if x not in gone])
+    return out
+
+
+def test_line_dedup_deletes_short_blocks_of_copies(frame):
+    rng = np.random.default_rng(5)
+    hot = [" ".join(f"hot{k}w{j}" for j in range(8)) for k in range(3)]
+    rows = []
+    for family in range(20):
+        base = [" ".join(f"f{family}l{k}w{j}" for j in range(rng.integers(2, 14))) for k in range(24)]
+        for k, x in enumerate(hot):           # in every row: not rare
+            base.insert(k * 4, x)
+        for _ in range(6):
+            lines = [x if x in hot or rng.random() > 0.3 else f"own {len(rows)} line {k}" for k, x in enumerate(base) if x in hot or rng.random() > 0.1]
+            rows.append((len(rows), "\n".join(lines)))
+    # Rows that share a line of each of two families with them, and little else.
+    for k in range(10):
+        rows.append((len(rows), "\n".join([rows[0][1].split("\n")[k + 1], rows[7][1].split("\n")[k + 1], f"a text of its own {k}"])))
+    want = brute_short_blocks(rows)
+    got = {r.doc_id: r.deduped for r in linededup.dedup_lines(frame(rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == ["\n".join(x) for x in want]
+    passages = brute_short_blocks(rows, block_words=50)
+    assert sum(map(len, passages)) > sum(map(len, want)) + 300 and all(len(x) == 3 for x in want[-10:])
+    assert all(set(hot[1:]) & set(x) for x in want[:6])
+    assert all(got[i] == rows[i][1] for i in range(120, 130))
+
+
+def test_line_dedup_with_only_frequent_lines_goes_by_runs(frame):
+    """A line in more rows than are rare still goes with a passage it stands in."""
+    passage = "\n".join(" ".join(f"p{i}w{j}" for j in range(30)) for i in range(3))
+    rows = [(i, f"begin {i}\n{passage}\nend {i}") for i in range(80)]
+    out = {r.doc_id: r.deduped for r in linededup.dedup_lines(frame(rows)).collect()}
+    assert out == {i: rows[0][1] if i == 0 else f"begin {i}\nend {i}" for i in range(80)}
+
+
 def test_line_dedup_compares_rows_without_an_id(spark, frame):
     passage, other = ("\n".join(" ".join(f"{c}{i}w{j}" for j in range(30)) for i in range(2)) for c in "pq")
     rows = [(None, f"start {i}\n{passage}\nend {i}") for i in range(5)] + [(None, other)] * 4 + [(None, None)] * 3 + [(None, "few words")] * 3

@@ -51,6 +51,7 @@ class LineParams:
     min_words: int = 50       # words of a passage, and of the rare lines of a pair that overlaps
     block_words: int = 5      # words of a shorter block with a rare line, in pairs that overlap
     rare_rows: int = 50       # a line in more rows than this is not rare (runs of lines may be)
+    hot_keys: int = 2000      # bound of the most frequent keys, which are broadcast
 
 
 def line_keys(text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -208,14 +209,23 @@ def shared_lines(lines: DataFrame, params: LineParams = LineParams()) -> DataFra
     # A run's key has no size; runs and lines take the same shuffles.
     run = F.transform("runs", lambda r: F.struct(r.alias("key"), F.lit(0).alias("size")))
     line = F.transform(F.arrays_zip("lines", "sizes"), lambda x: F.struct(x["lines"].alias("key"), x["sizes"].alias("size")))
-    keys = lines.select(F.struct("id", "tie").alias("doc"), F.explode(F.concat(run, line)).alias("k")).select("doc", "k.*")
-    first = (keys.groupBy("key", "size").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
-             .filter((F.col("first") < F.col("last")) & ((F.col("size") == 0) | (F.col("n") <= params.rare_rows))).drop("last", "n"))
+    keys = lines.select("id", "tie", F.inline(F.concat(run, line)))
+    # Ties are 0 but for the last of all ids, so the least id and the least tie are of one row.
+    shared = pin(keys.groupBy("key", "size").agg(F.min("id").alias("a_id"), F.min("tie").alias("a_tie"), F.max("id").alias("z_id"), F.max("tie").alias("z_tie"),
+                                                 F.count("*").alias("n"))
+                 .filter("a_id < z_id or a_tie < z_tie").drop("z_id", "z_tie"), "line-keys")
+    # Keys with more than this share of all occurrences are fewer than hot_keys, so
+    # these may be broadcast: no task of the join meets one of them alone.
+    n = shared.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    hot = F.col("n") * params.hot_keys > n
+    useful = (F.col("size") == 0) | (F.col("n") <= params.rare_rows)
+    few = F.broadcast(shared.filter(hot))
+    links = (keys.join(few.filter(useful).drop("n"), ["key", "size"])
+             .unionByName(keys.join(few, ["key", "size"], "left_anti").join(shared.filter(useful & ~hot).drop("n"), ["key", "size"])))
     rare = F.collect_set(F.when(F.col("size") > 0, F.struct("key", "size")))
-    links = (keys.join(first, ["key", "size"]).filter("doc > first").groupBy("doc", "first")
-             .agg(F.min("size").alias("least"), rare.alias("rare")))
-    words = F.aggregate("rare", F.lit(0).cast("long"), lambda n, x: n + x["size"])
-    pairs = pin(links.filter((F.col("least") == 0) | (words >= params.min_words)).select("doc.*", "first", F.col("rare.key").alias("rare")), "line-pairs")
+    links = links.filter("id > a_id or tie > a_tie").groupBy("id", "tie", "a_id", "a_tie").agg(F.min("size").alias("least"), rare.alias("rare"))
+    words = F.aggregate("rare", F.lit(0).cast("long"), lambda total, x: total + x["size"])
+    pairs = pin(links.filter((F.col("least") == 0) | (words >= params.min_words)).select("id", "tie", "a_id", "a_tie", F.col("rare.key").alias("rare")), "line-pairs")
 
     def align(batches):
         for pdf in batches:
@@ -224,9 +234,9 @@ def shared_lines(lines: DataFrame, params: LineParams = LineParams()) -> DataFra
                      for a, b, w, r in zip(pdf.a, pdf.hashes, pdf.words, pdf.rare, strict=True)]
             yield pd.DataFrame({"id": pdf.id, "tie": pdf.tie, "th": pdf.th, "lines": found})
 
-    earlier = lines.select(F.struct("id", "tie").alias("first"), F.col("hashes").alias("a")).dropDuplicates()
+    earlier = lines.select(F.col("id").alias("a_id"), F.col("tie").alias("a_tie"), F.col("hashes").alias("a")).dropDuplicates()
     later = lines.select(*_KEYS, "hashes", "words").dropDuplicates(_KEYS)
-    aligned = (pairs.join(earlier, "first").select("id", "tie", "a", "rare").join(later, ["id", "tie"])
+    aligned = (pairs.join(earlier, ["a_id", "a_tie"]).select("id", "tie", "a", "rare").join(later, ["id", "tie"])
                .mapInPandas(align, "id long, tie long, th long, lines array<int>"))
     return (aligned.select(*_KEYS, F.explode("lines").alias("line")).distinct()
             .groupBy(*_KEYS).agg(F.sort_array(F.collect_list("line")).alias("drop")))

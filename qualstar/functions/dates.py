@@ -3,15 +3,14 @@
 The flexible reader accepts, in this order: ``Y-M-D``, ``D/M/Y``, ``M-D-Y``,
 ``Y-M-DTh:m:s`` and ``Y-M-DTh:m:s.f`` (1-6 fraction digits), with a
 four-digit year and one- or two-digit month, day and time fields.  Each
-format is gated by a shape regex first, so the Spark parser cannot read more
+format is gated by a shape regex first, so the Spark cast cannot read more
 than the format allows (three-digit months, signed years).  Leading and
 trailing whitespace is ignored, whole placeholder values give NULL.
 
 Parsed values are wall-clock timestamps (``TIMESTAMP_NTZ``) and day counts
 are floors of the exact wall-clock difference, like ``timedelta.days`` on
 naive datetimes, so a daylight-saving switch in the session time zone cannot
-shift a count by an hour.  (Only a clock time that falls inside a DST gap of
-a non-UTC session is moved by the parser; sessions here run in UTC.)
+shift a count by an hour.
 """
 
 from __future__ import annotations
@@ -20,17 +19,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from ..params import DATE_PLACEHOLDERS
-
 MICROS_PER_DAY = 86_400 * 1_000_000
 
-# (shape regex, Spark datetime pattern), tried in order.
+# White space of any kind around a value; the patterns below are anchored at
+# both ends, so a value is matched in one pass and not stripped first.
+_WS = r"[\s\x1c-\x1f]*"
+_ISO = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]{1,6})?)?"
+_PLAIN_ISO = rf"^{_ISO}\z"
+_STRICT_ISO = rf"(?U)^{_WS}[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{_WS}\z"
+# (shape regex, its parts in the order that Spark's cast reads); no value fits two.
 _FLEXIBLE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}$", "yyyy-M-d'T'H:m:s.SSSSSS"),
+    (rf"(?U)^{_WS}({_ISO}){_WS}\z", "$1"),
+    (rf"(?U)^{_WS}([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}){_WS}\z", "$3-$2-$1"),
+    (rf"(?U)^{_WS}([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}}){_WS}\z", "$3-$1-$2"),
 ]
 
 
@@ -44,22 +45,25 @@ def strip_ws(c) -> Column:
 
 
 def parse_flexible(c) -> Column:
-    """Text -> timestamp using the five accepted layouts; NULL when none fits."""
-    s = strip_ws(c)
-    parsed = F.coalesce(*[
-        F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))) for shape, fmt in _FLEXIBLE_FORMATS
-    ])
-    usable = (s != "") & ~F.upper(s).isin(DATE_PLACEHOLDERS)
+    """Text -> timestamp using the five accepted layouts; NULL when none fits.
+
+    Values of the commonest layouts are cast as they are; the others have their
+    parts put in order first.  Placeholders have none of the shapes."""
+    c = _as_col(c)
+    ordered = F.when(c.rlike(_PLAIN_ISO), c)
+    for shape, parts in _FLEXIBLE_FORMATS:
+        ordered = ordered.when(c.rlike(shape), F.regexp_replace(c, shape, parts))
+    parsed = ordered.try_cast("timestamp_ntz")
     # Year 0 parses in Spark but is not a calendar year.
-    return F.when(usable & (F.year(parsed) >= 1), parsed.cast("timestamp_ntz"))
+    return F.when(parsed >= F.lit("0001-01-01").cast("timestamp_ntz"), parsed)
 
 
-def is_strict_iso_date(c) -> Column:
-    """TRUE for exactly ``YYYY-MM-DD`` naming a real calendar day, else FALSE (never NULL)."""
-    s = strip_ws(c)
-    ok = s.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(s, "yyyy-MM-dd").isNotNull() \
-        & (F.substring(s, 1, 4) != "0000")
-    return F.coalesce(ok, F.lit(False))
+def is_strict_iso_date(c, parsed: Column | None = None) -> Column:
+    """TRUE for exactly ``YYYY-MM-DD`` naming a real calendar day, else FALSE
+    (never NULL).  ``parsed`` is ``parse_flexible(c)`` where that is at hand."""
+    c = _as_col(c)
+    parsed = parse_flexible(c) if parsed is None else parsed
+    return F.coalesce(c.rlike(_STRICT_ISO) & parsed.isNotNull(), F.lit(False))
 
 
 def can_canonicalise(c) -> Column:
@@ -89,9 +93,10 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 
 def days_between_within(later: Column, earlier: Column, lo_days: int, hi_days: int) -> Column:
-    """``lo <= floor(days) <= hi`` evaluated on exact microsecond integers."""
-    d = micros_between(later, earlier)
-    return (d >= F.lit(lo_days * MICROS_PER_DAY)) & (d < F.lit((hi_days + 1) * MICROS_PER_DAY))
+    """``lo <= floor(days) <= hi``, by comparing wall-clock times (no difference is formed)."""
+    def after(days: int) -> Column:
+        return earlier + F.make_dt_interval(F.lit(days)) if days else earlier
+    return (later >= after(lo_days)) & (later < after(hi_days + 1))
 
 
 def days_since(c, as_of) -> Column:

@@ -104,27 +104,33 @@ def _rule_columns(work: DataFrame, rules: list[Rule], params: DQParams) -> dict[
         return {r.column: safe_rule_column(work, r, params) for r in rules}
 
 
-def pass_copies(rule: Rule, present: bool = True) -> Column:
-    """Number of the row's copies that pass ``rule``."""
-    if not present:
+def pass_copies(rule: Rule, passed: Column | None) -> Column:
+    """Number of the row's copies that pass ``rule`` (``passed``: its outcome; None: no such column)."""
+    if passed is None:
         return F.lit(0).cast("long")
     if rule.kind == "first_copy":
         return F.lit(1).cast("long")
-    return F.when(F.col(rule.column), F.col(COPIES)).otherwise(F.lit(0)).cast("long")
+    return F.when(passed, F.col(COPIES)).otherwise(F.lit(0).cast("long"))
 
 
-def score_aggregates(weighted: DataFrame, rules: list[Rule]) -> DataFrame:
-    """ONE aggregation: total rows, passing rows per rule and per dimension."""
-    present = set(weighted.columns)
+def score_aggregates(weighted: DataFrame, rules: list[Rule], outcomes: dict[str, Column] | None = None) -> DataFrame:
+    """ONE aggregation: total rows, passing rows per rule and per dimension.
+
+    ``outcomes`` are the rules' expressions where ``weighted`` has no columns
+    of them.  Spark puts every sum's input into a method of its own, but the
+    columns of a projection all into one, which for 25 rules is larger than the
+    JVM compiles; so rules that are only summed are better not projected."""
+    if outcomes is None:
+        outcomes = {r.column: F.col(r.column) for r in rules if r.column in weighted.columns}
+    passing = {r.rule_id: pass_copies(r, outcomes.get(r.column)) for r in rules}
     aggs = [F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("total_rows")]
     for r in rules:
-        aggs.append(F.coalesce(F.sum(pass_copies(r, r.column in present)), F.lit(0)).alias(f"pass_{r.rule_id}"))
+        aggs.append(F.coalesce(F.sum(passing[r.rule_id]), F.lit(0)).alias(f"pass_{r.rule_id}"))
     for dim in DQ_DIMENSIONS:
-        members = [r for r in rules if r.dimension == dim]
+        members = [passing[r.rule_id] for r in rules if r.dimension == dim]
         if not members:
             continue
-        per_row = F.least(*[pass_copies(r, r.column in present) for r in members]) if len(members) > 1 \
-            else pass_copies(members[0], members[0].column in present)
+        per_row = F.least(*members) if len(members) > 1 else members[0]
         aggs.append(F.coalesce(F.sum(per_row), F.lit(0)).alias(f"dim_{dim}"))
     return weighted.agg(*aggs)
 
@@ -158,12 +164,11 @@ def score_aggregates_direct(df: DataFrame, rules: list[Rule] | None = None, para
     collapsed = collapse_copies(df).withColumn("_id_rows", F.lit(None).cast("long"))
     work = _with_dates(collapsed, params)
     row_rules = [r for r in rules if r.rule_id != "U001"]
-    work = work.withColumns(_rule_columns(work, row_rules, params))
     u_dim = next((r.dimension for r in rules if r.rule_id == "U001"), None)
 
     names = ["total_rows"] + [f"pass_{r.rule_id}" for r in rules] + \
         [f"dim_{d}" for d in DQ_DIMENSIONS if any(r.dimension == d for r in rules)]
-    row_part = score_aggregates(work, row_rules)
+    row_part = score_aggregates(work, row_rules, _rule_columns(work, row_rules, params))
     row_cols = {n: (F.col(n) if n in row_part.columns else F.lit(0).cast("long")) for n in names}
     if u_dim is not None:
         row_cols[f"dim_{u_dim}"] = F.lit(0).cast("long")

@@ -14,15 +14,14 @@ rows, not of one row; the evaluator handles it from the copy count.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import (MICROS_PER_DAY, can_canonicalise, date_typed, days_between_within,
-                               is_strict_iso_date, micros_between)
+from ..functions.dates import can_canonicalise, date_typed, days_between_within, is_strict_iso_date
 from ..params import (GRANT_SCHEMES, GRANT_STATUSES, NRIC_PATTERN, PLACEHOLDER_SUBSTRINGS, RULE_CATALOGUE,
                       DQParams)
 
@@ -66,38 +65,29 @@ def _v005(df, p):
     return (s >= 1) & (s <= 20) & (s == s.try_cast("int"))
 
 
-_PLACEHOLDER_RX = "|".join(re.escape(x) for x in PLACEHOLDER_SUBSTRINGS)
-
-
 def _v007(df, p):
-    # One regex alternation per column: the same test as "contains any of the
-    # placeholders", with a fraction of the generated code of six contains.
-    def clean(name):
-        return ~F.upper(F.col(name)).rlike(_PLACEHOLDER_RX)
-
-    def clean_or_null(name):
-        return F.when(F.col(name).isNotNull(), clean(name)).otherwise(True)
-
     # A NULL application date makes the whole test NULL (= fail); NULL
-    # decision date or NRIC pass.
-    return clean("application_date") & clean_or_null("decision_date") & clean_or_null("citizen_nric")
+    # decision date or NRIC pass.  One text of all three is searched; no
+    # placeholder holds the character between them.
+    text = F.upper(F.concat_ws("\n", "application_date", "decision_date", "citizen_nric"))
+    found = reduce(Column.__or__, [text.contains(x) for x in PLACEHOLDER_SUBSTRINGS])
+    return F.when(found, F.lit(False)).when(F.col("application_date").isNotNull(), F.lit(True))
 
 
 def _cf001(df, p):
     if date_typed(df, "decision_date"):
         return F.lit(True)
     d = F.col("decision_date")
-    return F.when(d.isNotNull(), is_strict_iso_date(d)).otherwise(True)
+    # The parsed dates are shared with CS001/T001/T002 when the evaluator provides them.
+    return F.when(d.isNotNull(), is_strict_iso_date(d, F.col("_dec_ts") if "_dec_ts" in df.columns else None)).otherwise(True)
 
 
 def _cf002(df, p):
     a = F.col("application_date")
     if date_typed(df, "application_date"):
         return a.isNotNull()
-    # The parsed date is shared with CS001/T001/T002 when the evaluator
-    # provides it; a strict ISO date always parses, so the test reduces to it.
-    parsed = F.col("_app_ts").isNotNull() if "_app_ts" in df.columns else can_canonicalise(a)
-    return is_strict_iso_date(a) | parsed
+    # A strict ISO date always parses, so the test is whether the value does.
+    return F.col("_app_ts").isNotNull() if "_app_ts" in df.columns else can_canonicalise(a)
 
 
 def _cs001(df, p):
@@ -113,8 +103,7 @@ def _t001(df, p):
 
 def _t002(df, p):
     max_days = p.max_age_years * 365
-    age = micros_between(F.col("_as_of"), F.col("_app_ts"))
-    fresh = age < F.lit((max_days + 1) * MICROS_PER_DAY)
+    fresh = F.col("_app_ts") > F.col("_as_of") - F.make_dt_interval(F.lit(max_days + 1))
     return F.when(F.col("application_date").isNotNull(), F.coalesce(fresh, F.lit(False))).otherwise(True)
 
 

@@ -104,13 +104,14 @@ def _rule_columns(work: DataFrame, rules: list[Rule], params: DQParams) -> dict[
         return {r.column: safe_rule_column(work, r, params) for r in rules}
 
 
-def pass_copies(rule: Rule, passed: Column | None) -> Column:
+def pass_copies(rule: Rule, passed: Column | None, copies: str = COPIES) -> Column:
     """Number of the row's copies that pass ``rule`` (``passed``: its outcome; None: no such column)."""
     if passed is None:
         return F.lit(0).cast("long")
     if rule.kind == "first_copy":
-        return F.lit(1).cast("long")
-    return F.when(passed, F.col(COPIES)).otherwise(F.lit(0).cast("long"))
+        # A row need not have come in every run that shares the table.
+        return F.lit(1).cast("long") if copies == COPIES else F.least(F.col(copies), F.lit(1).cast("long"))
+    return F.when(passed, F.col(copies)).otherwise(F.lit(0).cast("long"))
 
 
 def score_aggregates(weighted: DataFrame, rules: list[Rule], outcomes: dict[str, Column] | None = None) -> DataFrame:
@@ -122,17 +123,21 @@ def score_aggregates(weighted: DataFrame, rules: list[Rule], outcomes: dict[str,
     JVM compiles; so rules that are only summed are better not projected."""
     if outcomes is None:
         outcomes = {r.column: F.col(r.column) for r in rules if r.column in weighted.columns}
-    passing = {r.rule_id: pass_copies(r, outcomes.get(r.column)) for r in rules}
-    aggs = [F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("total_rows")]
+    return weighted.agg(*_score_sums(rules, outcomes, COPIES))
+
+
+def _score_sums(rules: list[Rule], outcomes: dict[str, Column], copies: str, suffix: str = "") -> list[Column]:
+    passing = {r.rule_id: pass_copies(r, outcomes.get(r.column), copies) for r in rules}
+    aggs = [F.coalesce(F.sum(copies), F.lit(0)).cast("long").alias(f"total_rows{suffix}")]
     for r in rules:
-        aggs.append(F.coalesce(F.sum(passing[r.rule_id]), F.lit(0)).alias(f"pass_{r.rule_id}"))
+        aggs.append(F.coalesce(F.sum(passing[r.rule_id]), F.lit(0)).alias(f"pass_{r.rule_id}{suffix}"))
     for dim in DQ_DIMENSIONS:
         members = [passing[r.rule_id] for r in rules if r.dimension == dim]
         if not members:
             continue
         per_row = F.least(*members) if len(members) > 1 else members[0]
-        aggs.append(F.coalesce(F.sum(per_row), F.lit(0)).alias(f"dim_{dim}"))
-    return weighted.agg(*aggs)
+        aggs.append(F.coalesce(F.sum(per_row), F.lit(0)).alias(f"dim_{dim}{suffix}"))
+    return aggs
 
 
 def _direct_applies(rules: list[Rule]) -> bool:
@@ -145,6 +150,11 @@ def _direct_applies(rules: list[Rule]) -> bool:
     return all(r.rule_id in ("U001", "U002") for r in rules if r.dimension == dim)
 
 
+def direct_applies(df: DataFrame, rules: list[Rule], id_col: str = "application_id") -> bool:
+    """Whether ``rules`` can be scored over ``df`` without a join."""
+    return _direct_applies(rules) and id_col in df.columns
+
+
 def score_aggregates_direct(df: DataFrame, rules: list[Rule] | None = None, params: DQParams = DQParams(),
                             id_col: str = "application_id") -> DataFrame:
     """The same one-row result as ``score_aggregates(evaluate_weighted(df))``
@@ -159,27 +169,56 @@ def score_aggregates_direct(df: DataFrame, rules: list[Rule] | None = None, para
     merged by a union of the two one-row results.
     """
     rules = rules if rules is not None else default_rules(params)
-    if not _direct_applies(rules) or id_col not in df.columns:
+    if not direct_applies(df, rules, id_col):
         return score_aggregates(evaluate_weighted(df, rules, params, id_col), rules)
-    collapsed = collapse_copies(df).withColumn("_id_rows", F.lit(None).cast("long"))
+    return _direct(collapse_copies(df), {"": COPIES}, rules, params, id_col)
+
+
+def score_aggregates_runs(df: DataFrame, times: list[Column], rules: list[Rule], params: DQParams = DQParams(),
+                          id_col: str = "application_id") -> DataFrame:
+    """The results of several runs that see rows of one table, in one pass.
+
+    ``times`` says for each run how often it sees a row (0: not at all).  Reading,
+    collapse and rules are the same for a row whichever run sees it, so they are
+    done once and each run's sums weigh the row by that run's copies.  One row;
+    :func:`run_aggregates` gives each run's."""
+    if not direct_applies(df, rules, id_col):
+        raise ValueError("U001 shares its dimension with row rules, or there is no id column: score every run by itself")
+    copies = {f"_run{k}": f"{COPIES}_run{k}" for k in range(len(times))}
+    collapsed = df.groupBy(*df.columns).agg(*[F.sum(F.coalesce(t.cast("long"), F.lit(0))).alias(c) for t, c in zip(times, copies.values())])
+    return _direct(collapsed, copies, rules, params, id_col)
+
+
+def run_aggregates(aggregates: DataFrame, run: int) -> DataFrame:
+    """One run of :func:`score_aggregates_runs`, as ``score_aggregates`` names its columns."""
+    suffix = f"_run{run}"
+    return aggregates.select(*[F.col(c).alias(c.removesuffix(suffix)) for c in aggregates.columns if c.endswith(suffix)])
+
+
+def _direct(collapsed: DataFrame, copies: dict[str, str], rules: list[Rule], params: DQParams, id_col: str) -> DataFrame:
+    """Both aggregations over collapsed rows; ``copies`` has each run's suffix and column of copies."""
+    collapsed = collapsed.withColumn("_id_rows", F.lit(None).cast("long"))
     work = _with_dates(collapsed, params)
     row_rules = [r for r in rules if r.rule_id != "U001"]
     u_dim = next((r.dimension for r in rules if r.rule_id == "U001"), None)
 
     names = ["total_rows"] + [f"pass_{r.rule_id}" for r in rules] + \
         [f"dim_{d}" for d in DQ_DIMENSIONS if any(r.dimension == d for r in rules)]
-    row_part = score_aggregates(work, row_rules, _rule_columns(work, row_rules, params))
+    names = [f"{n}{s}" for s in copies for n in names]
+    outcomes = _rule_columns(work, row_rules, params)
+    row_part = work.agg(*[a for s, c in copies.items() for a in _score_sums(row_rules, outcomes, c, s)])
     row_cols = {n: (F.col(n) if n in row_part.columns else F.lit(0).cast("long")) for n in names}
     if u_dim is not None:
-        row_cols[f"dim_{u_dim}"] = F.lit(0).cast("long")
+        row_cols.update({f"dim_{u_dim}{s}": F.lit(0).cast("long") for s in copies})
     row_part = row_part.select(*[row_cols[n].cast("long").alias(n) for n in names])
 
-    per_id = collapsed.groupBy(id_col).agg(F.sum(COPIES).alias("_n"))
-    singles = F.count_if(F.col("_n") == 1).cast("long")
+    per_id = collapsed.groupBy(id_col).agg(*[F.sum(c).alias(f"_n{s}") for s, c in copies.items()])
     id_cols = {n: F.lit(0).cast("long") for n in names}
     if u_dim is not None:
-        id_cols["pass_U001"] = singles
-        id_cols[f"dim_{u_dim}"] = singles
+        for s in copies:
+            singles = F.count_if(F.col(f"_n{s}") == 1).cast("long")
+            id_cols[f"pass_U001{s}"] = singles
+            id_cols[f"dim_{u_dim}{s}"] = singles
     id_part = per_id.agg(*[id_cols[n].alias(n) for n in names])
     both = row_part.unionByName(id_part)
     return both.agg(*[F.sum(n).cast("long").alias(n) for n in names])

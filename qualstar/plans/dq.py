@@ -12,10 +12,11 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dq import dimension_scores, rule_results, score_aggregates, score_aggregates_direct
+from ..operators.dq import (dimension_scores, direct_applies, rule_results, run_aggregates, score_aggregates, score_aggregates_direct,
+                            score_aggregates_runs)
 from ..operators.rules import Rule, default_rules
 from ..params import DQParams
 from ..session import pin
@@ -69,6 +70,21 @@ def analyse_weighted(weighted: DataFrame, params: DQParams, rules: list[Rule], e
     return _results(score_aggregates(weighted, rules), params, rules, execution_id, ts, pin_aggregate)
 
 
+def analyse_runs(df: DataFrame, runs: list[tuple[str, datetime, Column]], params: DQParams,
+                 rules: list[Rule] | None = None) -> list[DQRun]:
+    """Several runs over rows of one table: ``(execution id, timestamp, how
+    often the run sees a row)`` each.  The same results as :func:`analyse` of
+    each run's rows, in one pass over the table.  Runs that date the rows'
+    age by their own clock (no ``as_of``), or whose rules need a join, are
+    analysed one by one."""
+    rules = rules if rules is not None else default_rules(params)
+    if params.as_of is None or not direct_applies(df, rules):
+        return [analyse(df.select("*", F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias("_time")).drop("_time"),
+                        params, rules, id_, ts) for id_, ts, times in runs]
+    shared = pin(score_aggregates_runs(df, [times for _, _, times in runs], rules, params), "dq-aggregates")
+    return [_results(run_aggregates(shared, k), params, rules, id_, ts, False) for k, (id_, ts, _) in enumerate(runs)]
+
+
 def _results(aggregates: DataFrame, params: DQParams, rules: list[Rule], execution_id: str,
              ts: datetime, pin_aggregate: bool) -> DQRun:
     if pin_aggregate:

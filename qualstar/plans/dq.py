@@ -104,8 +104,11 @@ def _results(aggregates: DataFrame, params: DQParams, rules: list[Rule], executi
 
 def run_analysis(spark: SparkSession, data, output_dir: str, params: DQParams = DQParams(),
                  rules: list[Rule] | None = None, execution_id: str | None = None,
-                 execution_timestamp: datetime | None = None, history_dir: str | None = None) -> DQRun:
+                 execution_timestamp: datetime | None = None, history_dir: str | None = None,
+                 aggregates: DataFrame | None = None) -> DQRun:
     """Load (path or DataFrame), analyse, write the five result tables as CSV.
+    ``aggregates`` are this run's of a pass that several runs share
+    (``operators.dq.run_aggregates``, scored by the same rules and parameters).
 
     On failure an execution record with status FAILED is still written, then
     the error is raised again."""
@@ -114,7 +117,10 @@ def run_analysis(spark: SparkSession, data, output_dir: str, params: DQParams =
     out = output_dir.rstrip("/")
     try:
         df = read_grant_csv(spark, data) if isinstance(data, str) else data
-        run = analyse(df, params, rules, execution_id, ts)
+        if aggregates is None:
+            run = analyse(df, params, rules, execution_id, ts)
+        else:
+            run = _results(aggregates, params, rules if rules is not None else default_rules(params), execution_id, ts, False)
         write_small_csv(run.execution, f"{out}/dq_execution")
         write_small_csv(run.dimension_scores, f"{out}/dq_dimension_scores")
         write_small_csv(run.scores_minimal, f"{out}/dq_dimension_scores_minimal")

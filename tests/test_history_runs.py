@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from qualstar.operators import dq
 from qualstar.operators.rules import default_rules
 from qualstar.params import DQParams
-from qualstar.plans import registry
+from qualstar.plans import registry, registry_io
 from qualstar.plans.dq import analyse_runs
 from qualstar.sources.adapters import grant_applications, grant_applications_resubmitted, times_resubmitted
 
@@ -58,6 +58,7 @@ def test_shared_pass_is_small_enough_for_the_jit(spark, threshold):
         plan = io.StringIO()
         with contextlib.redirect_stdout(plan):
             dq.score_aggregates_runs(grant_applications(spark, SF), _times()[:2], RULES, P).explain("codegen")
+            dq.score_aggregates_runs(grant_applications(spark, SF), [*_times()[:2], F.lit(1)], RULES, P).explain("codegen")
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
@@ -72,3 +73,16 @@ def test_runs_by_their_own_clock_are_analysed_alone(spark):
     fresh = [{r.rule_id: r.passing_rows for r in x.rule_results.collect()}["T002"] for x in (a, b)]
     assert fresh[1] < fresh[0]
     assert b.execution.first()["total_rows"] == grant_applications_resubmitted(spark, SF).count()
+
+
+def test_recorded_runs_share_one_pass(spark, monkeypatch):
+    passes = []
+    for name in ("score_aggregates_direct", "score_aggregates_runs"):
+        real = getattr(dq, name)
+        for module in ("qualstar.plans.dq", "qualstar.operators.dq"):
+            monkeypatch.setattr(f"{module}.{name}", lambda *a, real=real, **k: passes.append(real) or real(*a, **k))
+    recorded = registry_io.q_dq_history_executions(spark, SF).collect()
+    assert len(passes) == 1                                                     # three before
+    n, again = grant_applications(spark, SF).count(), grant_applications_resubmitted(spark, SF).count()
+    assert sorted((r.execution_id[-1], r.status, r.total_rows) for r in recorded) == [("1", "SUCCESS", again), ("2", "FAILED", 0), ("3", "FAILED", 0)]
+    assert n < again

@@ -26,12 +26,14 @@ MICROS_PER_DAY = 86_400 * 1_000_000
 _WS = r"[\s\x1c-\x1f]*"
 _ISO = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]{1,6})?)?"
 _PLAIN_ISO = rf"^{_ISO}\z"
+_PLAIN_STRICT_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _STRICT_ISO = rf"(?U)^{_WS}[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{_WS}\z"
 # (shape regex, its parts in the order that Spark's cast reads); no value fits two.
+# ISO is last, as without white space it is matched before.
 _FLEXIBLE_FORMATS = [
-    (rf"(?U)^{_WS}({_ISO}){_WS}\z", "$1"),
     (rf"(?U)^{_WS}([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}){_WS}\z", "$3-$2-$1"),
     (rf"(?U)^{_WS}([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}}){_WS}\z", "$3-$1-$2"),
+    (rf"(?U)^{_WS}({_ISO}){_WS}\z", "$1"),
 ]
 
 
@@ -63,7 +65,7 @@ def is_strict_iso_date(c, parsed: Column | None = None) -> Column:
     (never NULL).  ``parsed`` is ``parse_flexible(c)`` where that is at hand."""
     c = _as_col(c)
     parsed = parse_flexible(c) if parsed is None else parsed
-    return F.coalesce(c.rlike(_STRICT_ISO) & parsed.isNotNull(), F.lit(False))
+    return F.coalesce((c.rlike(_PLAIN_STRICT_ISO) | c.rlike(_STRICT_ISO)) & parsed.isNotNull(), F.lit(False))
 
 
 def can_canonicalise(c) -> Column:

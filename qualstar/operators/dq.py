@@ -7,7 +7,8 @@ third of the input shrinks before the shuffle instead of landing in one task.
 Per-id row counts for U001 come from a second pre-aggregated ``groupBy``.
 The row-level table joins them back (AQE splits a hot id on the big side of
 that join); the aggregate-only path (``score_aggregates_direct``) counts the
-ids seen once without any join.
+ids seen once without any join, and shuffles a hash and the outcomes of a row
+in place of the row.
 
 Every result is then a weighted count over the collapsed rows: a row rule
 passes for all ``_copies`` copies or for none, U002 passes for exactly one
@@ -19,18 +20,23 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, StringType
 
 from ..functions.dates import as_timestamp
 from ..params import DQ_DIMENSIONS, DQParams
+from ..session import pin, unpin
 from .rules import Rule, default_rules
 
 log = logging.getLogger(__name__)
 
 COPIES = "_copies"
+RULES_PER_NUMBER = 24        # outcomes that are judged in one generated method
+MAX_PARTITIONS = 2**31 - 1   # no table has as many, so none are merged
 CONTEXT = ["_app_ts", "_dec_ts", "_id_rows", "_as_of"]
 
 
@@ -163,15 +169,13 @@ def score_aggregates_direct(df: DataFrame, rules: list[Rule] | None = None, para
     A row passes U001 when its id occurs once; such an id has one row, which
     is also its first copy.  So U001 (and a dimension of U001 with U002)
     passes for exactly the ids counted once — a count over the per-id table.
-    Plan: one full shuffle (collapse, combined map-side), then two
-    aggregations over it (the exchange is reused) — rule counts over the
-    collapsed rows, and a narrow (id, copies) shuffle for the id counts —
-    merged by a union of the two one-row results.
+    Rows are judged where they are read and told apart by id and hash; see
+    :func:`_direct` for what makes that exact.
     """
     rules = rules if rules is not None else default_rules(params)
     if not direct_applies(df, rules, id_col):
         return score_aggregates(evaluate_weighted(df, rules, params, id_col), rules)
-    return _direct(collapse_copies(df), {"": COPIES}, rules, params, id_col)
+    return _direct(df, {"": None}, rules, params, id_col)
 
 
 def score_aggregates_runs(df: DataFrame, times: list[Column], rules: list[Rule], params: DQParams = DQParams(),
@@ -184,9 +188,7 @@ def score_aggregates_runs(df: DataFrame, times: list[Column], rules: list[Rule],
     :func:`run_aggregates` gives each run's."""
     if not direct_applies(df, rules, id_col):
         raise ValueError("U001 shares its dimension with row rules, or there is no id column: score every run by itself")
-    copies = {f"_run{k}": f"{COPIES}_run{k}" for k in range(len(times))}
-    collapsed = df.groupBy(*df.columns).agg(*[F.sum(F.coalesce(t.cast("long"), F.lit(0))).alias(c) for t, c in zip(times, copies.values())])
-    return _direct(collapsed, copies, rules, params, id_col)
+    return _direct(df, {f"_run{k}": F.coalesce(t.cast("long"), F.lit(0)) for k, t in enumerate(times)}, rules, params, id_col)
 
 
 def run_aggregates(aggregates: DataFrame, run: int) -> DataFrame:
@@ -195,24 +197,99 @@ def run_aggregates(aggregates: DataFrame, run: int) -> DataFrame:
     return aggregates.select(*[F.col(c).alias(c.removesuffix(suffix)) for c in aggregates.columns if c.endswith(suffix)])
 
 
-def _direct(collapsed: DataFrame, copies: dict[str, str], rules: list[Rule], params: DQParams, id_col: str) -> DataFrame:
-    """Both aggregations over collapsed rows; ``copies`` has each run's suffix and column of copies."""
-    collapsed = collapsed.withColumn("_id_rows", F.lit(None).cast("long"))
-    work = _with_dates(collapsed, params)
-    row_rules = [r for r in rules if r.rule_id != "U001"]
-    u_dim = next((r.dimension for r in rules if r.rule_id == "U001"), None)
+def _direct(df: DataFrame, times: dict[str, Column | None], rules: list[Rule], params: DQParams, id_col: str) -> DataFrame:
+    """One-row result of each run; ``times`` has each run's suffix and how often it sees a row (None: once).
+
+    The rows are counted by id and hash.  Where no id has a hash twice, no two
+    rows are equal and the counts are exact as they are.  Otherwise the different
+    rows are counted in full, too: are there as many of them as ids and hashes,
+    then every hash stood for equal rows.  Else the full rows are scored."""
+    if not _hashes_tell(df):
+        return _direct_full(df, times, rules, params, id_col)
+    found = pin(_direct_hashed(df, times, rules, params, id_col), "dq-hashed")
+    seen = found.select("_hashes", "_repeated").first()
+    if seen["_repeated"] and collapse_copies(df).count() != seen["_hashes"]:
+        unpin(found)
+        return _direct_full(df, times, rules, params, id_col)
+    return found.drop("_hashes", "_repeated")
+
 
+def _hashes_tell(df: DataFrame) -> bool:
+    """Whether equal rows always have equal hashes (text under a collation may be equal and differ in bytes)."""
+    return all(isinstance(f.dataType, AtomicType) and (not isinstance(f.dataType, StringType) or f.dataType == StringType()) for f in df.schema)
+
+
+def _row_hash(columns: list[str]) -> Column:
+    """64-bit hash of a row.  Spark's hash passes over NULLs, so it takes which columns are NULL as well."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
+def _direct_names(rules: list[Rule], times: dict[str, Column | None]) -> list[str]:
     names = ["total_rows"] + [f"pass_{r.rule_id}" for r in rules] + \
         [f"dim_{d}" for d in DQ_DIMENSIONS if any(r.dimension == d for r in rules)]
-    names = [f"{n}{s}" for s in copies for n in names]
+    return [f"{n}{s}" for s in times for n in names]
+
+
+def _direct_hashed(df: DataFrame, times: dict[str, Column | None], rules: list[Rule], params: DQParams, id_col: str) -> DataFrame:
+    """The result if rows with equal id, hash and outcomes are equal, with the
+    number of those keys and how many of them came more than once.
+
+    Outcomes go as bits of a few numbers.  Both counts read the one narrow exchange."""
+    copies = {s: f"{COPIES}{s}" if t is not None else "_rows" for s, t in times.items()}
+    context = {"_id_rows": F.lit(None).cast("long"), "_hash": _row_hash(df.columns)}
+    context.update({copies[s]: t for s, t in times.items() if t is not None})
+    work = _apart(_with_dates(_apart(df).withColumns(context), params))
+    row_rules = [r for r in rules if r.rule_id != "U001"]
+    outcomes = _rule_columns(work, row_rules, params)
+    flagged = [r for r in row_rules if r.kind != "first_copy"]
+    groups = {f"_passed{i}": flagged[i:i + RULES_PER_NUMBER] for i in range(0, len(flagged), RULES_PER_NUMBER)}
+    for number, members in groups.items():
+        bits = [F.when(outcomes[r.column], F.lit(1 << k)).otherwise(F.lit(0)) for k, r in enumerate(members)]
+        work = _apart(work.withColumn(number, reduce(Column.__add__, bits)))
+    hashed = work.groupBy(id_col, "_hash", *groups).agg(
+        *[F.sum(copies[s]).alias(copies[s]) for s, t in times.items() if t is not None], F.count(F.lit(1)).alias("_rows"))
+
+    passed = {r.column: F.col(n).bitwiseAND(1 << k) != 0 for n, members in groups.items() for k, r in enumerate(members)}
+    passed.update({r.column: F.lit(True) for r in row_rules if r.kind == "first_copy"})
+    # One copy of equal rows passes U002; a run need not have seen any.
+    row_part = hashed.agg(*[a for s, c in copies.items() for a in _score_sums(row_rules, passed, c, s)],
+                          F.count(F.lit(1)).alias("_hashes"), F.count_if(F.col("_rows") > 1).alias("_repeated"))
+    # True of every row; it names the count, without which (or with the count in
+    # another place) Spark would not share the exchange but judge the rows again.
+    return _with_ids(row_part, hashed.filter(F.col("_rows") > 0), copies, rules, times, id_col, ["_hashes", "_repeated"])
+
+
+def _apart(df: DataFrame) -> DataFrame:
+    """The same rows in the same partitions, by a step that Spark does not compile
+    into one method with those before and after: reading, dates and rules
+    together are larger than the JVM compiles or compiles well."""
+    return df.coalesce(MAX_PARTITIONS)
+
+
+def _direct_full(df: DataFrame, times: dict[str, Column | None], rules: list[Rule], params: DQParams, id_col: str) -> DataFrame:
+    """The result by collapsing the full rows: one full shuffle, combined
+    map-side, which the rule counts and the id counts both read."""
+    copies = {s: f"{COPIES}{s}" for s in times}
+    collapsed = df.groupBy(*df.columns).agg(*[F.sum(F.lit(1).cast("long") if t is None else t).alias(copies[s]) for s, t in times.items()])
+    collapsed = collapsed.withColumn("_id_rows", F.lit(None).cast("long"))
+    work = _with_dates(collapsed, params)
+    row_rules = [r for r in rules if r.rule_id != "U001"]
     outcomes = _rule_columns(work, row_rules, params)
     row_part = work.agg(*[a for s, c in copies.items() for a in _score_sums(row_rules, outcomes, c, s)])
+    return _with_ids(row_part, collapsed, copies, rules, times, id_col)
+
+
+def _with_ids(row_part: DataFrame, counted: DataFrame, copies: dict[str, str], rules: list[Rule],
+              times: dict[str, Column | None], id_col: str, more: list[str] = ()) -> DataFrame:
+    """``row_part`` and the ids that ``counted`` has once, in one row."""
+    names = [*_direct_names(rules, times), *more]
+    u_dim = next((r.dimension for r in rules if r.rule_id == "U001"), None)
     row_cols = {n: (F.col(n) if n in row_part.columns else F.lit(0).cast("long")) for n in names}
     if u_dim is not None:
         row_cols.update({f"dim_{u_dim}{s}": F.lit(0).cast("long") for s in copies})
     row_part = row_part.select(*[row_cols[n].cast("long").alias(n) for n in names])
 
-    per_id = collapsed.groupBy(id_col).agg(*[F.sum(c).alias(f"_n{s}") for s, c in copies.items()])
+    per_id = counted.groupBy(id_col).agg(*[F.sum(c).alias(f"_n{s}") for s, c in copies.items()])
     id_cols = {n: F.lit(0).cast("long") for n in names}
     if u_dim is not None:
         for s in copies:

@@ -15,7 +15,6 @@ rows, not of one row; the evaluator handles it from the copy count.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -70,7 +69,9 @@ def _v007(df, p):
     # decision date or NRIC pass.  One text of all three is searched; no
     # placeholder holds the character between them.
     text = F.upper(F.concat_ws("\n", "application_date", "decision_date", "citizen_nric"))
-    found = reduce(Column.__or__, [text.contains(x) for x in PLACEHOLDER_SUBSTRINGS])
+    # ``greatest`` looks for all of them, so Spark makes the text once; OR, which
+    # stops at the first, made it anew for each.
+    found = F.greatest(*[text.contains(x) for x in PLACEHOLDER_SUBSTRINGS])
     return F.when(found, F.lit(False)).when(F.col("application_date").isNotNull(), F.lit(True))
 
 

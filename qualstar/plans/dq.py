@@ -1,7 +1,7 @@
 """Data-quality monitoring run: rules -> one aggregation -> result tables.
 
-One scan, one collapse of identical rows, one aggregation for all rule and
-dimension counts.  The one-row aggregate is pinned in the checkpoint folder
+One scan, one count of rows by id and hash (identical rows are counted in full
+where a hash repeats), one aggregation for all rule and dimension counts.  The one-row aggregate is pinned in the checkpoint folder
 so the five result tables are all derived from that single job.
 """
 

@@ -5,8 +5,9 @@ the evaluator first collapses identical rows into one row with a copy count
 (``_copies``).  That aggregation combines map-side, so a value copied into a
 third of the input shrinks before the shuffle instead of landing in one task.
 Per-id row counts for U001 come from a second pre-aggregated ``groupBy``.
-The row-level table joins them back (AQE splits a hot id on the big side of
-that join); the aggregate-only path (``score_aggregates_direct``) counts the
+The row-level table (``evaluate_all``) joins them to the rows (AQE splits a hot
+id on the big side of that join) and collapses only rows of ids that may have
+equal ones; the aggregate-only path (``score_aggregates_direct``) counts the
 ids seen once without any join, and shuffles a hash and the outcomes of a row
 in place of the row.
 
@@ -36,6 +37,8 @@ log = logging.getLogger(__name__)
 
 COPIES = "_copies"
 RULES_PER_NUMBER = 24        # outcomes that are judged in one generated method
+RULES_PER_STEP = 8           # outcomes that are added to rows in one generated method
+FEW_COPIES = 8               # so many copies of a row are made where the row is
 MAX_PARTITIONS = 2**31 - 1   # no table has as many, so none are merged
 CONTEXT = ["_app_ts", "_dec_ts", "_id_rows", "_as_of"]
 
@@ -373,19 +376,24 @@ def expand_copies(weighted: DataFrame, rules: list[Rule] | None = None, chunk: i
     output row per input row (the collapsed rows fanned out again).  The first
     copy of each group of identical rows passes U002, the others fail it.
 
-    Every group is cut into chunks of at most ``chunk`` copies, and these (a
-    row each) are spread over the cluster before they are fanned out, so no
-    single task generates a hot group."""
+    Groups of a few copies are fanned out where they are.  Larger ones are cut
+    into chunks of at most ``chunk`` copies, and these (a row each) are spread
+    over the cluster before they are fanned out, so no single task generates a
+    hot group."""
     rules = rules if rules is not None else []
     keep = [c for c in weighted.columns if c not in CONTEXT]
     n = F.col(COPIES)
     zero = F.lit(0).cast("long")
 
-    chunks = weighted.select(*keep, F.explode(F.sequence(zero, F.floor((n - 1) / chunk).cast("long"))).alias("_qs_chunk"))
-    chunks = chunks.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_qs_chunk")))
+    few = weighted.filter(n <= FEW_COPIES).select(*keep, zero.alias("_qs_chunk"), F.explode(F.sequence(zero, n - 1)).alias("_qs_i"))
+    chunks = weighted.filter(n > FEW_COPIES).select(*keep, F.explode(F.sequence(zero, F.floor((n - 1) / chunk).cast("long"))).alias("_qs_chunk"))
+    # With a number, as AQE would put chunks together again by their few bytes.
+    spread = int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(spread, F.xxhash64(*[F.col(c) for c in keep], F.col("_qs_chunk")))
     start = F.col("_qs_chunk") * chunk
     size = F.least(F.lit(chunk).cast("long"), n - start)
-    rows = chunks.select(*keep, "_qs_chunk", F.explode(F.sequence(zero, size - 1)).alias("_qs_i"))
+    many = chunks.select(*keep, "_qs_chunk", F.explode(F.sequence(zero, size - 1)).alias("_qs_i"))
+    rows = few.unionByName(many)
     first = (F.col("_qs_chunk") == 0) & (F.col("_qs_i") == 0)
     for r in rules:
         if r.kind == "first_copy" and r.column in rows.columns:
@@ -393,10 +401,52 @@ def expand_copies(weighted: DataFrame, rules: list[Rule] | None = None, chunk: i
     return rows.drop(COPIES, "_qs_chunk", "_qs_i")
 
 
-def evaluate_all(df: DataFrame, rules: list[Rule] | None = None, params: DQParams = DQParams()) -> DataFrame:
-    """Input rows with one ``rule_<id>_pass`` column per rule (row level)."""
+def evaluate_all(df: DataFrame, rules: list[Rule] | None = None, params: DQParams = DQParams(),
+                 id_col: str = "application_id") -> DataFrame:
+    """Input rows with one ``rule_<id>_pass`` column per rule (row level).
+
+    A row meets the count of its id in one shuffle, and is judged there unless it
+    may have copies.  Only rows of ids that may have equal rows are collapsed and
+    fanned out again.  So are all rows where hashes do not tell rows apart."""
     rules = rules if rules is not None else default_rules(params)
-    return expand_copies(evaluate_weighted(df, rules, params), rules)
+    copied = any(r.kind == "first_copy" for r in rules)
+    if not copied and not any(r.rule_id == "U001" for r in rules):
+        return _judged(df.withColumn("_id_rows", F.lit(None).cast("long")), df.columns, rules, params)
+    if id_col not in df.columns or not _hashes_tell(df):
+        return expand_copies(evaluate_weighted(df, rules, params, id_col), rules)
+    repeated = _repeated_ids(df, id_col)
+    # The hash keeps the join from passing as a distribution by the id: then AQE
+    # would not split a hot id's partition for fear of a shuffle behind it.
+    same = (F.xxhash64(df[id_col]) == F.xxhash64(repeated["_qs_id"])) & df[id_col].eqNullSafe(repeated["_qs_id"])
+    rows = df.join(repeated, same, "left").withColumn("_id_rows", F.coalesce("_id_rows", F.lit(1).cast("long")))
+    if not copied:
+        return _judged(rows, df.columns, rules, params)
+    single = _judged(rows.filter(~F.coalesce("_may_equal", F.lit(False))), df.columns, rules, params)
+    collapsed = collapse_copies(rows.filter("_may_equal").select(*df.columns, "_id_rows"))
+    return single.unionByName(expand_copies(_judged(collapsed, [*df.columns, COPIES], rules, params), rules))
+
+
+def _repeated_ids(df: DataFrame, id_col: str) -> DataFrame:
+    """(_qs_id, _id_rows, _may_equal) of every id that comes more than once.
+
+    A row sets one of 64 bits by its hash.  Are there as many bits as rows, then
+    all hashes differ, so no two rows are equal; else some may be."""
+    hashed = _apart(df).select(F.col(id_col).alias("_qs_id"), _row_hash(df.columns).alias("_hash"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_hash").bitwiseAND(63).cast("int"))
+    per_id = hashed.groupBy("_qs_id").agg(F.count(F.lit(1)).alias("_id_rows"), F.bit_or(bit).alias("_bits"))
+    return per_id.filter("_id_rows > 1").select("_qs_id", "_id_rows", (F.bit_count("_bits") < F.col("_id_rows")).alias("_may_equal"))
+
+
+def _judged(rows: DataFrame, keep: list[str], rules: list[Rule], params: DQParams) -> DataFrame:
+    """Columns ``keep`` of different ``rows`` with their outcomes: a few rules at a
+    time, as one method of all rules is larger than the JVM compiles."""
+    work = _apart(_with_dates(_apart(rows), params))
+    outcomes = _rule_columns(work, rules, params)
+    outcomes.update({r.column: F.lit(True) for r in rules if r.kind == "first_copy"})
+    names = list(outcomes)
+    for i in range(0, len(names), RULES_PER_STEP):
+        work = _apart(work.withColumns({n: outcomes[n] for n in names[i:i + RULES_PER_STEP]}))
+    return work.select(*keep, *names)
 
 
 def rule_pass_rates(aggregates: DataFrame, rules: list[Rule]) -> dict[str, dict]:

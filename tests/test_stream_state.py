@@ -47,3 +47,12 @@ def test_a_checkpoint_with_state_in_heap_goes_on_with_it(spark, tmp_dir, monkeyp
     got, providers = _arrive(spark, tmp_dir, [_row(1)])
     assert set(providers) == {IN_HEAP}
     assert got["U002", "A1", False] == 1 and got["U001", "A1", False] == 2
+
+
+def test_a_provider_that_the_session_names_is_kept(spark, tmp_dir):
+    spark.conf.set(PROVIDER, IN_HEAP)
+    try:
+        assert _arrive(spark, tmp_dir, [_row(1)])[1] == [IN_HEAP]
+        assert spark.conf.get(PROVIDER) == IN_HEAP
+    finally:
+        spark.conf.unset(PROVIDER)

@@ -1,6 +1,9 @@
 """The row-level rule table: what it shuffles, and that copies and repeated ids stay exact."""
 
+import contextlib
+import io
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -52,6 +55,16 @@ def test_a_row_without_copies_is_shuffled_once(spark, conf):
     assert _full_rows_shuffled(table) < 1.2 * n         # 3 n before: collapsed, joined and spread
 
 
+def test_no_step_is_too_large_for_the_jit(spark, conf):
+    """The JVM compiles no method above 8 000 bytes; all rules were projected in one."""
+    conf({"spark.sql.adaptive.enabled": "false"})
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        dq.evaluate_all(grant_applications(spark, SF), default_rules(ORACLE_P), ORACLE_P).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
 def _row(i, income=1.0, status="Pending"):
     return (i, None, "Education Bursary", income, 1, "2024-01-01", status, 5.0, None, None)
 
